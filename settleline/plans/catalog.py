@@ -1,0 +1,35 @@
+"""Registered queries: each takes (spark, sf_dir) and returns a DataFrame.
+
+All of them start from the driver's ``events`` table through the landing
+fixture view, so their work grows with the table; nothing is sampled or capped
+except where a LIMIT is the feature (top-k reports).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..config import Rules
+from ..operators import enrich, settle, validate
+from ..sources.fixture import FIXTURE_AS_OF, read_landing_fixture
+
+FIXTURE_RULES = Rules(as_of=FIXTURE_AS_OF)
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.with_errors(read_landing_fixture(spark, sf_dir), FIXTURE_RULES)
+
+
+def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.processed(validate.valid_rows(_checked(spark, sf_dir)), FIXTURE_RULES)
+
+
+def q_daily_settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settle.daily_settlements(_processed(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "daily_settlements": q_daily_settlements,
+}

@@ -1,0 +1,9 @@
+"""Oracle SQL text per registered query key (DuckDB dialect)."""
+
+from __future__ import annotations
+
+from . import oracle as o
+
+ORACLE_SQL: dict[str, str] = {
+    "daily_settlements": o.daily_settlements_sql(),
+}
