@@ -10,26 +10,149 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..config import Rules
-from ..operators import enrich, settle, validate
+from ..config import HIGH_DAILY_AMOUNT, HIGH_FREQUENCY, RAPID_SUCCESSION, Rules
+from ..operators import anomalies, enrich, reports, settle, validate
+from ..sinks import tables
+from ..sources import landing
 from ..sources.fixture import FIXTURE_AS_OF, read_landing_fixture
 
 FIXTURE_RULES = Rules(as_of=FIXTURE_AS_OF)
+LANDING_COLS = ("transaction_id", "account_id", "transaction_type", "amount", "currency", "timestamp",
+                "merchant_id", "location", "status", "is_flagged")
+
+
+def _landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_landing_fixture(spark, sf_dir)
 
 
 def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.with_errors(read_landing_fixture(spark, sf_dir), FIXTURE_RULES)
+    return validate.with_errors(_landing(spark, sf_dir), FIXTURE_RULES)
 
 
 def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.processed(validate.valid_rows(_checked(spark, sf_dir)), FIXTURE_RULES)
 
 
-def q_daily_settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle.daily_settlements(_processed(spark, sf_dir))
 
 
+def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anomalies.detect_anomalies(_processed(spark, sf_dir), FIXTURE_RULES)
+
+
+# Validation ------------------------------------------------------------------
+def q_validate_rows(spark, sf_dir):
+    return _checked(spark, sf_dir).select(
+        *LANDING_COLS,
+        "is_valid",
+        F.size("errors").alias("error_count"),
+        F.array_join("errors", "; ").alias("error_text"),
+    )
+
+
+def q_quarantine(spark, sf_dir):
+    q = validate.quarantine(_checked(spark, sf_dir))
+    return q.select("record.*", F.array_join("errors", "; ").alias("error_text"))
+
+
+def q_validation_report(spark, sf_dir):
+    return validate.report(_checked(spark, sf_dir)).drop("error_breakdown")
+
+
+def q_error_breakdown(spark, sf_dir):
+    return validate.error_breakdown(_checked(spark, sf_dir))
+
+
+# De-duplication, parsing round trip, enrichment ------------------------------
+def q_dedupe_first(spark, sf_dir):
+    valid = validate.valid_rows(_checked(spark, sf_dir))
+    return enrich.first_delivery(enrich.typed(valid))
+
+
+def q_json_roundtrip(spark, sf_dir):
+    encoded = landing.to_json_values(_landing(spark, sf_dir))
+    return landing.from_json_values(encoded).select(*LANDING_COLS)
+
+
+def q_enrich(spark, sf_dir):
+    return _processed(spark, sf_dir).select(
+        "transaction_id", "account_id", "amount", "ts", "transaction_date", "transaction_hour",
+        "amount_bucket", "is_suspicious",
+    )
+
+
+def q_risk_score(spark, sf_dir):
+    return _processed(spark, sf_dir).select("transaction_id", "risk_score")
+
+
+# Settlements, windows, anomalies ---------------------------------------------
+def q_daily_settlements(spark, sf_dir):
+    return _settlements(spark, sf_dir)
+
+
+def q_trailing_hour_count(spark, sf_dir):
+    return anomalies.trailing_hour_count(_processed(spark, sf_dir), FIXTURE_RULES)
+
+
+def q_anomaly_high_frequency(spark, sf_dir):
+    return anomalies.high_frequency(_processed(spark, sf_dir), FIXTURE_RULES)
+
+
+def q_anomaly_high_daily_amount(spark, sf_dir):
+    return anomalies.high_daily_amount(_processed(spark, sf_dir), FIXTURE_RULES)
+
+
+def q_anomaly_rapid_succession(spark, sf_dir):
+    return anomalies.rapid_succession(_processed(spark, sf_dir), FIXTURE_RULES)
+
+
+def q_anomaly_alerts(spark, sf_dir):
+    return _alerts(spark, sf_dir)
+
+
+# Reports ----------------------------------------------------------------------
+def q_rpt_settlement_summary(spark, sf_dir):
+    return reports.settlement_summary(_settlements(spark, sf_dir))
+
+
+def q_rpt_top_accounts(spark, sf_dir):
+    processed = _processed(spark, sf_dir)
+    return reports.top_accounts(processed, anomalies.detect_anomalies(processed, FIXTURE_RULES))
+
+
+def q_rpt_hourly_risk(spark, sf_dir):
+    return reports.hourly_risk(_processed(spark, sf_dir))
+
+
+def q_rpt_merchant_risk(spark, sf_dir):
+    return reports.merchant_risk(_processed(spark, sf_dir))
+
+
+def q_rpt_account_patterns(spark, sf_dir):
+    return reports.account_patterns(_processed(spark, sf_dir), FIXTURE_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "validate_rows": q_validate_rows,
+    "validation_report": q_validation_report,
+    "error_breakdown": q_error_breakdown,
+    "quarantine": q_quarantine,
+    "dedupe_first": q_dedupe_first,
+    "json_roundtrip": q_json_roundtrip,
+    "enrich": q_enrich,
+    "risk_score": q_risk_score,
     "daily_settlements": q_daily_settlements,
+    "trailing_hour_count": q_trailing_hour_count,
+    "anomaly_high_frequency": q_anomaly_high_frequency,
+    "anomaly_high_daily_amount": q_anomaly_high_daily_amount,
+    "anomaly_rapid_succession": q_anomaly_rapid_succession,
+    "anomaly_alerts": q_anomaly_alerts,
+    "rpt_settlement_summary": q_rpt_settlement_summary,
+    "rpt_top_accounts": q_rpt_top_accounts,
+    "rpt_hourly_risk": q_rpt_hourly_risk,
+    "rpt_merchant_risk": q_rpt_merchant_risk,
+    "rpt_account_patterns": q_rpt_account_patterns,
 }

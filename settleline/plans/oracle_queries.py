@@ -5,5 +5,23 @@ from __future__ import annotations
 from . import oracle as o
 
 ORACLE_SQL: dict[str, str] = {
+    "validate_rows": o.validate_rows_sql(),
+    "validation_report": o.validation_report_sql(),
+    "error_breakdown": o.error_breakdown_sql(),
+    "quarantine": o.quarantine_sql(),
+    "dedupe_first": o.dedupe_first_sql(),
+    "json_roundtrip": o.json_roundtrip_sql(),
+    "enrich": o.enrich_sql(),
+    "risk_score": o.risk_score_sql(),
     "daily_settlements": o.daily_settlements_sql(),
+    "trailing_hour_count": o.trailing_hour_count_sql(),
+    "anomaly_high_frequency": o.alerts_sql("HIGH_FREQUENCY"),
+    "anomaly_high_daily_amount": o.alerts_sql("HIGH_DAILY_AMOUNT"),
+    "anomaly_rapid_succession": o.alerts_sql("RAPID_SUCCESSION"),
+    "anomaly_alerts": o.alerts_sql(),
+    "rpt_settlement_summary": o.rpt_settlement_summary_sql(),
+    "rpt_top_accounts": o.rpt_top_accounts_sql(),
+    "rpt_hourly_risk": o.rpt_hourly_risk_sql(),
+    "rpt_merchant_risk": o.rpt_merchant_risk_sql(),
+    "rpt_account_patterns": o.rpt_account_patterns_sql(),
 }
