@@ -1,21 +1,28 @@
-"""One Column per validation rule: NULL when the rule passes, the error text when it fails.
+"""Validation rules as Catalyst expressions.
 
-At most one error per field; messages start with the field name, which is the
-error category of the data-quality breakdown.
+Each rule is an ordered list of (failure condition, message) pairs: the first
+condition that holds gives the field's single error message.  Two forms are
+built from the same lists:
+
+* ``row_is_valid`` — a plain boolean (no strings built), used on the hot path
+  that keeps valid rows;
+* ``error_list`` — ARRAY<STRING> of all failing rules in rule order, used only
+  where messages are needed (quarantine, report).
+
+Messages start with the field name, which is the data-quality error category.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import ACCOUNT_PATTERN, CURRENCY_PATTERN, UUID_PATTERN, Rules
-from .parsing import (
-    ISO_TIMESTAMP_PATTERN,
-    NAN_PATTERN,
-    parse_double,
-    python_float_text,
-)
+from .parsing import ISO_TIMESTAMP_PATTERN, NAN_PATTERN, parse_double, python_float_text
+
+Rule = list[tuple[Column, Column]]
 
 
 def _blank(c: Column) -> Column:
@@ -27,63 +34,85 @@ def _msg(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-def transaction_id_error(c: Column) -> Column:
-    return (
-        F.when(_blank(c), F.lit("transaction_id is missing or null"))
-        .when(~c.rlike(UUID_PATTERN), _msg("transaction_id is not a valid UUID: ", c))
-    )
+def transaction_id_rule(c: Column) -> Rule:
+    return [
+        (_blank(c), F.lit("transaction_id is missing or null")),
+        (~c.rlike(UUID_PATTERN), _msg("transaction_id is not a valid UUID: ", c)),
+    ]
 
 
-def amount_error(c: Column, rules: Rules) -> Column:
+def amount_rule(c: Column, rules: Rules) -> Rule:
     v = parse_double(c)
-    shown = python_float_text(v)
-    return (
-        F.when(c.isNull(), F.lit("amount is missing or null"))
-        .when(v.isNull() | c.rlike(NAN_PATTERN), _msg("amount is not a valid number: ", c))
-        .when(v <= 0, _msg("amount must be positive, got ", shown))
-        .when(v >= float(rules.max_amount), _msg("amount exceeds maximum (100,000): ", shown))
-    )
+    return [
+        (c.isNull(), F.lit("amount is missing or null")),
+        (v.isNull() | c.rlike(NAN_PATTERN), _msg("amount is not a valid number: ", c)),
+        (v <= 0, _msg("amount must be positive, got ", python_float_text(v))),
+        (v >= float(rules.max_amount), _msg("amount exceeds maximum (100,000): ", python_float_text(v))),
+    ]
 
 
-def account_id_error(c: Column) -> Column:
-    return (
-        F.when(_blank(c), F.lit("account_id is missing or null"))
-        .when(~c.rlike(ACCOUNT_PATTERN), _msg("account_id does not match ACC_XXXXX pattern: ", c))
-    )
+def account_id_rule(c: Column) -> Rule:
+    return [
+        (_blank(c), F.lit("account_id is missing or null")),
+        (~c.rlike(ACCOUNT_PATTERN), _msg("account_id does not match ACC_XXXXX pattern: ", c)),
+    ]
 
 
-def timestamp_error(c: Column, as_of: Column) -> Column:
+def timestamp_rule(c: Column, as_of: Column) -> Rule:
     ts = F.when(c.rlike(ISO_TIMESTAMP_PATTERN), c.try_cast("timestamp_ntz"))
-    return (
-        F.when(_blank(c), F.lit("timestamp is missing or null"))
-        .when(ts.isNull(), _msg("timestamp is not valid ISO format: ", c))
-        .when(ts > as_of, _msg("timestamp is in the future: ", c))
-    )
+    return [
+        (_blank(c), F.lit("timestamp is missing or null")),
+        (ts.isNull(), _msg("timestamp is not valid ISO format: ", c)),
+        (ts > as_of, _msg("timestamp is in the future: ", c)),
+    ]
+
+
+def transaction_type_rule(c: Column, rules: Rules) -> Rule:
+    return [
+        (_blank(c), F.lit("transaction_type is missing or null")),
+        (~c.isin(*rules.transaction_types), _msg("transaction_type is invalid: ", c)),
+    ]
+
 
+def currency_rule(c: Column) -> Rule:
+    return [
+        (_blank(c), F.lit("currency is missing or null")),
+        (~c.rlike(CURRENCY_PATTERN), _msg("currency is not a valid 3-letter code: ", c)),
+    ]
 
-def transaction_type_error(c: Column, rules: Rules) -> Column:
-    return (
-        F.when(_blank(c), F.lit("transaction_type is missing or null"))
-        .when(~c.isin(*rules.transaction_types), _msg("transaction_type is invalid: ", c))
-    )
+
+def all_rules(rules: Rules) -> list[Rule]:
+    """The six field rules in the reference's order."""
+    as_of = F.lit(rules.as_of_literal()).cast("timestamp_ntz")
+    return [
+        transaction_id_rule(F.col("transaction_id")),
+        amount_rule(F.col("amount"), rules),
+        account_id_rule(F.col("account_id")),
+        timestamp_rule(F.col("timestamp"), as_of),
+        transaction_type_rule(F.col("transaction_type"), rules),
+        currency_rule(F.col("currency")),
+    ]
+
+
+def _message(rule: Rule) -> Column:
+    first_cond, first_msg = rule[0]
+    out = F.when(first_cond, first_msg)
+    for cond, msg in rule[1:]:
+        out = out.when(cond, msg)
+    return out
 
 
-def currency_error(c: Column) -> Column:
-    return (
-        F.when(_blank(c), F.lit("currency is missing or null"))
-        .when(~c.rlike(CURRENCY_PATTERN), _msg("currency is not a valid 3-letter code: ", c))
-    )
+def rule_fails(rule: Rule) -> Column:
+    """Boolean: some condition of the rule holds (NULL conditions count as false,
+    exactly as in the CASE form)."""
+    return reduce(lambda a, b: a | b, [F.coalesce(cond, F.lit(False)) for cond, _ in rule])
+
+
+def row_is_valid(rules: Rules) -> Column:
+    return ~reduce(lambda a, b: a | b, [rule_fails(r) for r in all_rules(rules)])
 
 
 def error_list(rules: Rules) -> Column:
     """ARRAY<STRING> of all failing rules in rule order (no short-circuit)."""
-    as_of = F.lit(rules.as_of_literal()).cast("timestamp_ntz")
-    checks = F.array(
-        transaction_id_error(F.col("transaction_id")),
-        amount_error(F.col("amount"), rules),
-        account_id_error(F.col("account_id")),
-        timestamp_error(F.col("timestamp"), as_of),
-        transaction_type_error(F.col("transaction_type"), rules),
-        currency_error(F.col("currency")),
-    )
+    checks = F.array(*[_message(r) for r in all_rules(rules)])
     return F.filter(checks, lambda e: e.isNotNull())

@@ -11,40 +11,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import VALIDATED_FIELDS, Rules
-from ..functions.rules import error_list
+from ..functions.rules import all_rules, error_list, row_is_valid, rule_fails
 from ..schema import LANDING_FIELDS
 
 
 def with_errors(landing: DataFrame, rules: Rules) -> DataFrame:
-    """Landing rows plus ``errors`` ARRAY<STRING> (rule order) and ``is_valid``."""
-    return landing.withColumn("errors", error_list(rules)).withColumn(
-        "is_valid", F.size("errors") == 0
+    """Landing rows plus ``is_valid`` and ``errors`` ARRAY<STRING> (rule order).
+
+    Messages are only built for invalid rows; ``is_valid`` is a plain boolean.
+    """
+    ok = row_is_valid(rules)
+    empty = F.array().cast("array<string>")
+    return landing.select(
+        "*",
+        ok.alias("is_valid"),
+        F.when(ok, empty).otherwise(error_list(rules)).alias("errors"),
     )
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:
+    """Valid rows of a checked frame (only the boolean is evaluated)."""
     return checked.filter(F.col("is_valid")).drop("errors", "is_valid")
 
 
+def valid_landing(landing: DataFrame, rules: Rules) -> DataFrame:
+    """Valid rows straight from landing: one boolean filter, no message strings."""
+    return landing.filter(row_is_valid(rules))
+
+
 def quarantine(checked: DataFrame) -> DataFrame:
     """Invalid rows as {record: <landing struct>, errors: [...]}."""
     record = F.struct(*[F.col(c) for c in (*LANDING_FIELDS, "is_flagged")])
     return checked.filter(~F.col("is_valid")).select(record.alias("record"), "errors")
 
 
-def _category_has_error(field: str) -> Column:
-    return F.exists("errors", lambda e: e.startswith(field + " "))
-
-
-def report_columns() -> list[Column]:
-    """Aggregate expressions of the quality report (usable in ``agg`` or ``observe``)."""
+def report_columns(rules: Rules) -> list[Column]:
+    """Aggregate expressions of the quality report over landing rows (usable in
+    ``agg`` or ``observe``).  A row has at most one error per field, so each
+    category count is the number of rows failing that field's rule; no message
+    text is built."""
+    ok = row_is_valid(rules)
     cols = [
         F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("is_valid")).alias("valid"),
-        F.count_if(~F.col("is_valid")).alias("invalid"),
+        F.count_if(ok).alias("valid"),
+        F.count_if(~ok).alias("invalid"),
+    ]
+    cols += [
+        F.count_if(rule_fails(rule)).alias(f"errors_{f}")
+        for f, rule in zip(VALIDATED_FIELDS, all_rules(rules))
     ]
-    # One counter per field: a row contributes at most one error per field.
-    cols += [F.count_if(_category_has_error(f)).alias(f"errors_{f}") for f in VALIDATED_FIELDS]
     return cols
 
 
@@ -60,12 +75,13 @@ def _breakdown_map(counters: dict[str, Column]) -> Column:
     return F.map_from_entries(nonzero)
 
 
-def report(checked: DataFrame) -> DataFrame:
+def report(landing: DataFrame, rules: Rules) -> DataFrame:
     """One row: total, valid, invalid, valid_rate, error_breakdown MAP<STRING,BIGINT>.
 
-    A global aggregate always yields one row, so an empty batch reports 0 / 0.00.
+    A global aggregate always yields one row, so an empty batch reports 0 / 0.00;
+    each task pre-aggregates, only one row per task reaches the final merge.
     """
-    agg = checked.agg(*report_columns())
+    agg = landing.agg(*report_columns(rules))
     counters = {f: F.col(f"errors_{f}") for f in VALIDATED_FIELDS}
     return agg.select(
         "total",
@@ -94,16 +110,19 @@ def report_from_metrics(metrics: dict) -> dict:
     }
 
 
-def error_breakdown(checked: DataFrame) -> DataFrame:
+def error_breakdown(landing: DataFrame, rules: Rules) -> DataFrame:
     """Long form: (category, error_count) for every category that occurred.
 
-    Counted with an exploded error list (at most six per row) and a partial
-    aggregate, so only (category, count) pairs are shuffled.
+    One global partial aggregate of six boolean counters, then an unpivot of
+    the single result row: no per-error rows are ever shuffled.
     """
+    counters = landing.agg(*report_columns(rules)[3:])
+    pairs = F.array(*[
+        F.struct(F.lit(f).alias("category"), F.col(f"errors_{f}").alias("error_count"))
+        for f in VALIDATED_FIELDS
+    ])
     return (
-        checked.filter(~F.col("is_valid"))
-        .select(F.explode("errors").alias("error"))
-        .select(F.substring_index("error", " ", 1).alias("category"))
-        .groupBy("category")
-        .agg(F.count(F.lit(1)).alias("error_count"))
+        counters.select(F.explode(pairs).alias("p"))
+        .select("p.category", "p.error_count")
+        .filter(F.col("error_count") > 0)
     )

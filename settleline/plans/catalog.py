@@ -17,6 +17,8 @@ from ..operators import anomalies, enrich, reports, settle, validate
 from ..sinks import tables
 from ..sources import landing
 from ..sources.fixture import FIXTURE_AS_OF, read_landing_fixture
+from ..streaming import fixture_streams as fs
+from ..streaming import stream as st
 
 FIXTURE_RULES = Rules(as_of=FIXTURE_AS_OF)
 LANDING_COLS = ("transaction_id", "account_id", "transaction_type", "amount", "currency", "timestamp",
@@ -32,7 +34,7 @@ def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.processed(validate.valid_rows(_checked(spark, sf_dir)), FIXTURE_RULES)
+    return enrich.processed(validate.valid_landing(_landing(spark, sf_dir), FIXTURE_RULES), FIXTURE_RULES)
 
 
 def _settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,16 +61,16 @@ def q_quarantine(spark, sf_dir):
 
 
 def q_validation_report(spark, sf_dir):
-    return validate.report(_checked(spark, sf_dir)).drop("error_breakdown")
+    return validate.report(_landing(spark, sf_dir), FIXTURE_RULES).drop("error_breakdown")
 
 
 def q_error_breakdown(spark, sf_dir):
-    return validate.error_breakdown(_checked(spark, sf_dir))
+    return validate.error_breakdown(_landing(spark, sf_dir), FIXTURE_RULES)
 
 
 # De-duplication, parsing round trip, enrichment ------------------------------
 def q_dedupe_first(spark, sf_dir):
-    valid = validate.valid_rows(_checked(spark, sf_dir))
+    valid = validate.valid_landing(_landing(spark, sf_dir), FIXTURE_RULES)
     return enrich.first_delivery(enrich.typed(valid))
 
 
@@ -135,6 +137,28 @@ def q_rpt_account_patterns(spark, sf_dir):
     return reports.account_patterns(_processed(spark, sf_dir), FIXTURE_RULES)
 
 
+# Streaming twins (drained with availableNow, compared with the batch oracle) --
+def q_stream_dedupe(spark, sf_dir):
+    rows = fs.stream_enriched(spark, sf_dir, FIXTURE_RULES, dedupe=True)
+    out = fs.drain_append(spark, rows.select(*LANDING_COLS, "ts"), "dedupe")
+    return out.select(*LANDING_COLS, "ts")
+
+
+def q_stream_settlements(spark, sf_dir):
+    windows = st.settlement_windows(fs.stream_enriched(spark, sf_dir, FIXTURE_RULES))
+    table = fs.drain_upsert(spark, windows, "settlements", ["settlement_date", "transaction_type"],
+                            ["settlement_date"])
+    return settle.with_running_columns(table.select(
+        "settlement_date", "transaction_type", "total_amount", "avg_amount", "transaction_count", "flagged_count"))
+
+
+def q_stream_daily_amount(spark, sf_dir):
+    days = st.daily_amount_windows(fs.stream_enriched(spark, sf_dir, FIXTURE_RULES), FIXTURE_RULES)
+    table = fs.drain_upsert(spark, days, "daily_amount", ["account_id", "alert_date"], ["alert_date"])
+    return table.select("account_id", "alert_type", "alert_description", "transaction_count", "total_amount",
+                        "alert_date")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_rows": q_validate_rows,
     "validation_report": q_validation_report,
@@ -155,4 +179,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rpt_hourly_risk": q_rpt_hourly_risk,
     "rpt_merchant_risk": q_rpt_merchant_risk,
     "rpt_account_patterns": q_rpt_account_patterns,
+    "stream_dedupe": q_stream_dedupe,
+    "stream_settlements": q_stream_settlements,
+    "stream_daily_amount": q_stream_daily_amount,
 }

@@ -24,4 +24,7 @@ ORACLE_SQL: dict[str, str] = {
     "rpt_hourly_risk": o.rpt_hourly_risk_sql(),
     "rpt_merchant_risk": o.rpt_merchant_risk_sql(),
     "rpt_account_patterns": o.rpt_account_patterns_sql(),
+    "stream_dedupe": o.dedupe_first_sql(),
+    "stream_settlements": o.daily_settlements_sql(),
+    "stream_daily_amount": o.alerts_sql("HIGH_DAILY_AMOUNT"),
 }

@@ -1,0 +1,57 @@
+"""Streaming runs over the driver's ``events`` table (file source), used by the
+registered ``stream_*`` queries: the landing view is applied to the stream, the
+stream is drained with an availableNow trigger into keyed parquet tables under
+the session's checkpoint folder, and the resulting table is returned."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..config import Rules
+from ..session import checkpoint_dir
+from ..sources.fixture import LANDING_VIEW_SQL
+from . import stream as st
+
+
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
+        .select("event_id", "ts", "user_id", "event_type", "value")
+    )
+
+
+def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(LANDING_VIEW_SQL, events=events_stream(spark, sf_dir))
+
+
+def _run_dir(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/settleline-streams/{name}-{uuid.uuid4().hex}"
+
+
+def drain_upsert(spark: SparkSession, stream: DataFrame, name: str, keys: list[str],
+                 partition_by: list[str], output_mode: str = "update") -> DataFrame:
+    """Run ``stream`` to completion into a keyed parquet table and read it back."""
+    base = _run_dir(spark, name)
+    sink = st.upsert_sink(spark, f"{base}/table", keys, partition_by)
+    st.run_available_now(stream, sink, f"{base}/checkpoint", output_mode)
+    return spark.read.parquet(f"{base}/table")
+
+
+def drain_append(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+    """Run ``stream`` to completion, one overwrite-per-epoch folder (replay-safe)."""
+    base = _run_dir(spark, name)
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/table/epoch={epoch_id}")
+
+    st.run_available_now(stream, write, f"{base}/checkpoint", "append")
+    return spark.read.parquet(f"{base}/table").drop("epoch")
+
+
+def stream_enriched(spark: SparkSession, sf_dir: str, rules: Rules, dedupe: bool = True) -> DataFrame:
+    return st.enriched_stream(landing_stream(spark, sf_dir), rules, dedupe=dedupe)
