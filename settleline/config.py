@@ -51,6 +51,8 @@ class Rules:
     # Width of the time buckets that split one account's rows across tasks
     # (row-level windows); must be > 0.  Histogram windows use whole days.
     pattern_bucket_sec: int = 3_600
+    # Bucket width of the per-second histogram windows (at least the look-back).
+    histogram_bucket_sec: int = 86_400
 
     def with_(self, **kw) -> "Rules":
         return replace(self, **kw)

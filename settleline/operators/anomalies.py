@@ -72,7 +72,7 @@ def _halo_bucketed(hist: DataFrame, halo: int, bucket_sec: int) -> DataFrame:
 def second_profile(processed: DataFrame, rules: Rules) -> DataFrame:
     """Per (account, second): n, amt, first_amt, trailing_n (window count), prev_sec."""
     halo = max(rules.burst_window_sec, rules.rapid_gap_sec)
-    bucket_sec = max(DAY_SEC, halo)
+    bucket_sec = max(rules.histogram_bucket_sec, halo)
     rows = _halo_bucketed(second_histogram(processed), halo, bucket_sec)
     ordered = Window.partitionBy("account_id", "bucket").orderBy("sec")
     trailing = ordered.rangeBetween(-rules.burst_window_sec, 0)
