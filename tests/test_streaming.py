@@ -33,7 +33,7 @@ def test_stream_settlements_equal_batch(spark, rules, tmp_path):
     key = lambda r: (r["settlement_date"], r["transaction_type"])
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, batch.select(*got.columns).collect()),
                                                                 key=str)
-    assert len(got.collect()) == 8 and key(got.first())
+    assert len(got.collect()) == 4 and key(got.first())
 
 
 def test_stream_daily_amount_equal_batch(spark, rules, tmp_path):
