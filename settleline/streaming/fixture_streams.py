@@ -39,7 +39,9 @@ def drain_upsert(spark: SparkSession, stream: DataFrame, name: str, keys: list[s
     base = _run_dir(spark, name)
     sink = st.upsert_sink(spark, f"{base}/table", keys, partition_by)
     st.run_available_now(stream, sink, f"{base}/checkpoint", output_mode)
-    return spark.read.parquet(f"{base}/table")
+    if not _has_rows(spark, f"{base}/table"):
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(f"{base}/table")
 
 
 def drain_append(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
@@ -50,7 +52,18 @@ def drain_append(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame
         batch.write.mode("overwrite").parquet(f"{base}/table/epoch={epoch_id}")
 
     st.run_available_now(stream, write, f"{base}/checkpoint", "append")
-    return spark.read.parquet(f"{base}/table").drop("epoch")
+    if not _has_rows(spark, f"{base}/table"):
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(f"{base}/table")
+
+
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    from ..sinks.tables import read_table
+
+    try:
+        return read_table(spark, path) is not None
+    except Exception:  # an empty folder has no parquet footer to infer from
+        return False
 
 
 def stream_enriched(spark: SparkSession, sf_dir: str, rules: Rules, dedupe: bool = True) -> DataFrame:

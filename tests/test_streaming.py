@@ -9,7 +9,7 @@ from settleline.streaming import stream as st
 def _records():
     recs = []
     for i in range(40):
-        recs.append(base_record(transaction_id=uid(i), amount=20000 if i % 7 == 0 else 15 + i,
+        recs.append(base_record(transaction_id=uid(i), amount=30000 if i % 7 == 0 else 15 + i,
                                 transaction_type=["REFUND", "FEE_CHARGE"][i % 2],
                                 timestamp=f"2024-06-{1 + i % 4:02d}T{10 + i % 5:02d}:00:{i:02d}"))
     recs.append(dict(recs[3]))  # redelivery
@@ -46,6 +46,7 @@ def test_stream_daily_amount_equal_batch(spark, rules, tmp_path):
     sink = st.upsert_sink(spark, out, ["account_id", "alert_date"], ["alert_date"])
     st.run_available_now(st.daily_amount_windows(stream, rules), sink, str(tmp_path / "ckpt2"), "update")
     got = spark.read.parquet(out).select("account_id", "alert_date", "total_amount")
+    assert got.count() > 0
     batch = anomalies.high_daily_amount(
         enrich.processed(validate.valid_landing(from_records(spark, recs), rules), rules), rules)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.select(*got.columns).collect()))
