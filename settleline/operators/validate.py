@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import VALIDATED_FIELDS, Rules
-from ..functions.rules import all_rules, error_list, row_is_valid, rule_fails
+from ..functions.rules import error_list, field_validity, row_is_valid
 from ..schema import LANDING_FIELDS
 
 
@@ -56,10 +56,8 @@ def report_columns(rules: Rules) -> list[Column]:
         F.count_if(ok).alias("valid"),
         F.count_if(~ok).alias("invalid"),
     ]
-    cols += [
-        F.count_if(rule_fails(rule)).alias(f"errors_{f}")
-        for f, rule in zip(VALIDATED_FIELDS, all_rules(rules))
-    ]
+    valid = field_validity(rules)
+    cols += [F.count_if(~valid[f]).alias(f"errors_{f}") for f in VALIDATED_FIELDS]
     return cols
 
 

@@ -125,3 +125,19 @@ def test_report_from_observed_metrics(spark, rules):
     from_records(spark, recs).observe(obs, *validate.report_columns(rules)).write.format("noop").mode("overwrite").save()
     r = validate.report_from_metrics(obs.get)
     assert r == {"total": 2, "valid": 1, "invalid": 1, "valid_rate": 50.0, "error_breakdown": {"transaction_id": 1}}
+
+
+@pytest.mark.parametrize(
+    "field, value",
+    [("amount", v) for v in ["1e400", "-0", "0.001", "99999.999999", "1__0", "_1", "1_", "+.5", "5e-324", " NaN ",
+                             "Infinity", "0x10", "1,000", "٣"]]
+    + [("timestamp", v) for v in ["2024-06-01T11:00:00.", "2024-06-01T11:00:60", "2024-02-30", " 2024-06-01",
+                                  "2024-06-01T11:00:00.1234567890", "2024-6-01"]]
+    + [("transaction_id", v) for v in [" ", uid(1) + "\n", uid(1)[:-1] + "G"]]
+    + [("currency", v) for v in ["US", "USDX", "ÜSD", ""]]
+    + [("transaction_type", v) for v in ["refund", "REFUND ", ""]],
+)
+def test_boolean_validity_agrees_with_messages(spark, rules, field, value):
+    df = validate.with_errors(from_records(spark, [base_record(**{field: value})]), rules)
+    row = df.select("is_valid", "errors").first()
+    assert row["is_valid"] == (len(row["errors"]) == 0)
