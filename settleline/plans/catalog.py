@@ -18,6 +18,7 @@ from ..sinks import tables
 from ..sources import landing
 from ..sources.fixture import FIXTURE_AS_OF, read_landing_fixture
 from ..streaming import fixture_streams as fs
+from ..streaming import account_state
 from ..streaming import stream as st
 
 FIXTURE_RULES = Rules(as_of=FIXTURE_AS_OF)
@@ -159,6 +160,12 @@ def q_stream_daily_amount(spark, sf_dir):
                         "alert_date")
 
 
+def q_stream_account_alerts(spark, sf_dir):
+    totals = account_state.account_alert_state(fs.stream_enriched(spark, sf_dir, FIXTURE_RULES), FIXTURE_RULES)
+    table = fs.drain_upsert(spark, totals, "account_alerts", ["account_id"], [])
+    return account_state.alerts_from_state(table)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_rows": q_validate_rows,
     "validation_report": q_validation_report,
@@ -182,4 +189,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedupe": q_stream_dedupe,
     "stream_settlements": q_stream_settlements,
     "stream_daily_amount": q_stream_daily_amount,
+    "stream_account_alerts": q_stream_account_alerts,
 }

@@ -27,4 +27,5 @@ ORACLE_SQL: dict[str, str] = {
     "stream_dedupe": o.dedupe_first_sql(),
     "stream_settlements": o.daily_settlements_sql(),
     "stream_daily_amount": o.alerts_sql("HIGH_DAILY_AMOUNT"),
+    "stream_account_alerts": o.alerts_sql("HIGH_FREQUENCY", "RAPID_SUCCESSION"),
 }

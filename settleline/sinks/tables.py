@@ -80,26 +80,28 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, path: str, keys: Seq
 
 
 def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
-           partition_by: Sequence[str]) -> None:
-    """Replace rows by key inside the partitions the batch touches."""
+           partition_by: Sequence[str] = ()) -> None:
+    """Replace rows by key; with ``partition_by`` only the touched partitions are rewritten,
+    without it the (small, key-level) table is rewritten whole."""
     target = read_table(spark, path, batch.schema)
+    writer_of = (lambda df: df.write.mode("overwrite").partitionBy(*partition_by)) if partition_by else (
+        lambda df: df.write.mode("overwrite"))
     if target is None:
-        batch.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        writer_of(batch).parquet(path)
         return
-    touched = batch.select(*partition_by).distinct()
-    # Stored rows of the touched partitions only (semi join -> partition pruning).
-    stored = target.join(touched, list(partition_by), "left_semi")
-    merged = merged_upsert(stored, batch, keys)
+    if partition_by:
+        touched = batch.select(*partition_by).distinct()
+        # Stored rows of the touched partitions only (semi join -> partition pruning).
+        target = target.join(touched, list(partition_by), "left_semi")
+    merged = merged_upsert(target, batch, keys)
     # Stage to the shared checkpoint folder: the overwrite must not read its own output.
     staging = f"{checkpoint_dir(spark).rstrip('/')}/settleline-staging/{uuid.uuid4().hex}"
     merged.write.mode("overwrite").parquet(staging)
     staged = spark.read.parquet(staging)
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    if partition_by:
+        writer_of(staged).option("partitionOverwriteMode", "dynamic").parquet(path)
+    else:
+        writer_of(staged).parquet(path)
 
 
 def with_alert_ids(alerts: DataFrame, batch_id: str) -> DataFrame:

@@ -50,3 +50,39 @@ def test_stream_daily_amount_equal_batch(spark, rules, tmp_path):
     batch = anomalies.high_daily_amount(
         enrich.processed(validate.valid_landing(from_records(spark, recs), rules), rules), rules)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.select(*got.columns).collect()))
+
+
+def test_stream_account_state_over_several_batches(spark, rules, tmp_path):
+    from datetime import datetime, timedelta
+
+    from settleline.streaming import account_state
+
+    base, recs = datetime(2024, 6, 1, 10, 0, 0), []
+    for i in range(120):
+        sec = i * 40 + (0 if i % 4 else -25)   # steady flow with close pairs
+        recs.append(base_record(transaction_id=uid(i), account_id=f"ACC_0000{1 + i % 2}", amount=1 + i % 13,
+                                timestamp=(base + timedelta(seconds=sec, microseconds=i)).isoformat()))
+    recs += [base_record(transaction_id=uid(500 + k), account_id="ACC_00001", amount=3,
+                         timestamp=(base + timedelta(seconds=1500 + k)).isoformat()) for k in range(12)]
+    recs.sort(key=lambda r: r["timestamp"])
+    src = tmp_path / "acct"
+    src.mkdir()
+    chunks = [recs[:45], recs[45:90], recs[90:]]   # consecutive time ranges -> three micro-batches
+    for part, chunk in enumerate(chunks):
+        (src / f"p{part}.json").write_text("\n".join(json.dumps(r) for r in reversed(chunk)) + "\n")
+    stream = st.enriched_stream(
+        st.read_landing_stream(spark, str(src), maxFilesPerTrigger=1), rules, dedupe=True, watermark="10 minutes")
+    out = str(tmp_path / "acct_out")
+    sink = st.upsert_sink(spark, out, ["account_id"], [])
+    q = st.run_available_now(account_state.account_alert_state(stream, rules), sink, str(tmp_path / "ck3"), "update")
+    assert len([p for p in q.recentProgress if p.numInputRows]) == 3
+    assert st.late_rows(q) == 0
+    table = spark.read.parquet(out)
+    assert table.agg({"late_rows": "sum"}).first()[0] == 0
+    got = account_state.alerts_from_state(table)
+    processed = enrich.processed(validate.valid_landing(from_records(spark, recs), rules), rules)
+    alerts = anomalies.detect_anomalies(processed, rules).filter("alert_type <> 'HIGH_DAILY_AMOUNT'")
+    cols = ["account_id", "alert_type", "transaction_count", "total_amount"]
+    expected = sorted(map(tuple, alerts.select(*cols).collect()))
+    assert {r[1] for r in expected} == {"HIGH_FREQUENCY", "RAPID_SUCCESSION"}
+    assert sorted(map(tuple, got.select(*cols).collect())) == expected
