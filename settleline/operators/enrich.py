@@ -24,18 +24,36 @@ def typed(valid: DataFrame) -> DataFrame:
     )
 
 
-def first_delivery(rows: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Keep one row per ``key``: the earliest by (ts, then the remaining columns).
+def first_delivery(rows: DataFrame, key: str = "transaction_id", order_by: str = "ts") -> DataFrame:
+    """Keep one row per ``key``: the earliest by (``order_by``, then the remaining columns).
 
     Deterministic "first wins".  Implemented as a grouped ``min`` over a struct
     whose leading field is the ordering, so the map side pre-aggregates
     (a key redelivered a million times costs one row per task in the shuffle).
     """
-    others = [c for c in rows.columns if c not in (key, "ts")]
-    best = F.min(F.struct(F.col("ts"), *[F.col(c) for c in others])).alias("_first")
+    others = [c for c in rows.columns if c not in (key, order_by)]
+    best = F.min(F.struct(F.col(order_by), *[F.col(c) for c in others])).alias("_first")
     return rows.groupBy(key).agg(best).select(key, "_first.*").select(*rows.columns)
 
 
+def with_burst_flag(processed: DataFrame, rules: Rules, window_sec: int = 60, min_exclusive: int = 5) -> DataFrame:
+    """Opt-in design-document rule: also suspicious when the account has more than
+    ``min_exclusive`` transactions in the trailing ``window_sec`` seconds.
+
+    Trailing counts come from the halo-bucketed per-second histogram (see
+    ``operators.anomalies``) joined back on (account_id, second), so a busy
+    account is never gathered into one task.
+    """
+    from .anomalies import second_profile, with_epoch
+
+    burst_rules = rules.with_(burst_window_sec=window_sec, rapid_gap_sec=1)
+    counts = second_profile(processed, burst_rules).select(
+        "account_id", "sec", (F.col("trailing_n") > min_exclusive).alias("_burst"))
+    joined = with_epoch(processed).join(counts, ["account_id", "sec"], "left")
+    return joined.withColumn("is_suspicious", F.col("is_suspicious") | F.coalesce("_burst", F.lit(False))).select(
+        *processed.columns)
+
+
 def enrich(rows: DataFrame, rules: Rules) -> DataFrame:
     """Add transaction_date, transaction_hour, amount_bucket, is_suspicious, risk_score."""
     amount, flagged, status = F.col("amount"), F.col("is_flagged"), F.col("status")

@@ -48,7 +48,7 @@ def settlement_summary(settlements: DataFrame) -> DataFrame:
         "running_total",
         change.cast(MONEY_SUM_TYPE).alias("dod_change"),
         pct.cast(PCT_TYPE).alias("dod_pct_change"),
-    )
+    ).orderBy(F.col("settlement_date").desc_nulls_first(), F.col("transaction_type"))
 
 
 # RPT-2 -----------------------------------------------------------------------
@@ -114,7 +114,7 @@ def hourly_risk(processed: DataFrame) -> DataFrame:
         F.when(F.col("anomaly_rate_pct") > 20, F.lit("HIGH RISK"))
         .when(F.col("anomaly_rate_pct") > 10, F.lit("MEDIUM RISK"))
         .otherwise(F.lit("LOW RISK")),
-    )
+    ).orderBy("transaction_hour")
 
 
 # RPT-4 -----------------------------------------------------------------------

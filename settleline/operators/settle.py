@@ -51,5 +51,8 @@ def with_running_columns(totals: DataFrame) -> DataFrame:
     )
 
 
-def daily_settlements(processed: DataFrame) -> DataFrame:
-    return with_running_columns(daily_totals(processed))
+def daily_settlements(processed: DataFrame, ordered: bool = False) -> DataFrame:
+    """Settlement table; ``ordered`` sorts by (date, type) for presentation only
+    (never needed before a write)."""
+    out = with_running_columns(daily_totals(processed))
+    return out.orderBy("settlement_date", "transaction_type") if ordered else out

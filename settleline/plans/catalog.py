@@ -138,6 +138,26 @@ def q_rpt_account_patterns(spark, sf_dir):
     return reports.account_patterns(_processed(spark, sf_dir), FIXTURE_RULES)
 
 
+# Keyed table writes as pure merges ------------------------------------------
+FIRST_LOAD_UNTIL = "2024-01-20"   # the earlier batch covers days before this date
+SECOND_LOAD_FROM = "2024-01-10"   # the later batch re-covers days from this date
+
+
+def q_insert_if_absent(spark, sf_dir):
+    """Raw landing table after loading the batch twice (redelivery): one row per id."""
+    rows = tables.raw_landing_rows(_landing(spark, sf_dir))
+    once = tables.merged_insert_if_absent(None, rows, ["transaction_id"])
+    return tables.merged_insert_if_absent(once, rows, ["transaction_id"])
+
+
+def q_upsert_settlements(spark, sf_dir):
+    """Settlement table after an earlier batch, then an overlapping later batch (upsert)."""
+    processed = _processed(spark, sf_dir)
+    earlier = settle.daily_settlements(processed.filter(F.col("transaction_date") < F.lit(FIRST_LOAD_UNTIL).cast("date")))
+    later = settle.daily_settlements(processed.filter(F.col("transaction_date") >= F.lit(SECOND_LOAD_FROM).cast("date")))
+    return tables.merged_upsert(earlier, later, ["settlement_date", "transaction_type"])
+
+
 # Streaming twins (drained with availableNow, compared with the batch oracle) --
 def q_stream_dedupe(spark, sf_dir):
     rows = fs.stream_enriched(spark, sf_dir, FIXTURE_RULES, dedupe=True)
@@ -186,6 +206,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rpt_hourly_risk": q_rpt_hourly_risk,
     "rpt_merchant_risk": q_rpt_merchant_risk,
     "rpt_account_patterns": q_rpt_account_patterns,
+    "insert_if_absent": q_insert_if_absent,
+    "upsert_settlements": q_upsert_settlements,
     "stream_dedupe": q_stream_dedupe,
     "stream_settlements": q_stream_settlements,
     "stream_daily_amount": q_stream_daily_amount,

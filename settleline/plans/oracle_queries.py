@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import oracle as o
+from .catalog import FIRST_LOAD_UNTIL, SECOND_LOAD_FROM
 
 ORACLE_SQL: dict[str, str] = {
     "validate_rows": o.validate_rows_sql(),
@@ -24,6 +25,8 @@ ORACLE_SQL: dict[str, str] = {
     "rpt_hourly_risk": o.rpt_hourly_risk_sql(),
     "rpt_merchant_risk": o.rpt_merchant_risk_sql(),
     "rpt_account_patterns": o.rpt_account_patterns_sql(),
+    "insert_if_absent": o.insert_if_absent_sql(),
+    "upsert_settlements": o.upsert_settlements_sql(FIRST_LOAD_UNTIL, SECOND_LOAD_FROM),
     "stream_dedupe": o.dedupe_first_sql(),
     "stream_settlements": o.daily_settlements_sql(),
     "stream_daily_amount": o.alerts_sql("HIGH_DAILY_AMOUNT"),

@@ -3,7 +3,7 @@
 
 Job layout (each step is one Spark job; nothing but counters reaches the driver):
 
-1. quarantine write.  The validation counters ride along as an ``observe``
+1. quarantine write and raw landing table (insert-if-absent by transaction_id).  The validation counters ride along as an ``observe``
    on the same scan, so the report costs no extra pass.
 2. enriched batch -> parquet under the session's shared checkpoint folder
    (``spark.checkpoint.dir``).  This cuts the lineage once: steps 3-5 read the
@@ -23,6 +23,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT_RULES, Rules
 from ..operators import anomalies, enrich, settle, validate
@@ -42,7 +43,8 @@ def table_paths(root: str) -> dict:
     root = root.rstrip("/")
     return {
         name: f"{root}/{name}"
-        for name in ("processed", "daily_settlements", "anomaly_alerts", "quarantine", "data_quality_log")
+        for name in ("raw_transactions", "processed", "daily_settlements", "anomaly_alerts", "quarantine",
+                     "data_quality_log")
     }
 
 
@@ -67,6 +69,10 @@ def run_batch(spark: SparkSession, landing: DataFrame, root: str, rules: Rules =
     validate.quarantine(checked).write.mode("overwrite").parquet(f"{paths['quarantine']}/batch_id={batch_id}")
     report = validate.report_from_metrics(obs.get)
 
+    # 1b. raw landing table: every record with an id, insert-if-absent
+    raw = tables.raw_landing_rows(landing).withColumn("loaded_at", F.current_timestamp())
+    tables.insert_if_absent(spark, raw, paths["raw_transactions"], keys=["transaction_id"])
+
     # 2. enriched batch, lineage cut
     batch = stage_enriched(spark, landing, rules, batch_id)
 

@@ -104,6 +104,25 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
         writer_of(staged).parquet(path)
 
 
+def raw_landing_rows(landing: DataFrame) -> DataFrame:
+    """Rows for the raw landing table: every record with a usable id (valid or not),
+    first delivery per id by its timestamp text; id-less rows only live in quarantine."""
+    from ..operators.enrich import first_delivery
+
+    keyed = landing.filter(F.col("transaction_id").isNotNull() & (F.col("transaction_id") != ""))
+    return first_delivery(keyed, key="transaction_id", order_by="timestamp")
+
+
+def write_snapshots(output_path: str, processed: DataFrame, settlements: DataFrame, alerts: DataFrame) -> None:
+    """Plain parquet overwrite of the three batch outputs; processed is partitioned by
+    transaction_date and only the dates present in this batch are replaced."""
+    root = output_path.rstrip("/")
+    (processed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("transaction_date").parquet(f"{root}/processed"))
+    settlements.write.mode("overwrite").parquet(f"{root}/settlements")
+    alerts.write.mode("overwrite").parquet(f"{root}/anomalies")
+
+
 def with_alert_ids(alerts: DataFrame, batch_id: str) -> DataFrame:
     """Deterministic alert_id = sha2(batch, account, type, date) and a detection time."""
     ident = F.concat_ws(

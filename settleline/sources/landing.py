@@ -96,3 +96,16 @@ def from_records(spark: SparkSession, records: Iterable[Mapping]) -> DataFrame:
         row.append(r.get("is_flagged", False))
         rows.append(tuple(row))
     return spark.createDataFrame(rows, LANDING_SCHEMA)
+
+
+def select_source(spark: SparkSession, records: Iterable[Mapping] | None = None,
+                  kafka: Mapping | None = None, path: str | None = None) -> DataFrame:
+    """Landing frame from the first source given: records, then a topic, then a path."""
+    if records is not None:
+        return from_records(spark, records)
+    if kafka:
+        return read_kafka(spark, kafka.get("bootstrap_servers", "localhost:9092"),
+                          kafka.get("topic", "financial_transactions"))
+    if path:
+        return read_json_lines(spark, path)
+    raise ValueError("Must provide records, a kafka config or an input path")
