@@ -64,3 +64,41 @@ def test_entry_contract(spark):
     assert out.count() > 0
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert set(QUERIES) == set(contract.queries())
+
+
+def test_select_source_precedence(spark, tmp_path):
+    import pytest as _pytest
+
+    p = tmp_path / "one.jsonl"
+    p.write_text(json.dumps(base_record(transaction_id=uid(7))) + "\n")
+    assert src.select_source(spark, records=[base_record()]).count() == 1
+    assert src.select_source(spark, path=str(p)).first()["transaction_id"] == uid(7)
+    with _pytest.raises(ValueError):
+        src.select_source(spark)
+
+
+def test_burst_flag_opt_in(spark, rules):
+    from datetime import datetime, timedelta
+
+    base = datetime(2024, 6, 1, 12, 0, 0)
+    recs = [base_record(transaction_id=uid(i), amount=10, timestamp=(base + timedelta(seconds=10 * i)).isoformat())
+            for i in range(7)]  # 7 rows within 60 s: rows 6 and 7 see > 5 in the trailing minute
+    processed = enrich.processed(validate.valid_landing(src.from_records(spark, recs), rules), rules)
+    assert processed.filter("is_suspicious").count() == 0
+    flagged = enrich.with_burst_flag(processed, rules)
+    assert flagged.columns == processed.columns
+    assert sorted(r["transaction_id"] for r in flagged.filter("is_suspicious").collect()) == [uid(5), uid(6)]
+
+
+def test_snapshot_writes(spark, rules, tmp_path):
+    from settleline.operators import settle
+    from settleline.sinks import tables
+
+    df = src.from_records(spark, [base_record(transaction_id=uid(i), timestamp=f"2024-06-0{1 + i % 2}T10:00:00")
+                                  for i in range(4)])
+    processed = enrich.processed(validate.valid_landing(df, rules), rules)
+    out = str(tmp_path / "snap")
+    tables.write_snapshots(out, processed, settle.daily_settlements(processed),
+                           anomalies.detect_anomalies(processed, rules))
+    assert spark.read.parquet(f"{out}/processed").count() == 4
+    assert spark.read.parquet(f"{out}/settlements").count() == 2
