@@ -48,9 +48,12 @@ def table_paths(root: str) -> dict:
     }
 
 
-def stage_enriched(spark: SparkSession, landing: DataFrame, rules: Rules, batch_id: str) -> DataFrame:
-    """Write the batch's enriched rows once to the shared checkpoint folder and read them back."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/settleline-batches/{batch_id}/enriched"
+def stage_enriched(spark: SparkSession, landing: DataFrame, rules: Rules, batch_id: str,
+                   root: str) -> DataFrame:
+    """Write the batch's enriched rows once to the shared checkpoint folder (or, when the
+    session names none, a staging folder beside the tables) and read them back."""
+    base = checkpoint_dir(spark, fallback=f"{root.rstrip('/')}/_staging")
+    path = f"{base.rstrip('/')}/settleline-batches/{batch_id}/enriched"
     enriched = enrich.processed(validate.valid_landing(landing, rules), rules)
     enriched.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -74,7 +77,7 @@ def run_batch(spark: SparkSession, landing: DataFrame, root: str, rules: Rules =
     tables.insert_if_absent(spark, raw, paths["raw_transactions"], keys=["transaction_id"])
 
     # 2. enriched batch, lineage cut
-    batch = stage_enriched(spark, landing, rules, batch_id)
+    batch = stage_enriched(spark, landing, rules, batch_id, root)
 
     # 3. processed table; without batch de-duplication the key still has to be unique
     rows = batch if rules.dedupe else enrich.first_delivery(batch)

@@ -40,17 +40,27 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     is used as is; a local scratch folder is only chosen when nothing is
     configured, which is the test situation.
     """
-    current = spark.conf.get(CHECKPOINT_CONF, None)
+    current = configured_checkpoint_dir(spark)
     if not current:
         current = fallback or tempfile.mkdtemp(prefix="settleline-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
-    spark.sparkContext.setCheckpointDir(current)
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The configured shared checkpoint folder; raises if none is configured."""
+def configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The cluster's shared checkpoint folder, if the session names one."""
     current = spark.conf.get(CHECKPOINT_CONF, None)
+    if not current:
+        current = spark.sparkContext.getCheckpointDir()
+    return current or None
+
+
+def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+    """Shared folder for intermediate tables: ``spark.checkpoint.dir`` when set,
+    else ``fallback`` (callers pass a folder next to their output tables, which
+    lives on the same shared storage); raises when neither exists."""
+    current = configured_checkpoint_dir(spark) or fallback
     if not current:
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set: configure a shared folder for intermediate tables"

@@ -95,7 +95,8 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
         target = target.join(touched, list(partition_by), "left_semi")
     merged = merged_upsert(target, batch, keys)
     # Stage to the shared checkpoint folder: the overwrite must not read its own output.
-    staging = f"{checkpoint_dir(spark).rstrip('/')}/settleline-staging/{uuid.uuid4().hex}"
+    base = checkpoint_dir(spark, fallback=f"{path.rstrip('/')}__staging")
+    staging = f"{base.rstrip('/')}/settleline-staging/{uuid.uuid4().hex}"
     merged.write.mode("overwrite").parquet(staging)
     staged = spark.read.parquet(staging)
     if partition_by:

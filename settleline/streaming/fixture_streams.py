@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import Rules
-from ..session import checkpoint_dir
+from ..session import ensure_checkpoint_dir
 from ..sources.fixture import LANDING_VIEW_SQL
 from . import stream as st
 
@@ -30,7 +30,8 @@ def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/settleline-streams/{name}-{uuid.uuid4().hex}"
+    # Test harness: uses the session's folder, and only creates one when unset.
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/settleline-streams/{name}-{uuid.uuid4().hex}"
 
 
 def drain_upsert(spark: SparkSession, stream: DataFrame, name: str, keys: list[str],

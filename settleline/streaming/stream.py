@@ -58,6 +58,11 @@ def enriched_stream(landing: DataFrame, rules: Rules, dedupe: bool = False,
     return enrich.enrich(rows, rules)
 
 
+def utc_date(instant) -> "F.Column":
+    """Calendar date (UTC) of a TIMESTAMP instant, whatever the session time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / F.lit(86400)).cast("int"))
+
+
 def settlement_windows(enriched: DataFrame) -> DataFrame:
     """Per (1-day window, type): total, count, flagged count (no running columns)."""
     return (
@@ -68,7 +73,7 @@ def settlement_windows(enriched: DataFrame) -> DataFrame:
             F.count_if(F.col("is_flagged") == F.lit(True)).alias("flagged_count"),
         )
         .select(
-            F.to_date(F.col("w.start")).alias("settlement_date"),
+            utc_date(F.col("w.start")).alias("settlement_date"),
             "transaction_type",
             F.col("_sum").cast(MONEY_SUM_TYPE).alias("total_amount"),
             F.round(F.col("_sum").cast("decimal(22,2)") / F.col("transaction_count").cast("decimal(20,0)"), 2)
@@ -95,7 +100,7 @@ def daily_amount_windows(enriched: DataFrame, rules: Rules) -> DataFrame:
         ).alias("alert_description"),
         F.col("transaction_count").cast("long").alias("transaction_count"),
         F.col("total_amount").cast(MONEY_SUM_TYPE).alias("total_amount"),
-        F.to_date(F.col("w.start")).alias("alert_date"),
+        utc_date(F.col("w.start")).alias("alert_date"),
     )
 
 

@@ -46,3 +46,11 @@ def test_upsert_replaces_by_key(spark, rules, tmp_path):
     assert float(s["2024-06-01"]["total_amount"]) == 30.0
     assert float(s["2024-06-02"]["total_amount"]) == 5.0
     assert spark.read.parquet(res.paths["processed"]).count() == 3
+
+
+def test_staging_falls_back_beside_tables(spark, rules, tmp_path):
+    from settleline.session import checkpoint_dir
+
+    assert checkpoint_dir(spark, fallback="unused")  # the test session names a folder
+    root = str(tmp_path / "wh3")
+    assert checkpoint_dir(spark, fallback=f"{root}/_staging") != f"{root}/_staging"
