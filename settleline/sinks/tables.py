@@ -47,11 +47,21 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
 
 
 # Pure DataFrame forms (also used by the registered queries) --------------------
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]):
+    # Null-safe: a NULL partition value (e.g. an unparseable date) still identifies its rows.
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(right[k])
+        cond = c if cond is None else cond & c
+    return cond
+
+
 def rows_to_insert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch rows whose key is absent from ``target`` (batch keys assumed unique)."""
     if target is None:
         return batch
-    return batch.join(target.select(*keys), list(keys), "left_anti")
+    stored = target.select(*keys)
+    return batch.join(stored, _same_keys(batch, stored, keys), "left_anti")
 
 
 def merged_insert_if_absent(target: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -71,8 +81,16 @@ def merged_upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str
 # Writers ---------------------------------------------------------------------
 def insert_if_absent(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
                      partition_by: Sequence[str] = ()) -> None:
-    """Append the batch rows whose key is not stored yet (idempotent on re-run)."""
+    """Append the batch rows whose key is not stored yet (idempotent on re-run).
+
+    With ``partition_by`` (which must be part of ``keys``) the stored keys are first
+    narrowed to the partitions the batch touches with a semi join, which Spark can
+    turn into partition pruning; the anti join alone would read every partition.
+    """
     target = read_table(spark, path, batch.schema)
+    if target is not None and partition_by:
+        touched = batch.select(*partition_by).distinct()
+        target = target.join(touched, _same_keys(target, touched, partition_by), "left_semi")
     writer = rows_to_insert(target, batch, keys).write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

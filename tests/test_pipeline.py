@@ -8,14 +8,15 @@ def _batch(spark):
                         timestamp=f"2024-06-0{1 + i % 3}T10:00:{i:02d}") for i in range(12)]
     recs.append(dict(recs[0]))                      # redelivery
     recs.append(base_record(transaction_id=None))  # invalid
+    recs.append(base_record(transaction_id=uid(77), timestamp="garbage"))  # invalid, but has an id
     return from_records(spark, recs)
 
 
 def _snapshot(spark, paths):
     out = {}
-    for name in ("processed", "daily_settlements", "anomaly_alerts", "data_quality_log"):
+    for name in ("raw_transactions", "processed", "daily_settlements", "anomaly_alerts", "data_quality_log"):
         df = spark.read.parquet(paths[name])
-        cols = [c for c in df.columns if c not in ("detection_time", "processed_at")]
+        cols = [c for c in df.columns if c not in ("detection_time", "processed_at", "loaded_at")]
         out[name] = sorted(tuple(str(v) for v in r) for r in df.select(*sorted(cols)).collect())
     return out
 
@@ -24,12 +25,13 @@ def test_run_batch_writes_and_is_idempotent(spark, rules, tmp_path):
     root = str(tmp_path / "warehouse")
     landing = _batch(spark)
     first = run_batch(spark, landing, root, rules, batch_id="b-1")
-    assert first.report["total"] == 14 and first.report["invalid"] == 1
-    assert first.report["error_breakdown"] == {"transaction_id": 1}
+    assert first.report["total"] == 15 and first.report["invalid"] == 2
+    assert first.report["error_breakdown"] == {"transaction_id": 1, "timestamp": 1}
     snap1 = _snapshot(spark, first.paths)
     assert len(snap1["processed"]) == 12
     assert len(snap1["data_quality_log"]) == 1
-    assert spark.read.parquet(first.paths["quarantine"]).count() == 1
+    assert spark.read.parquet(first.paths["quarantine"]).count() == 2
+    assert len(snap1["raw_transactions"]) == 13  # 12 ids + the id with a bad timestamp
     again = run_batch(spark, landing, root, rules, batch_id="b-1")
     assert _snapshot(spark, again.paths) == snap1
 
