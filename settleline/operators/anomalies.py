@@ -69,11 +69,12 @@ def _halo_bucketed(hist: DataFrame, halo: int, bucket_sec: int) -> DataFrame:
     return hist.select("*", F.explode(copies).alias("_b")).select("*", "_b.bucket", "_b.is_home").drop("_b")
 
 
-def second_profile(processed: DataFrame, rules: Rules) -> DataFrame:
+def second_profile(processed: DataFrame, rules: Rules, hist: DataFrame | None = None) -> DataFrame:
     """Per (account, second): n, amt, first_amt, trailing_n (window count), prev_sec."""
     halo = max(rules.burst_window_sec, rules.rapid_gap_sec)
     bucket_sec = max(rules.histogram_bucket_sec, halo)
-    rows = _halo_bucketed(second_histogram(processed), halo, bucket_sec)
+    hist = hist if hist is not None else second_histogram(processed)
+    rows = _halo_bucketed(hist, halo, bucket_sec)
     ordered = Window.partitionBy("account_id", "bucket").orderBy("sec")
     trailing = ordered.rangeBetween(-rules.burst_window_sec, 0)
     return (
@@ -111,13 +112,20 @@ def high_frequency(processed: DataFrame, rules: Rules, profile: DataFrame | None
     return _alert(hot, HIGH_FREQUENCY, text)
 
 
-def high_daily_amount(processed: DataFrame, rules: Rules) -> DataFrame:
-    """One alert per account-day whose amount sum exceeds the limit (date kept as alert_date)."""
-    days = (
-        processed.groupBy("account_id", "transaction_date")
-        .agg(F.sum("amount").alias("total_amount"), F.count(F.lit(1)).alias("transaction_count"))
-        .filter(F.col("total_amount") > rules.daily_amount_limit)
-    )
+def high_daily_amount(processed: DataFrame, rules: Rules, hist: DataFrame | None = None) -> DataFrame:
+    """One alert per account-day whose amount sum exceeds the limit (date kept as alert_date).
+
+    Given the per-second histogram, the account-day sums are re-aggregated from it
+    (day = floor(sec / 86400)), so all three rules share one pass over the rows.
+    """
+    if hist is None:
+        per_day = processed.groupBy("account_id", "transaction_date").agg(
+            F.sum("amount").alias("total_amount"), F.count(F.lit(1)).alias("transaction_count"))
+    else:
+        day = F.date_from_unix_date(F.floor(F.col("sec") / F.lit(DAY_SEC)).cast("int"))
+        per_day = hist.groupBy("account_id", day.alias("transaction_date")).agg(
+            F.sum("amt").alias("total_amount"), F.sum("n").alias("transaction_count"))
+    days = per_day.filter(F.col("total_amount") > rules.daily_amount_limit)
     text = F.concat(
         F.lit("Account exceeded $50,000 daily threshold with $"),
         F.round(F.col("total_amount"), 2).cast(MONEY_SUM_TYPE).cast("string"),
@@ -127,14 +135,9 @@ def high_daily_amount(processed: DataFrame, rules: Rules) -> DataFrame:
 
 def rapid_succession(processed: DataFrame, rules: Rules, profile: DataFrame | None = None) -> DataFrame:
     profile = profile if profile is not None else second_profile(processed, rules)
-    gap_ok = F.coalesce((F.col("sec") - F.col("prev_sec")) < rules.rapid_gap_sec, F.lit(False))
-    first_in = F.when(gap_ok, F.lit(1)).otherwise(F.lit(0))
-    close = profile.select(
-        "account_id",
-        (F.col("n") - 1 + first_in).alias("close_n"),
-        (F.col("amt") - F.col("first_amt") + F.when(gap_ok, F.col("first_amt")).otherwise(F.lit(0)))
-        .alias("close_amt"),
-    ).filter(F.col("close_n") > 0)
+    close_n, close_amt = _close_pairs(profile, rules)
+    close = profile.select("account_id", close_n.alias("close_n"), close_amt.alias("close_amt")).filter(
+        F.col("close_n") > 0)
     per_account = close.groupBy("account_id").agg(
         F.sum("close_n").alias("transaction_count"), F.sum("close_amt").alias("total_amount")
     )
@@ -146,18 +149,74 @@ def rapid_succession(processed: DataFrame, rules: Rules, profile: DataFrame | No
     return _alert(per_account, RAPID_SUCCESSION, text)
 
 
+def _close_pairs(profile: DataFrame, rules: Rules):
+    """(close_n, close_amt) of a profile row: rows that are the later one of a close pair."""
+    gap_ok = F.coalesce((F.col("sec") - F.col("prev_sec")) < rules.rapid_gap_sec, F.lit(False))
+    close_n = F.col("n") - 1 + F.when(gap_ok, F.lit(1)).otherwise(F.lit(0))
+    close_amt = F.col("amt") - F.col("first_amt") + F.when(gap_ok, F.col("first_amt")).otherwise(F.lit(0))
+    return close_n, close_amt
+
+
 def detect_anomalies(processed: DataFrame, rules: Rules) -> DataFrame:
-    """Union of the three rule outputs (by name) with the alert contract columns."""
+    """All three rules in one pipeline, same rows as the union of the single-rule outputs.
+
+    profile (per account-second) -> per (account, day): day totals and the
+    partial HIGH_FREQUENCY / RAPID_SUCCESSION sums -> per account: the rule
+    totals plus the list of days over the daily limit (at most one entry per
+    calendar day) -> one explode into alert rows.  No branch re-reads the rows,
+    so the de-duplication and histogram shuffles run once.
+    """
     profile = second_profile(processed, rules)
-    parts = [
-        high_frequency(processed, rules, profile),
-        high_daily_amount(processed, rules),
-        rapid_succession(processed, rules, profile),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*ALERT_COLUMNS)
+    over = F.col("trailing_n") > rules.burst_min_exclusive
+    close_n, close_amt = _close_pairs(profile, rules)
+    day = F.date_from_unix_date(F.floor(F.col("sec") / F.lit(DAY_SEC)).cast("int"))
+    per_day = profile.groupBy("account_id", day.alias("day")).agg(
+        F.sum("amt").alias("day_amt"),
+        F.sum("n").alias("day_n"),
+        F.max(F.when(over, F.col("trailing_n"))).alias("hf_max"),
+        F.sum(F.when(over, F.col("amt"))).alias("hf_amt"),
+        F.sum(close_n).alias("rs_n"),
+        F.sum(close_amt).alias("rs_amt"),
+    )
+    big_day = F.when(
+        F.col("day_amt") > rules.daily_amount_limit,
+        F.struct(F.col("day").alias("d"), F.col("day_amt").alias("a"), F.col("day_n").alias("n")),
+    )
+    per_account = per_day.groupBy("account_id").agg(
+        F.max("hf_max").alias("hf_max"),
+        F.sum("hf_amt").alias("hf_amt"),
+        F.sum("rs_n").alias("rs_n"),
+        F.sum("rs_amt").alias("rs_amt"),
+        F.collect_list(big_day).alias("big_days"),
+    )
+
+    def alert(kind, count, amount, text, date):
+        return F.struct(
+            F.lit(kind).alias("alert_type"),
+            text.alias("alert_description"),
+            count.cast("long").alias("transaction_count"),
+            amount.cast(MONEY_SUM_TYPE).alias("total_amount"),
+            date.alias("alert_date"),
+        )
+
+    no_date = F.lit(None).cast("date")
+    hf = F.when(F.col("hf_max").isNotNull(), alert(
+        HIGH_FREQUENCY, F.col("hf_max"), F.col("hf_amt"),
+        F.concat(F.lit("Account had "), F.col("hf_max").cast("string"), F.lit(" transactions in a 1-hour window")),
+        no_date))
+    rs = F.when(F.col("rs_n") > 0, alert(
+        RAPID_SUCCESSION, F.col("rs_n"), F.col("rs_amt"),
+        F.concat(F.lit("Account had "), F.col("rs_n").cast("string"),
+                 F.lit(" rapid successive transactions (< 30s apart)")),
+        no_date))
+    days = F.transform("big_days", lambda x: alert(
+        HIGH_DAILY_AMOUNT, x["n"], x["a"],
+        F.concat(F.lit("Account exceeded $50,000 daily threshold with $"),
+                 F.round(x["a"], 2).cast(MONEY_SUM_TYPE).cast("string")),
+        x["d"]))
+    alerts = F.filter(F.concat(F.array(hf, rs), days), lambda x: x.isNotNull())
+    return per_account.select("account_id", F.explode(alerts).alias("a")).select(
+        "account_id", "a.*").select(*ALERT_COLUMNS)
 
 
 def trailing_hour_count(processed: DataFrame, rules: Rules) -> DataFrame:

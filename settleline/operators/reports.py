@@ -2,8 +2,9 @@
 
 Hand-applied rewrites (all exact):
 * top-k before join/rank: the top-10/top-20 rows are chosen first, then the
-  alert summary is joined (RPT-2) or the ranks are computed (RPT-4) on at most
-  k rows, so no global single-partition window and only k-row broadcasts.
+  alert summary is joined to them (RPT-2, the k rows are the broadcast side) or
+  the ranks are computed (RPT-4) on at most k rows, so no global
+  single-partition window and only k-row broadcasts.
 * RPT-5's per-account LAG/LEAD runs inside (account, time-bucket) partitions;
   the neighbours across bucket edges come from a small per-bucket table, so a
   hot account is spread over many tasks.
@@ -78,10 +79,12 @@ def top_accounts(processed: DataFrame, alerts: DataFrame, k: int = 10) -> DataFr
         .orderBy(F.col("total_volume").desc(), F.col("account_id"))
         .limit(k)
     )
-    # Both broadcasts are bounded by k rows by construction.
-    keys = F.broadcast(top.select("account_id"))
-    summary = alert_summary(alerts.join(keys, "account_id", "left_semi"))
-    return top.join(F.broadcast(summary), "account_id", "left").select(
+    # The top-k rows (at most k, by construction) are the broadcast build side of a
+    # right outer join, so the alert summary is streamed, not shuffled, and the
+    # top-k subplan appears once.
+    summary = alert_summary(alerts)
+    joined = summary.join(F.broadcast(top), "account_id", "right")
+    return joined.select(
         "account_id",
         "total_transactions",
         "total_volume",

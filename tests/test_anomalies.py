@@ -125,3 +125,19 @@ def test_histogram_halo_equals_plain_windows(spark, rules, bucket):
     assert rs == rs_plain
     per_row = {x["transaction_id"]: x["txn_count_1h"] for x in anomalies.trailing_hour_count(processed, r).collect()}
     assert per_row == {x["transaction_id"]: x["c"] for x in plain.collect()}
+
+
+def test_detect_anomalies_equals_union_of_rules(spark, rules):
+    recs, i = [], 0
+    for acc, per in (("ACC_00001", 900), ("ACC_00002", 40), ("ACC_00003", 1)):
+        for k in range(per):
+            recs.append(rec(i, k * 191 + (k % 4) * 7, amount=5 + (k * 37) % 9000, account=acc))
+            i += 1
+    recs += [rec(5000 + k, 100000 + k * 5, amount=3 + k, account="ACC_00002") for k in range(4)]
+    processed = processed_of(spark, rules, recs)
+    union = (anomalies.high_frequency(processed, rules)
+             .unionByName(anomalies.high_daily_amount(processed, rules))
+             .unionByName(anomalies.rapid_succession(processed, rules)))
+    combined = anomalies.detect_anomalies(processed, rules)
+    assert {r["alert_type"] for r in combined.collect()} == {"HIGH_FREQUENCY", "HIGH_DAILY_AMOUNT", "RAPID_SUCCESSION"}
+    assert sorted(map(tuple, combined.collect())) == sorted(map(tuple, union.select(*combined.columns).collect()))
