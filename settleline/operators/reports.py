@@ -54,13 +54,25 @@ def settlement_summary(settlements: DataFrame) -> DataFrame:
 
 # RPT-2 -----------------------------------------------------------------------
 def account_activity(processed: DataFrame) -> DataFrame:
-    return processed.groupBy("account_id").agg(
-        F.count("transaction_id").alias("total_transactions"),
-        F.sum("amount").cast(MONEY_SUM_TYPE).alias("total_volume"),
-        F.sum("amount").alias("_sum"),
-        F.count(F.lit(1)).alias("_n"),
-        F.countDistinct("transaction_date").alias("active_days"),
-        _suspicious_count().alias("suspicious_count"),
+    """Per account: counts, volume, active days, suspicious count.
+
+    Two-level aggregation (account-day, then account) instead of COUNT(DISTINCT
+    date): the same numbers without the row-doubling Expand of a distinct
+    aggregate, and the account-day level pre-aggregates map-side.
+    """
+    per_day = processed.groupBy("account_id", "transaction_date").agg(
+        F.count("transaction_id").alias("ids"),
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("amount").alias("amt"),
+        _suspicious_count().alias("susp"),
+    )
+    return per_day.groupBy("account_id").agg(
+        F.sum("ids").alias("total_transactions"),
+        F.sum("amt").cast(MONEY_SUM_TYPE).alias("total_volume"),
+        F.sum("amt").alias("_sum"),
+        F.sum("rows").alias("_n"),
+        F.count("transaction_date").alias("active_days"),
+        F.sum("susp").alias("suspicious_count"),
     )
 
 
