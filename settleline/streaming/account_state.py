@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,59 +36,73 @@ OUTPUT_SCHEMA = (
 STATE_SCHEMA = "hist string, final_upto long, hf_max long, hf_amt long, rs_n long, rs_amt long, late long"
 
 
+HIST_COLUMNS = ("sec", "n", "amt", "f_ord", "f_tid", "f_amt")
+
+
+def _empty_hist() -> pd.DataFrame:
+    return pd.DataFrame({c: pd.Series(dtype="object" if c == "f_tid" else "int64") for c in HIST_COLUMNS})
+
+
 def _per_second(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Rows -> per second: n, amount, first row's (ord, tid, amount)."""
-    pdf = pdf.sort_values(["sec", "ord", "tid"], kind="mergesort")
+    """Rows (or histogram entries) -> one entry per second: counts and amounts summed,
+    the first row's (ord, tid, amount) kept."""
+    pdf = pdf.sort_values(["sec", "f_ord", "f_tid"], kind="mergesort")
     g = pdf.groupby("sec", sort=True)
     first = g.head(1).set_index("sec")
     return pd.DataFrame({
-        "n": g.size(),
-        "amt": g["cents"].sum(),
-        "f_ord": first["ord"],
-        "f_tid": first["tid"],
-        "f_amt": first["cents"],
+        "sec": first.index.to_numpy(dtype="int64"),
+        "n": g["n"].sum().to_numpy(dtype="int64"),
+        "amt": g["amt"].sum().to_numpy(dtype="int64"),
+        "f_ord": first["f_ord"].to_numpy(dtype="int64"),
+        "f_tid": first["f_tid"].to_numpy(dtype="object"),
+        "f_amt": first["f_amt"].to_numpy(dtype="int64"),
     })
 
 
-def _merge(hist: dict, secs: pd.DataFrame) -> None:
-    for sec, r in secs.iterrows():
-        key = str(int(sec))
-        cur = hist.get(key)
-        new = [int(r.n), int(r.amt), int(r.f_ord), str(r.f_tid), int(r.f_amt)]
-        if cur is None:
-            hist[key] = new
-        else:
-            cur[0] += new[0]
-            cur[1] += new[1]
-            if (new[2], new[3]) < (cur[2], cur[3]):
-                cur[2], cur[3], cur[4] = new[2], new[3], new[4]
-
-
-def _contributions(hist: dict, seconds: list[int], window: int, limit: int, gap: int):
-    """Alert contributions of ``seconds`` (ascending) given the histogram."""
-    keys = sorted(int(k) for k in hist)
-    counts = [hist[str(k)][0] for k in keys]
-    prefix = [0]
-    for c in counts:
-        prefix.append(prefix[-1] + c)
-    index = {k: i for i, k in enumerate(keys)}
-    hf_max = hf_amt = rs_n = rs_amt = 0
-    import bisect
-
-    for s in seconds:
-        i = index[s]
-        n, amt, _, _, f_amt = hist[str(s)]
-        lo = bisect.bisect_left(keys, s - window)
-        trailing = prefix[i + 1] - prefix[lo]
-        if trailing > limit:
-            hf_max = max(hf_max, trailing)
-            hf_amt += amt
-        close = i > 0 and s - keys[i - 1] < gap
-        rs_n += n - 1 + (1 if close else 0)
-        rs_amt += amt - f_amt + (f_amt if close else 0)
+def _rows_as_entries(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({
+        "sec": pdf["sec"].astype("int64"), "n": 1, "amt": pdf["cents"].astype("int64"),
+        "f_ord": pdf["ord"].astype("int64"), "f_tid": pdf["tid"], "f_amt": pdf["cents"].astype("int64"),
+    })
+
+
+def _contributions(hist: pd.DataFrame, lo_sec: int, hi_sec: int, window: int, limit: int, gap: int):
+    """Alert contributions of the histogram seconds in (lo_sec, hi_sec], given the whole
+    (sorted) histogram as look-back.  Vectorised: prefix sums + searchsorted."""
+    keys = hist["sec"].to_numpy(dtype="int64")
+    if keys.size == 0:
+        return 0, 0, 0, 0
+    n = hist["n"].to_numpy(dtype="int64")
+    amt = hist["amt"].to_numpy(dtype="int64")
+    f_amt = hist["f_amt"].to_numpy(dtype="int64")
+    prefix = np.concatenate(([0], np.cumsum(n)))
+    sel = np.nonzero((keys > lo_sec) & (keys <= hi_sec))[0]
+    if sel.size == 0:
+        return 0, 0, 0, 0
+    lo = np.searchsorted(keys, keys[sel] - window, side="left")
+    trailing = prefix[sel + 1] - prefix[lo]
+    over = trailing > limit
+    prev_gap = np.where(sel > 0, keys[sel] - keys[np.maximum(sel - 1, 0)], gap)
+    close = (sel > 0) & (prev_gap < gap)
+    hf_max = int(trailing[over].max()) if over.any() else 0
+    hf_amt = int(amt[sel][over].sum())
+    rs_n = int((n[sel] - 1 + close).sum())
+    rs_amt = int((amt[sel] - f_amt[sel] + np.where(close, f_amt[sel], 0)).sum())
     return hf_max, hf_amt, rs_n, rs_amt
 
 
+def _load(hist_json: str) -> pd.DataFrame:
+    cols = json.loads(hist_json)
+    if not cols or not cols.get("sec"):
+        return _empty_hist()
+    return pd.DataFrame({c: cols[c] for c in HIST_COLUMNS}).astype(
+        {c: "int64" for c in HIST_COLUMNS if c != "f_tid"})
+
+
+def _dump(hist: pd.DataFrame) -> str:
+    return json.dumps({c: hist[c].tolist() for c in HIST_COLUMNS})
+
+
 def make_state_function(rules: Rules):
     window, limit, gap = rules.burst_window_sec, rules.burst_min_exclusive, rules.rapid_gap_sec
     keep = max(window, gap)
@@ -96,29 +111,31 @@ def make_state_function(rules: Rules):
         (account,) = key
         if state.exists:
             hist_json, final_upto, hf_max, hf_amt, rs_n, rs_amt, late = state.get
-            hist = json.loads(hist_json)
+            hist = _load(hist_json)
         else:
-            hist, final_upto, hf_max, hf_amt, rs_n, rs_amt, late = {}, -(2**62), 0, 0, 0, 0, 0
+            hist, final_upto, hf_max, hf_amt, rs_n, rs_amt, late = _empty_hist(), -(2**62), 0, 0, 0, 0, 0
+        parts = [hist]
         for pdf in batches:
             if pdf.empty:
                 continue
             on_time = pdf["sec"] > final_upto
             late += int((~on_time).sum())
             if on_time.any():
-                _merge(hist, _per_second(pdf[on_time]))
+                parts.append(_per_second(_rows_as_entries(pdf[on_time])))
+        if len(parts) > 1:
+            hist = _per_second(pd.concat(parts, ignore_index=True))
         watermark_ms = state.getCurrentWatermarkMs()
         boundary = watermark_ms // 1000 - 1 if watermark_ms and watermark_ms > 0 else final_upto
-        open_secs = sorted(int(k) for k in hist if int(k) > final_upto)
-        done = [s for s in open_secs if s <= boundary]
-        if done:
-            c = _contributions(hist, done, window, limit, gap)
+        secs = hist["sec"].to_numpy(dtype="int64")
+        done = secs[(secs > final_upto) & (secs <= boundary)]
+        if done.size:
+            c = _contributions(hist, final_upto, int(done.max()), window, limit, gap)
             hf_max, hf_amt, rs_n, rs_amt = max(hf_max, c[0]), hf_amt + c[1], rs_n + c[2], rs_amt + c[3]
-            final_upto = done[-1]
+            final_upto = int(done.max())
             # keep the look-back of the newest final second (and everything open)
-            hist = {k: v for k, v in hist.items() if int(k) >= final_upto - keep}
-        pending = [s for s in open_secs if s > final_upto]
-        p = _contributions(hist, pending, window, limit, gap) if pending else (0, 0, 0, 0)
-        state.update((json.dumps(hist), final_upto, hf_max, hf_amt, rs_n, rs_amt, late))
+            hist = hist[hist["sec"] >= final_upto - keep].reset_index(drop=True)
+        p = _contributions(hist, final_upto, 2**62, window, limit, gap)
+        state.update((_dump(hist), final_upto, hf_max, hf_amt, rs_n, rs_amt, late))
         yield pd.DataFrame({
             "account_id": [account],
             "hf_count": [max(hf_max, p[0])],
