@@ -39,6 +39,26 @@ def read_landing_stream(spark: SparkSession, path: str, fmt: str = "json", **opt
     return spark.readStream.schema(LANDING_SCHEMA).options(**options).format(fmt).load(path)
 
 
+def read_kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str,
+                      starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Unbounded topic read -> landing rows (same PERMISSIVE JSON parse as the batch reader).
+
+    ``max_offsets_per_trigger`` bounds each micro-batch, which also bounds the rows a
+    single account contributes to one state-function call.  Needs the Kafka connector.
+    """
+    from ..sources.landing import from_json_values
+
+    reader = (
+        spark.readStream.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("subscribe", topic)
+        .option("startingOffsets", starting_offsets)
+    )
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    return from_json_values(reader.load())
+
+
 def event_time(ts_ntz) -> "F.Column":
     """Naive UTC TIMESTAMP_NTZ -> TIMESTAMP (instant), independent of the session zone;
     watermarks need the instant type."""

@@ -102,3 +102,17 @@ def test_snapshot_writes(spark, rules, tmp_path):
                            anomalies.detect_anomalies(processed, rules))
     assert spark.read.parquet(f"{out}/processed").count() == 4
     assert spark.read.parquet(f"{out}/settlements").count() == 2
+
+
+def test_pattern_windows_share_one_exchange(spark, rules):
+    import re
+
+    df = src.from_records(spark, [base_record(transaction_id=uid(i), timestamp=f"2024-06-01T1{i % 10}:00:00")
+                                  for i in range(30)])
+    processed = enrich.processed(validate.valid_landing(df, rules), rules)
+    plan = reports.account_patterns(processed, rules)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if re.search(r"(^|[ +:-])Window\b", line)]
+    # LAG/LEAD/ROW_NUMBER inside (account, bucket) evaluate in one Window operator; the
+    # cross-bucket LAG/LEAD over the per-bucket table is the second one.
+    assert len(windows) == 2
+    assert sum("lag(" in w or "lead(" in w for w in windows) == 2
