@@ -49,23 +49,44 @@ def table_paths(root: str) -> dict:
     }
 
 
+def staged_batch_path(spark: SparkSession, root: str, batch_id: str) -> str:
+    base = checkpoint_dir(spark, fallback=f"{root.rstrip('/')}/_staging")
+    return f"{base.rstrip('/')}/settleline-batches/{batch_id}/enriched"
+
+
 def stage_enriched(spark: SparkSession, landing: DataFrame, rules: Rules, batch_id: str,
                    root: str) -> DataFrame:
     """Write the batch's enriched rows once to the shared checkpoint folder (or, when the
     session names none, a staging folder beside the tables) and read them back."""
-    base = checkpoint_dir(spark, fallback=f"{root.rstrip('/')}/_staging")
-    path = f"{base.rstrip('/')}/settleline-batches/{batch_id}/enriched"
+    path = staged_batch_path(spark, root, batch_id)
     enriched = enrich.processed(validate.valid_landing(landing, rules), rules)
     enriched.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
 def run_batch(spark: SparkSession, landing: DataFrame, root: str, rules: Rules = DEFAULT_RULES,
-              batch_id: str | None = None) -> BatchResult:
-    """Process one landing batch into the tables under ``root`` (any Hadoop-FS URI)."""
+              batch_id: str | None = None, persist_landing: bool = False) -> BatchResult:
+    """Process one landing batch into the tables under ``root`` (any Hadoop-FS URI).
+
+    The landing frame is read by three jobs (quarantine, raw table, enriched
+    batch).  ``persist_landing`` caches it for them; meant for bounded inputs
+    such as streaming micro-batches, where re-reading the source is the costly
+    part.  Large batch inputs are re-read from their columnar files instead.
+    """
     started = time.perf_counter()
     batch_id = batch_id or str(uuid.uuid4())
     paths = table_paths(root)
+    if persist_landing:
+        landing = landing.persist()
+    try:
+        return _run(spark, landing, rules, batch_id, paths, root, started)
+    finally:
+        if persist_landing:
+            landing.unpersist()
+
+
+def _run(spark: SparkSession, landing: DataFrame, rules: Rules, batch_id: str, paths: dict, root: str,
+         started: float) -> BatchResult:
 
     # 1. quarantine + validation counters in one pass
     obs = Observation("validation")
@@ -108,6 +129,9 @@ def run_batch(spark: SparkSession, landing: DataFrame, root: str, rules: Rules =
     # 6. quality log
     tables.log_quality(spark, paths["data_quality_log"], batch_id, report)
 
+    # the staged batch has been consumed by every write above
+    tables.delete_path(spark, staged_batch_path(spark, root, batch_id))
+
     metrics = {
         "records_read": report["total"],
         "records_valid": report["valid"],

@@ -34,6 +34,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library staged (after the data it held has been swapped in)."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     if not _exists(spark, path):
         return None
@@ -121,6 +128,7 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
         writer_of(staged).option("partitionOverwriteMode", "dynamic").parquet(path)
     else:
         writer_of(staged).parquet(path)
+    delete_path(spark, staging)
 
 
 def raw_landing_rows(landing: DataFrame) -> DataFrame:

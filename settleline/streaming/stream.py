@@ -177,7 +177,7 @@ def pipeline_sink(spark: SparkSession, root: str, rules: Rules, query_name: str)
     from ..plans.pipeline import run_batch
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        run_batch(spark, batch, root, rules, batch_id=f"{query_name}-{epoch_id}")
+        run_batch(spark, batch, root, rules, batch_id=f"{query_name}-{epoch_id}", persist_landing=True)
 
     return write
 

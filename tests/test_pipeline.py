@@ -32,6 +32,10 @@ def test_run_batch_writes_and_is_idempotent(spark, rules, tmp_path):
     assert len(snap1["data_quality_log"]) == 1
     assert spark.read.parquet(first.paths["quarantine"]).count() == 2
     assert len(snap1["raw_transactions"]) == 13  # 12 ids + the id with a bad timestamp
+    import os
+
+    from settleline.plans.pipeline import staged_batch_path
+    assert not os.path.exists(staged_batch_path(spark, root, "b-1").replace("file:", ""))
     again = run_batch(spark, landing, root, rules, batch_id="b-1")
     assert _snapshot(spark, again.paths) == snap1
 
