@@ -49,8 +49,11 @@ class Rules:
     as_of: str | None = None
     dedupe: bool = True                  # drop redelivered transaction_ids before aggregating
     # Width of the time buckets that split one account's rows across tasks
-    # (row-level windows); must be > 0.  Histogram windows use whole days.
-    pattern_bucket_sec: int = 3_600
+    # (row-level LAG/LEAD windows); must be > 0.  One minute caps a window
+    # partition even for an account holding a third of all rows; the
+    # per-bucket neighbour table stays bounded by minutes of activity.
+    # Histogram windows use whole days.
+    pattern_bucket_sec: int = 60
     # Bucket width of the per-second histogram windows (at least the look-back).
     histogram_bucket_sec: int = 86_400
 
