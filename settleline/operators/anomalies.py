@@ -25,6 +25,11 @@ Semantics equal a per-row window over (ts, transaction_id) order:
   second every row but the first has gap 0, the first row's gap is to the
   previous non-empty second; count and amount are over the later row of
   each close pair.
+* HIGH_DAILY_AMOUNT: account-day amount sum > 50,000, one alert per day.
+
+``detect_anomalies`` evaluates all three in one pipeline over the profile
+(account-second -> account-day -> account), so the rows are de-duplicated and
+histogrammed once; the single-rule functions are the same rules on their own.
 """
 
 from __future__ import annotations
@@ -69,12 +74,11 @@ def _halo_bucketed(hist: DataFrame, halo: int, bucket_sec: int) -> DataFrame:
     return hist.select("*", F.explode(copies).alias("_b")).select("*", "_b.bucket", "_b.is_home").drop("_b")
 
 
-def second_profile(processed: DataFrame, rules: Rules, hist: DataFrame | None = None) -> DataFrame:
+def second_profile(processed: DataFrame, rules: Rules) -> DataFrame:
     """Per (account, second): n, amt, first_amt, trailing_n (window count), prev_sec."""
     halo = max(rules.burst_window_sec, rules.rapid_gap_sec)
     bucket_sec = max(rules.histogram_bucket_sec, halo)
-    hist = hist if hist is not None else second_histogram(processed)
-    rows = _halo_bucketed(hist, halo, bucket_sec)
+    rows = _halo_bucketed(second_histogram(processed), halo, bucket_sec)
     ordered = Window.partitionBy("account_id", "bucket").orderBy("sec")
     trailing = ordered.rangeBetween(-rules.burst_window_sec, 0)
     return (
@@ -112,20 +116,16 @@ def high_frequency(processed: DataFrame, rules: Rules, profile: DataFrame | None
     return _alert(hot, HIGH_FREQUENCY, text)
 
 
-def high_daily_amount(processed: DataFrame, rules: Rules, hist: DataFrame | None = None) -> DataFrame:
+def high_daily_amount(processed: DataFrame, rules: Rules) -> DataFrame:
     """One alert per account-day whose amount sum exceeds the limit (date kept as alert_date).
 
-    Given the per-second histogram, the account-day sums are re-aggregated from it
-    (day = floor(sec / 86400)), so all three rules share one pass over the rows.
+    A partial aggregate on (account, date): a hot account costs one row per day per task.
     """
-    if hist is None:
-        per_day = processed.groupBy("account_id", "transaction_date").agg(
-            F.sum("amount").alias("total_amount"), F.count(F.lit(1)).alias("transaction_count"))
-    else:
-        day = F.date_from_unix_date(F.floor(F.col("sec") / F.lit(DAY_SEC)).cast("int"))
-        per_day = hist.groupBy("account_id", day.alias("transaction_date")).agg(
-            F.sum("amt").alias("total_amount"), F.sum("n").alias("transaction_count"))
-    days = per_day.filter(F.col("total_amount") > rules.daily_amount_limit)
+    days = (
+        processed.groupBy("account_id", "transaction_date")
+        .agg(F.sum("amount").alias("total_amount"), F.count(F.lit(1)).alias("transaction_count"))
+        .filter(F.col("total_amount") > rules.daily_amount_limit)
+    )
     text = F.concat(
         F.lit("Account exceeded $50,000 daily threshold with $"),
         F.round(F.col("total_amount"), 2).cast(MONEY_SUM_TYPE).cast("string"),
