@@ -4,7 +4,7 @@
   the batch, then a left-anti join against the keys already stored, then append.
   The anti join reads only the key columns of the target and, when the key
   includes the partition column, only the partitions the batch touches
-  (dynamic partition pruning).
+  (static partition filter on the batch's few partition values).
 * upsert (``ON CONFLICT DO UPDATE``): the touched partitions are rebuilt as
   (stored rows whose key is not in the batch) + batch rows, staged under the
   session's shared checkpoint folder, then swapped in with dynamic partition
@@ -86,18 +86,42 @@ def merged_upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str
 
 
 # Writers ---------------------------------------------------------------------
+MAX_PRUNING_VALUES = 10_000  # touched partition values collected for static pruning
+
+
+def stored_in_touched_partitions(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Stored rows restricted to the partitions the batch touches.
+
+    One partition column: its distinct batch values (a date per day of data, so a
+    small bounded set) are collected behind a size check and applied as a literal
+    filter, which prunes partitions at planning time.  Beyond the check, or with
+    several partition columns, a null-safe semi join gives the same rows without
+    pruning.
+    """
+    touched = batch.select(*partition_by).distinct()
+    if len(partition_by) == 1:
+        col = partition_by[0]
+        values = [r[0] for r in touched.limit(MAX_PRUNING_VALUES + 1).collect()]
+        if len(values) <= MAX_PRUNING_VALUES:
+            present = [v for v in values if v is not None]
+            cond = F.col(col).isin(present) if present else F.lit(False)
+            if len(present) < len(values):
+                cond = cond | F.col(col).isNull()
+            return target.filter(cond)
+    return target.join(touched, _same_keys(target, touched, partition_by), "left_semi")
+
+
 def insert_if_absent(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
                      partition_by: Sequence[str] = ()) -> None:
     """Append the batch rows whose key is not stored yet (idempotent on re-run).
 
     With ``partition_by`` (which must be part of ``keys``) the stored keys are first
-    narrowed to the partitions the batch touches with a semi join, which Spark can
-    turn into partition pruning; the anti join alone would read every partition.
+    narrowed to the partitions the batch touches; the anti join alone would read
+    every partition.
     """
     target = read_table(spark, path, batch.schema)
     if target is not None and partition_by:
-        touched = batch.select(*partition_by).distinct()
-        target = target.join(touched, _same_keys(target, touched, partition_by), "left_semi")
+        target = stored_in_touched_partitions(target, batch, partition_by)
     writer = rows_to_insert(target, batch, keys).write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -115,9 +139,7 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
         writer_of(batch).parquet(path)
         return
     if partition_by:
-        touched = batch.select(*partition_by).distinct()
-        # Stored rows of the touched partitions only (semi join -> partition pruning).
-        target = target.join(touched, list(partition_by), "left_semi")
+        target = stored_in_touched_partitions(target, batch, partition_by)
     merged = merged_upsert(target, batch, keys)
     # Stage to the shared checkpoint folder: the overwrite must not read its own output.
     base = checkpoint_dir(spark, fallback=f"{path.rstrip('/')}__staging")

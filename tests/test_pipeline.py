@@ -60,3 +60,25 @@ def test_staging_falls_back_beside_tables(spark, rules, tmp_path):
     assert checkpoint_dir(spark, fallback="unused")  # the test session names a folder
     root = str(tmp_path / "wh3")
     assert checkpoint_dir(spark, fallback=f"{root}/_staging") != f"{root}/_staging"
+
+
+def test_touched_partition_narrowing(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from settleline.sinks import tables
+
+    path = str(tmp_path / "parts")
+    stored = spark.createDataFrame(
+        [("a", "2024-01-01"), ("b", "2024-01-02"), ("c", None), ("d", "2024-01-03")], "k string, d string"
+    ).withColumn("d", F.col("d").cast("date"))
+    stored.write.partitionBy("d").parquet(path)
+    batch = spark.createDataFrame([("x", "2024-01-02"), ("y", None)], "k string, d string").withColumn(
+        "d", F.col("d").cast("date"))
+    target = tables.read_table(spark, path, batch.schema)
+    pruned = tables.stored_in_touched_partitions(target, batch, ["d"])
+    assert sorted(r["k"] for r in pruned.collect()) == ["b", "c"]
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "2024-01-02" in plan
+    monkeypatch.setattr(tables, "MAX_PRUNING_VALUES", 1)  # beyond the cap: semi join, same rows
+    joined = tables.stored_in_touched_partitions(target, batch, ["d"])
+    assert sorted(r["k"] for r in joined.collect()) == ["b", "c"]
