@@ -4,8 +4,8 @@ Each rule is an ordered list of (failure condition, message) pairs: the first
 condition that holds gives the field's single error message.  Two forms are
 built from the same lists:
 
-* ``row_is_valid`` — a plain boolean (no strings built), used on the hot path
-  that keeps valid rows;
+* ``field_validity`` / ``row_is_valid`` — plain booleans (no strings built),
+  used on the hot path that keeps valid rows and for the report counters;
 * ``error_list`` — ARRAY<STRING> of all failing rules in rule order, used only
   where messages are needed (quarantine, report).
 
@@ -111,12 +111,6 @@ def _message(rule: Rule) -> Column:
     return out
 
 
-def rule_fails(rule: Rule) -> Column:
-    """Boolean: some condition of the rule holds (NULL conditions count as false,
-    exactly as in the CASE form)."""
-    return reduce(lambda a, b: a | b, [F.coalesce(cond, F.lit(False)) for cond, _ in rule])
-
-
 def field_validity(rules: Rules) -> dict[str, Column]:
     """Per field, a boolean that is true exactly when the field's rule passes.
 

@@ -154,7 +154,7 @@ def account_alert_state(enriched: DataFrame, rules: Rules) -> DataFrame:
         "account_id",
         "event_time",  # keeps the watermark visible to the state function
         epoch_seconds(F.col("ts")).alias("sec"),
-        (F.unix_micros(F.col("event_time")) % F.lit(1_000_000)).alias("ord"),
+        ((F.date_part(F.lit("SECOND"), F.col("ts")) * F.lit(1_000_000)).cast("long") % F.lit(1_000_000)).alias("ord"),
         F.col("transaction_id").alias("tid"),
         (F.col("amount") * F.lit(100)).cast("long").alias("cents"),
     )

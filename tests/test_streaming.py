@@ -104,3 +104,45 @@ def test_pipeline_sink_runs_batches_into_tables(spark, rules, tmp_path):
     log = spark.read.parquet(f"{root}/data_quality_log")
     assert sorted(r["batch_id"] for r in log.collect()) == ["pipe-0", "pipe-1"]
     assert sum(r["total_records"] for r in log.collect()) == 41
+
+
+def test_session_window_rapid_succession_in_append_mode(spark, rules, tmp_path):
+    from datetime import datetime, timedelta
+
+    base = datetime(2024, 6, 1, 10, 0, 0)
+    gaps = [0, 0, 12, 29, 30, 31, 5, 400, 3, 29, 29]
+    recs, t = [], 0
+    for i, g in enumerate(gaps):
+        t += g
+        recs.append(base_record(transaction_id=uid(i), account_id=f"ACC_0000{1 + i % 2}" if i > 6 else "ACC_00001",
+                                amount=1 + i, timestamp=(base + timedelta(seconds=t, microseconds=i)).isoformat()))
+    sentinel = base_record(transaction_id=uid(999), account_id="ACC_09999",
+                           timestamp=(base + timedelta(hours=3)).isoformat())
+    src = tmp_path / "sess"
+    src.mkdir()
+    (src / "a.json").write_text("\n".join(json.dumps(r) for r in recs) + "\n")
+    (src / "b.json").write_text(json.dumps(sentinel) + "\n")  # later file: moves the watermark past the data
+    stream = st.enriched_stream(st.read_landing_stream(spark, str(src), maxFilesPerTrigger=1), rules,
+                                watermark="10 minutes")
+    out = str(tmp_path / "sess_out")
+
+    def write(batch, epoch):
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    st.run_available_now(st.rapid_sessions(stream, rules), write, str(tmp_path / "sess_ck"), "append")
+    got = st.rapid_alerts_from_sessions(spark.read.parquet(out).drop("epoch"))
+    batch = anomalies.rapid_succession(
+        enrich.processed(validate.valid_landing(from_records(spark, recs), rules), rules), rules)
+    cols = ["account_id", "transaction_count", "total_amount"]
+    expected = sorted(map(tuple, batch.select(*cols).collect()))
+    assert expected and sorted(map(tuple, got.select(*cols).collect())) == expected
+
+
+def test_to_landing_projects_any_frame(spark):
+    from settleline.sources.landing import to_landing
+
+    df = spark.createDataFrame([("t1", 12.5, "x")], "transaction_id string, amount double, extra string")
+    out = to_landing(df)
+    assert out.columns[:4] == ["transaction_id", "account_id", "transaction_type", "amount"]
+    row = out.first()
+    assert row["amount"] == "12.5" and row["account_id"] is None and "extra" not in out.columns
