@@ -12,26 +12,27 @@ from pyspark.sql import functions as F
 # Grammar of a decimal number accepted by Python's float(): optional blanks and
 # sign, digit groups joined by single underscores, optional fraction/exponent.
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
-NUMBER_PATTERN = (
-    r"^\s*[+-]?(?:(?:" + _DIGITS + r")?\." + _DIGITS + r"|" + _DIGITS + r"\.?)"
-    r"(?:[eE][+-]?" + _DIGITS + r")?\s*\z"
+_NUMBER = (
+    r"[+-]?(?:(?:" + _DIGITS + r")?\." + _DIGITS + r"|" + _DIGITS + r"\.?)"
+    r"(?:[eE][+-]?" + _DIGITS + r")?"
 )
+NUMBER_PATTERN = r"^\s*" + _NUMBER + r"\s*\z"
+# Same grammar with the number captured: regexp_extract gives "" when it does not match.
+NUMBER_CAPTURE = r"^\s*(" + _NUMBER + r")\s*\z"
 INF_PATTERN = r"(?i)^\s*[+-]?inf(?:inity)?\s*\z"
 NAN_PATTERN = r"(?i)^\s*[+-]?nan\s*\z"
 
 # ISO date with an optional time part (T or blank separator, no offset).
-ISO_TIMESTAMP_PATTERN = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    r"(?:[T ][0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,9})?)?)?)?\z"
-)
+_ISO = r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[T ][0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,9})?)?)?)?"
+ISO_TIMESTAMP_PATTERN = r"^" + _ISO + r"\z"
+ISO_CAPTURE = r"^(" + _ISO + r")\z"
 
 
 def clean_number_text(text: Column) -> Column:
-    """Number text with blanks and digit-group underscores removed (NULL if not a number)."""
-    return F.when(
-        text.rlike(NUMBER_PATTERN),
-        F.regexp_replace(F.trim(text), "_", ""),
-    )
+    """Number text without blanks and digit-group underscores; "" when not a number
+    (which every cast turns into NULL).  References ``text`` once, so a pushed-down
+    filter over a computed column does not recompute it."""
+    return F.regexp_replace(F.regexp_extract(text, NUMBER_CAPTURE, 1), "_", "")
 
 
 def parse_double(text: Column) -> Column:
@@ -49,8 +50,9 @@ def parse_amount(text: Column) -> Column:
 
 
 def parse_timestamp(text: Column) -> Column:
-    """Naive ISO text -> TIMESTAMP_NTZ (session-time-zone independent); NULL if not ISO."""
-    return F.when(text.rlike(ISO_TIMESTAMP_PATTERN), text.try_cast("timestamp_ntz"))
+    """Naive ISO text -> TIMESTAMP_NTZ (session-time-zone independent); NULL if not ISO.
+    References ``text`` once (the captured match, "" otherwise, is cast)."""
+    return F.regexp_extract(text, ISO_CAPTURE, 1).try_cast("timestamp_ntz")
 
 
 def epoch_seconds(ts_ntz: Column) -> Column:
