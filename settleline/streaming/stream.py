@@ -167,7 +167,14 @@ def upsert_sink(spark: SparkSession, path: str, keys: list[str], partition_by: l
     """foreachBatch function: keyed upsert of each micro-batch into a parquet table."""
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        tables.upsert(spark, batch, path, keys, partition_by)
+        # Every action on a micro-batch re-runs its (stateful) plan: cache it once for
+        # the emptiness check and the upsert's reads and write.
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():  # e.g. the no-data batch that only advances the watermark
+                tables.upsert(spark, batch, path, keys, partition_by)
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -177,7 +184,12 @@ def pipeline_sink(spark: SparkSession, root: str, rules: Rules, query_name: str)
     from ..plans.pipeline import run_batch
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        run_batch(spark, batch, root, rules, batch_id=f"{query_name}-{epoch_id}", persist_landing=True)
+        batch = batch.persist()  # read by several jobs below
+        try:
+            if not batch.isEmpty():
+                run_batch(spark, batch, root, rules, batch_id=f"{query_name}-{epoch_id}")
+        finally:
+            batch.unpersist()
 
     return write
 
