@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import HIGH_DAILY_AMOUNT, RAPID_SUCCESSION, Rules
+from ..functions.derive import exact_mean
 from ..functions.parsing import epoch_seconds
 from ..operators import enrich, validate
-from ..schema import LANDING_SCHEMA, MONEY_SUM_TYPE
+from ..schema import AMOUNT_TYPE, LANDING_SCHEMA, MONEY_SUM_TYPE
 from ..sinks import tables
 
 
@@ -95,8 +96,7 @@ def settlement_windows(enriched: DataFrame) -> DataFrame:
             utc_date(F.col("w.start")).alias("settlement_date"),
             "transaction_type",
             F.col("_sum").cast(MONEY_SUM_TYPE).alias("total_amount"),
-            F.round(F.col("_sum").cast("decimal(22,2)") / F.col("transaction_count").cast("decimal(20,0)"), 2)
-            .cast("decimal(12,2)").alias("avg_amount"),
+            exact_mean(F.col("_sum"), F.col("transaction_count"), 2).cast(AMOUNT_TYPE).alias("avg_amount"),
             "transaction_count",
             "flagged_count",
         )
