@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import HIGH_DAILY_AMOUNT, HIGH_FREQUENCY, RAPID_SUCCESSION, Rules
 from ..operators import anomalies, enrich, reports, settle, validate
@@ -186,7 +187,27 @@ def q_stream_account_alerts(spark, sf_dir):
     return account_state.alerts_from_state(table)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def reported(df: DataFrame) -> DataFrame:
+    """Presentation of a query result: exact DECIMAL money/score columns are handed
+    out as DOUBLE (the nearest double of the exact value, identical in every engine
+    and client), so result comparison does not depend on how a client library
+    converts decimals.  The operators themselves return DECIMAL."""
+    return df.select(*[
+        F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+        for f in df.schema.fields
+    ])
+
+
+def _reporting(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return reported(fn(spark, sf_dir))
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+_QUERY_FUNCTIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_rows": q_validate_rows,
     "validation_report": q_validation_report,
     "error_breakdown": q_error_breakdown,
@@ -213,3 +234,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_daily_amount": q_stream_daily_amount,
     "stream_account_alerts": q_stream_account_alerts,
 }
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    name: _reporting(fn) for name, fn in _QUERY_FUNCTIONS.items()
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from . import oracle as o
 from .catalog import FIRST_LOAD_UNTIL, SECOND_LOAD_FROM
 
-ORACLE_SQL: dict[str, str] = {
+_ORACLE_SQL: dict[str, str] = {
     "validate_rows": o.validate_rows_sql(),
     "validation_report": o.validation_report_sql(),
     "error_breakdown": o.error_breakdown_sql(),
@@ -32,3 +32,37 @@ ORACLE_SQL: dict[str, str] = {
     "stream_daily_amount": o.alerts_sql("HIGH_DAILY_AMOUNT"),
     "stream_account_alerts": o.alerts_sql("HIGH_FREQUENCY", "RAPID_SUCCESSION"),
 }
+
+# Exact DECIMAL result columns, handed out as DOUBLE like the Spark side (catalog.reported).
+DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
+    "validation_report": ("valid_rate",),
+    "dedupe_first": ("amount",),
+    "enrich": ("amount",),
+    "risk_score": ("risk_score",),
+    "daily_settlements": ("total_amount", "avg_amount", "running_total", "day_over_day_change"),
+    "anomaly_high_frequency": ("total_amount",),
+    "anomaly_high_daily_amount": ("total_amount",),
+    "anomaly_rapid_succession": ("total_amount",),
+    "anomaly_alerts": ("total_amount",),
+    "rpt_settlement_summary": ("total_amount", "avg_amount", "running_total", "dod_change", "dod_pct_change"),
+    "rpt_top_accounts": ("total_volume", "avg_transaction_amount"),
+    "rpt_hourly_risk": ("total_amount", "avg_amount", "anomaly_rate_pct"),
+    "rpt_merchant_risk": ("total_volume", "flagged_pct"),
+    "rpt_account_patterns": ("avg_risk_score", "max_risk_score"),
+    "upsert_settlements": ("total_amount", "avg_amount", "running_total", "day_over_day_change"),
+    "stream_dedupe": ("amount",),
+    "stream_settlements": ("total_amount", "avg_amount", "running_total", "day_over_day_change"),
+    "stream_daily_amount": ("total_amount",),
+    "stream_account_alerts": ("total_amount",),
+}
+
+
+def _reported(name: str, sql: str) -> str:
+    cols = DECIMAL_COLUMNS.get(name)
+    if not cols:
+        return sql
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({casts}) FROM (\n{sql}\n) AS reported"
+
+
+ORACLE_SQL: dict[str, str] = {name: _reported(name, sql) for name, sql in _ORACLE_SQL.items()}
