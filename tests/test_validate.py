@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import base_record, uid
 from settleline.operators import validate
