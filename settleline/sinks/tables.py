@@ -193,7 +193,11 @@ def with_alert_ids(alerts: DataFrame, batch_id: str) -> DataFrame:
 
 
 def append_alerts(spark: SparkSession, alerts: DataFrame, path: str, batch_id: str) -> None:
-    insert_if_absent(spark, with_alert_ids(alerts, batch_id), path, ["alert_id"])
+    """Append a batch's alerts.  The id includes the batch id, so a re-run can only
+    collide with alerts of the same batch: the table is partitioned by batch_id and
+    the existence check reads that one partition, not the whole alert history."""
+    insert_if_absent(spark, with_alert_ids(alerts, batch_id), path, ["batch_id", "alert_id"],
+                     partition_by=["batch_id"])
 
 
 def quality_row(spark: SparkSession, batch_id: str, report: dict) -> DataFrame:
