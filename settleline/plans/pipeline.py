@@ -65,17 +65,27 @@ def stage_enriched(spark: SparkSession, landing: DataFrame, rules: Rules, batch_
 
 
 def run_batch(spark: SparkSession, landing: DataFrame, root: str, rules: Rules = DEFAULT_RULES,
-              batch_id: str | None = None, persist_landing: bool = False) -> BatchResult:
+              batch_id: str | None = None, persist_landing: bool = False,
+              stage_landing: bool = False) -> BatchResult:
     """Process one landing batch into the tables under ``root`` (any Hadoop-FS URI).
 
     The landing frame is read by three jobs (quarantine, raw table, enriched
-    batch).  ``persist_landing`` caches it for them; meant for bounded inputs
-    such as streaming micro-batches, where re-reading the source is the costly
-    part.  Large batch inputs are re-read from their columnar files instead.
+    batch).  Columnar sources are simply re-read.  For sources that are costly
+    to re-read:
+    * ``stage_landing`` writes the landing once as parquet under the shared
+      checkpoint folder and runs the three jobs from that copy (text sources
+      such as JSON lines or a topic: parsed once instead of three times);
+    * ``persist_landing`` caches it instead (bounded inputs such as streaming
+      micro-batches).
     """
     started = time.perf_counter()
     batch_id = batch_id or str(uuid.uuid4())
     paths = table_paths(root)
+    staged_landing = None
+    if stage_landing:
+        staged_landing = staged_batch_path(spark, root, batch_id).replace("/enriched", "/landing")
+        landing.write.mode("overwrite").parquet(staged_landing)
+        landing = spark.read.parquet(staged_landing)
     if persist_landing:
         landing = landing.persist()
     try:
@@ -83,6 +93,8 @@ def run_batch(spark: SparkSession, landing: DataFrame, root: str, rules: Rules =
     finally:
         if persist_landing:
             landing.unpersist()
+        if staged_landing:
+            tables.delete_path(spark, staged_landing)
 
 
 def _run(spark: SparkSession, landing: DataFrame, rules: Rules, batch_id: str, paths: dict, root: str,

@@ -82,3 +82,10 @@ def test_touched_partition_narrowing(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(tables, "MAX_PRUNING_VALUES", 1)  # beyond the cap: semi join, same rows
     joined = tables.stored_in_touched_partitions(target, batch, ["d"])
     assert sorted(r["k"] for r in joined.collect()) == ["b", "c"]
+
+
+def test_staged_landing_gives_same_tables(spark, rules, tmp_path):
+    a = run_batch(spark, _batch(spark), str(tmp_path / "plain"), rules, batch_id="s")
+    b = run_batch(spark, _batch(spark), str(tmp_path / "staged"), rules, batch_id="s", stage_landing=True)
+    assert a.report == b.report
+    assert _snapshot(spark, a.paths) == _snapshot(spark, b.paths)
