@@ -49,9 +49,9 @@ def table_paths(root: str) -> dict:
     }
 
 
-def staged_batch_path(spark: SparkSession, root: str, batch_id: str) -> str:
+def staged_batch_path(spark: SparkSession, root: str, batch_id: str, part: str = "enriched") -> str:
     base = checkpoint_dir(spark, fallback=f"{root.rstrip('/')}/_staging")
-    return f"{base.rstrip('/')}/settleline-batches/{batch_id}/enriched"
+    return f"{base.rstrip('/')}/settleline-batches/{batch_id}/{part}"
 
 
 def stage_enriched(spark: SparkSession, landing: DataFrame, rules: Rules, batch_id: str,
@@ -83,7 +83,7 @@ def run_batch(spark: SparkSession, landing: DataFrame, root: str, rules: Rules =
     paths = table_paths(root)
     staged_landing = None
     if stage_landing:
-        staged_landing = staged_batch_path(spark, root, batch_id).replace("/enriched", "/landing")
+        staged_landing = staged_batch_path(spark, root, batch_id, part="landing")
         landing.write.mode("overwrite").parquet(staged_landing)
         landing = spark.read.parquet(staged_landing)
     if persist_landing:
