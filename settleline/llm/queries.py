@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, langid, linededup, packing, simhash
+from . import decontam, extract, langid, linededup, packing, quality, simhash, substring, urlfilter, warc
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +17,55 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_of_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def page_captures(pages: DataFrame) -> DataFrame:
+    """``page_id, url, fetch_time``: pages have no fetch time of their own, so ids are spread over 90 days of 2024."""
+    second = F.pmod(F.col("page_id") * 7919, F.lit(90 * 86400))
+    return pages.select("page_id", "url", F.timestamp_seconds(F.lit(1704067200) + second).alias("fetch_time"))
+
+
+def dated_lists(pages: DataFrame) -> DataFrame:
+    """Add and remove events of lists that name hosts of ``pages``; a host's hash decides which and when."""
+    host = urlfilter.host_of(F.col("url"))
+    hosts = pages.select(host.alias("host")).where("host <> ''").distinct().withColumn(
+        "v", F.conv(F.substring(F.md5("host"), 1, 8), 16, 10).cast("long"))
+
+    def day(n: F.Column) -> F.Column:
+        return F.timestamp_seconds(F.lit(1704067200) + n * 86400)
+
+    start = F.pmod(F.floor(F.col("v") / 7), F.lit(30))
+
+    def entry(which: F.Column, name: str, action: str, kind: str, key: F.Column, event: str, at: F.Column) -> F.Column:
+        return F.when(which, F.struct(F.lit(name).alias("list_name"), F.lit(action).alias("action"), F.lit(kind).alias("kind"),
+                                      key.alias("key"), F.lit(event).alias("event"), at.alias("at")))
+
+    v, name = F.col("v"), F.col("host")
+    events = F.array(
+        entry(v % 7 == 0, "spam", "block", "host", name, "add", day(start)),
+        entry(v % 14 == 0, "spam", "block", "host", name, "remove", day(start + 20)),
+        entry(v % 28 == 0, "spam", "block", "host", name, "add", day(start + 30)),
+        entry(v % 11 == 0, "adult", "block", "domain", name, "add", day(start + 5)),
+        entry(v % 5 == 0, "mixed", "block", "prefix", F.concat(name, F.lit("/en/")), "add", day(start + 10)),
+        entry(v % 10 == 0, "curated", "allow", "prefix", F.concat(name, F.lit("/de/")), "add", day(start)),
+        entry(v % 20 == 0, "curated", "allow", "prefix", F.concat(name, F.lit("/de/")), "remove", day(start + 45)))
+    return hosts.select(F.explode(events).alias("e")).where("e IS NOT NULL").select("e.*")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    out = urlfilter.filter_captures(page_captures(pages), dated_lists(pages))
+    text = "yyyy-MM-dd HH:mm:ss"
+    return out.select("page_id", "url", F.date_format("fetch_time", text).alias("fetch_time"), "kept", "list_name", "kind", "key",
+                      F.date_format("valid_from", text).alias("valid_from"), F.date_format("valid_to", text).alias("valid_to"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.without_repeated_lines(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "text", "n_removed")
@@ -29,10 +75,75 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_verdicts(read_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "fetch_time")
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_language_id, op3_best_fit_packing, op5_line_dedup, op6_decontamination, op8_simhash)}
-ORACLE_SQL: dict[str, str] = {}
+    op1_language_id, op2_substring_dedup, op3_best_fit_packing, op4_url_filter, op5_line_dedup, op6_decontamination,
+    op7_quality_rules, op8_simhash, op9_warc, op10_html_extraction)}
+
+#: The same filter by comparing every capture with every interval.
+OP4_SQL = r"""
+WITH caps AS (
+  SELECT page_id, url, TIMESTAMP '2024-01-01 00:00:00' + to_seconds((page_id * 7919) % (90 * 86400)) AS ft,
+         regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www\.|\.$', '', 'g') AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path
+  FROM pages),
+hosts AS (SELECT DISTINCT host, ('0x' || substr(md5(host), 1, 8))::BIGINT AS v FROM caps WHERE host <> ''),
+starts AS (SELECT host, v, (v // 7) % 30 AS d FROM hosts),
+events AS (
+  SELECT 'spam' AS list_name, 'block' AS action, 'host' AS kind, host AS key, 'add' AS event, d AS day FROM starts WHERE v % 7 = 0
+  UNION ALL SELECT 'spam', 'block', 'host', host, 'remove', d + 20 FROM starts WHERE v % 14 = 0
+  UNION ALL SELECT 'spam', 'block', 'host', host, 'add', d + 30 FROM starts WHERE v % 28 = 0
+  UNION ALL SELECT 'adult', 'block', 'domain', host, 'add', d + 5 FROM starts WHERE v % 11 = 0
+  UNION ALL SELECT 'mixed', 'block', 'prefix', host || '/en/', 'add', d + 10 FROM starts WHERE v % 5 = 0
+  UNION ALL SELECT 'curated', 'allow', 'prefix', host || '/de/', 'add', d FROM starts WHERE v % 10 = 0
+  UNION ALL SELECT 'curated', 'allow', 'prefix', host || '/de/', 'remove', d + 45 FROM starts WHERE v % 20 = 0),
+spans AS (
+  SELECT list_name, action, kind, key, event, TIMESTAMP '2024-01-01 00:00:00' + to_days(day::INTEGER) AS f,
+         lead(TIMESTAMP '2024-01-01 00:00:00' + to_days(day::INTEGER)) OVER (PARTITION BY list_name, action, kind, key ORDER BY day) AS t
+  FROM events),
+met AS (
+  SELECT c.page_id, c.url, c.ft, s.*, row_number() OVER (
+           PARTITION BY c.page_id, c.url
+           ORDER BY CASE kind WHEN 'prefix' THEN 3 WHEN 'host' THEN 2 ELSE 1 END DESC, length(key) DESC, action, list_name, key, f) AS n
+  FROM caps c JOIN spans s ON s.event = 'add' AND s.f <= c.ft AND (s.t IS NULL OR c.ft < s.t) AND CASE kind
+    WHEN 'host' THEN c.host = key
+    WHEN 'domain' THEN c.host = key OR ends_with(c.host, '.' || key)
+    ELSE starts_with(c.host || c.path, key) END)
+SELECT c.page_id, c.url, strftime(c.ft, '%Y-%m-%d %H:%M:%S') AS fetch_time, coalesce(m.action <> 'block', true) AS kept,
+       m.list_name, m.kind, m.key, strftime(m.f, '%Y-%m-%d %H:%M:%S') AS valid_from, strftime(m.t, '%Y-%m-%d %H:%M:%S') AS valid_to
+FROM caps c LEFT JOIN met m ON m.n = 1 AND m.page_id = c.page_id AND m.url = c.url
+"""
+
+#: What the round trip must give, straight from the pages.
+OP9_SQL = r"""
+WITH p AS (
+  SELECT page_id, url, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest,
+         regexp_replace(lower(regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www\.', '') AS host,
+         regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*([^#]*)', 1) AS rest
+  FROM pages),
+firsts AS (SELECT digest, min(page_id) AS first_id FROM p WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n::BIGINT AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to,
+       array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || CASE WHEN rest = '' THEN '/' ELSE rest END AS url_key,
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') AS fetch_time
+FROM p LEFT JOIN firsts USING (digest)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_url_filter": OP4_SQL, "op9_warc": OP9_SQL}
