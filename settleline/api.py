@@ -8,6 +8,7 @@ on the driver, and transformation needs no Python row function).
 from __future__ import annotations
 
 import time
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,12 @@ from pyspark.sql import functions as F
 from .config import DEFAULT_RULES, Rules
 from .operators import anomalies, enrich, settle, validate
 from .sinks import tables
+from .sources.landing import select_source
 
 
 def validate_batch(landing: DataFrame, rules: Rules = DEFAULT_RULES) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(valid rows, quarantine {record, errors}, one-row report) of a landing frame."""
+    rules = rules.frozen()  # one "now" for the three frames
     checked = validate.with_errors(landing, rules)
     return validate.valid_landing(landing, rules), validate.quarantine(checked), validate.report(landing, rules)
 
@@ -39,36 +42,48 @@ def detect_anomalies(processed: DataFrame, rules: Rules = DEFAULT_RULES) -> Data
     return anomalies.detect_anomalies(processed, rules)
 
 
-def process_batch(spark: SparkSession, landing: DataFrame, rules: Rules = DEFAULT_RULES,
-                  output_path: str | None = None) -> dict:
+def process_batch(spark: SparkSession, landing: DataFrame | None = None, rules: Rules = DEFAULT_RULES,
+                  output_path: str | None = None, *, records: Iterable[Mapping] | None = None,
+                  kafka: Mapping | None = None, path: str | None = None) -> dict:
     """Validate, transform, aggregate and detect; optionally write the three outputs.
 
-    Returns the three DataFrames and metrics.  With ``output_path`` the row counts
-    are observed while the outputs are written (no extra counting jobs); without
-    it the frames stay lazy and only the elapsed planning time is reported.
+    The input is a landing frame, or else the first given of ``records`` (in memory),
+    ``kafka`` (a topic) and ``path`` (JSON lines).  Returns the three DataFrames and
+    metrics.  With ``output_path`` the transformed rows are staged once in the shared
+    checkpoint folder, the outputs are written from there, and row counts are observed
+    on the way (no extra counting jobs); without it the frames stay lazy and only the
+    elapsed planning time is reported.
     """
     started = time.perf_counter()
+    rules = rules.frozen()
+    if landing is None:
+        landing = select_source(spark, records, kafka, path)
+    n = F.count(F.lit(1)).alias("n")
+    counters = {name: Observation(name) for name in ("read", "transformed", "settlements", "anomalies")}
+    staging = None
+    if output_path:
+        staging = tables.staging_path(spark, output_path)
+        rows = transform_transactions(validate.valid_landing(landing.observe(counters["read"], n), rules), rules)
+        rows.observe(counters["transformed"], n).write.parquet(staging)
+        staged = spark.read.schema(rows.schema).parquet(staging)
+        tables.write_snapshots(
+            output_path, staged,
+            settle.daily_settlements(staged).observe(counters["settlements"], n),
+            detect_anomalies(staged, rules).observe(counters["anomalies"], n))
+        tables.delete_path(spark, staging)
     transformed = transform_transactions(validate.valid_landing(landing, rules), rules)
-    settlements = settle.daily_settlements(transformed)
-    alerts = detect_anomalies(transformed, rules)
     metrics: dict = {}
     if output_path:
-        counters = {name: Observation(name) for name in ("transformed", "settlements", "anomalies")}
-        tables.write_snapshots(
-            output_path,
-            transformed.observe(counters["transformed"], F.count(F.lit(1)).alias("n")),
-            settlements.observe(counters["settlements"], F.count(F.lit(1)).alias("n")),
-            alerts.observe(counters["anomalies"], F.count(F.lit(1)).alias("n")),
-        )
-        metrics.update({
+        metrics = {
+            "records_read": counters["read"].get["n"],
             "records_transformed": counters["transformed"].get["n"],
             "settlement_rows": counters["settlements"].get["n"],
             "anomalies_detected": counters["anomalies"].get["n"],
-        })
+        }
     metrics["processing_time_sec"] = round(time.perf_counter() - started, 2)
     return {
         "metrics": metrics,
         "transformed_df": transformed,
         "settlements_df": settle.daily_settlements(transformed, ordered=True),
-        "anomalies_df": alerts,
+        "anomalies_df": detect_anomalies(transformed, rules),
     }

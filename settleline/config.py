@@ -33,7 +33,9 @@ class Rules:
     """Thresholds with the reference's values as defaults.
 
     ``as_of`` is the "now" of the future-timestamp rule, an ISO string read as
-    naive UTC; ``None`` means the wall clock (UTC) when the plan is built.
+    naive UTC.  ``None`` means the wall clock (UTC) of the running query: one value
+    per batch query, and a new one for each micro-batch of a stream.  Entry points
+    that run several queries over one batch freeze it first (``frozen``).
     """
 
     transaction_types: tuple[str, ...] = TRANSACTION_TYPES
@@ -60,10 +62,11 @@ class Rules:
     def with_(self, **kw) -> "Rules":
         return replace(self, **kw)
 
-    def as_of_literal(self) -> str:
+    def frozen(self) -> "Rules":
+        """The same rules with a fixed "now": the current time if none is set."""
         if self.as_of is not None:
-            return self.as_of
-        return datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+            return self
+        return self.with_(as_of=datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" "))
 
 
 DEFAULT_RULES = Rules()

@@ -34,6 +34,18 @@ Rule = list[tuple[Column, Column]]
 _MIN_POSITIVE = 5e-324  # smallest positive double
 
 
+def as_of(rules: Rules) -> Column:
+    """The "now" of the future-timestamp rule as naive UTC.
+
+    Without a fixed one it is ``current_timestamp()``, which Spark fixes per query
+    and, in a stream, per micro-batch; the session's time zone plays no part.
+    """
+    if rules.as_of is not None:
+        return F.lit(rules.as_of).cast("timestamp_ntz")
+    seconds = (F.unix_micros(F.current_timestamp()) / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
 def _blank(c: Column) -> Column:
     # The reference tests truthiness: NULL and "" are both "missing".
     return c.isNull() | (c == "")
@@ -56,7 +68,7 @@ def amount_rule(c: Column, rules: Rules) -> Rule:
         (c.isNull(), F.lit("amount is missing or null")),
         (v.isNull() | c.rlike(NAN_PATTERN), _msg("amount is not a valid number: ", c)),
         (v <= 0, _msg("amount must be positive, got ", python_float_text(v))),
-        (v >= float(rules.max_amount), _msg("amount exceeds maximum (100,000): ", python_float_text(v))),
+        (v >= float(rules.max_amount), _msg(f"amount exceeds maximum ({rules.max_amount:,}): ", python_float_text(v))),
     ]
 
 
@@ -67,12 +79,12 @@ def account_id_rule(c: Column) -> Rule:
     ]
 
 
-def timestamp_rule(c: Column, as_of: Column) -> Rule:
+def timestamp_rule(c: Column, now: Column) -> Rule:
     ts = F.when(c.rlike(ISO_TIMESTAMP_PATTERN), c.try_cast("timestamp_ntz"))
     return [
         (_blank(c), F.lit("timestamp is missing or null")),
         (ts.isNull(), _msg("timestamp is not valid ISO format: ", c)),
-        (ts > as_of, _msg("timestamp is in the future: ", c)),
+        (ts > now, _msg("timestamp is in the future: ", c)),
     ]
 
 
@@ -92,12 +104,11 @@ def currency_rule(c: Column) -> Rule:
 
 def all_rules(rules: Rules) -> list[Rule]:
     """The six field rules in the reference's order."""
-    as_of = F.lit(rules.as_of_literal()).cast("timestamp_ntz")
     return [
         transaction_id_rule(F.col("transaction_id")),
         amount_rule(F.col("amount"), rules),
         account_id_rule(F.col("account_id")),
-        timestamp_rule(F.col("timestamp"), as_of),
+        timestamp_rule(F.col("timestamp"), as_of(rules)),
         transaction_type_rule(F.col("transaction_type"), rules),
         currency_rule(F.col("currency")),
     ]
@@ -119,7 +130,6 @@ def field_validity(rules: Rules) -> dict[str, Column]:
     computed source projections (a JSON payload parse, a view) and inlines the
     projection at every reference, so one reference means one evaluation.
     """
-    as_of = F.lit(rules.as_of_literal()).cast("timestamp_ntz")
     number = clean_number_text(F.col("amount")).try_cast("double")
     # 0 < v < max as one BETWEEN (evaluated once); NaN and +-inf fall outside.
     below_max = math.nextafter(float(rules.max_amount), 0.0)
@@ -127,7 +137,7 @@ def field_validity(rules: Rules) -> dict[str, Column]:
         "transaction_id": F.coalesce(F.col("transaction_id").rlike(UUID_PATTERN), F.lit(False)),
         "amount": F.coalesce(number.between(_MIN_POSITIVE, below_max), F.lit(False)),
         "account_id": F.coalesce(F.col("account_id").rlike(ACCOUNT_PATTERN), F.lit(False)),
-        "timestamp": F.coalesce(parse_timestamp(F.col("timestamp")) <= as_of, F.lit(False)),
+        "timestamp": F.coalesce(parse_timestamp(F.col("timestamp")) <= as_of(rules), F.lit(False)),
         "transaction_type": F.coalesce(F.col("transaction_type").isin(*rules.transaction_types), F.lit(False)),
         "currency": F.coalesce(F.col("currency").rlike(CURRENCY_PATTERN), F.lit(False)),
     }

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import HIGH_DAILY_AMOUNT, HIGH_FREQUENCY, RAPID_SUCCESSION, Rules
+from ..functions import alert_text
 from ..functions.parsing import epoch_seconds
 from ..schema import ALERT_COLUMNS, MONEY_SUM_TYPE
 
@@ -76,9 +77,14 @@ def _halo_bucketed(hist: DataFrame, halo: int, bucket_sec: int) -> DataFrame:
 
 def second_profile(processed: DataFrame, rules: Rules) -> DataFrame:
     """Per (account, second): n, amt, first_amt, trailing_n (window count), prev_sec."""
+    return profile_of(second_histogram(processed), rules)
+
+
+def profile_of(histogram: DataFrame, rules: Rules) -> DataFrame:
+    """The profile of an (account, second) histogram, from wherever that was kept."""
     halo = max(rules.burst_window_sec, rules.rapid_gap_sec)
     bucket_sec = max(rules.histogram_bucket_sec, halo)
-    rows = _halo_bucketed(second_histogram(processed), halo, bucket_sec)
+    rows = _halo_bucketed(histogram, halo, bucket_sec)
     ordered = Window.partitionBy("account_id", "bucket").orderBy("sec")
     trailing = ordered.rangeBetween(-rules.burst_window_sec, 0)
     return (
@@ -110,10 +116,7 @@ def high_frequency(processed: DataFrame, rules: Rules, profile: DataFrame | None
         .groupBy("account_id")
         .agg(F.max("trailing_n").alias("transaction_count"), F.sum("amt").alias("total_amount"))
     )
-    text = F.concat(
-        F.lit("Account had "), F.col("transaction_count").cast("string"), F.lit(" transactions in a 1-hour window")
-    )
-    return _alert(hot, HIGH_FREQUENCY, text)
+    return _alert(hot, HIGH_FREQUENCY, alert_text.high_frequency(F.col("transaction_count"), rules))
 
 
 def high_daily_amount(processed: DataFrame, rules: Rules) -> DataFrame:
@@ -126,11 +129,8 @@ def high_daily_amount(processed: DataFrame, rules: Rules) -> DataFrame:
         .agg(F.sum("amount").alias("total_amount"), F.count(F.lit(1)).alias("transaction_count"))
         .filter(F.col("total_amount") > rules.daily_amount_limit)
     )
-    text = F.concat(
-        F.lit("Account exceeded $50,000 daily threshold with $"),
-        F.round(F.col("total_amount"), 2).cast(MONEY_SUM_TYPE).cast("string"),
-    )
-    return _alert(days, HIGH_DAILY_AMOUNT, text, F.col("transaction_date"))
+    return _alert(days, HIGH_DAILY_AMOUNT, alert_text.high_daily_amount(F.col("total_amount"), rules),
+                  F.col("transaction_date"))
 
 
 def rapid_succession(processed: DataFrame, rules: Rules, profile: DataFrame | None = None) -> DataFrame:
@@ -141,12 +141,7 @@ def rapid_succession(processed: DataFrame, rules: Rules, profile: DataFrame | No
     per_account = close.groupBy("account_id").agg(
         F.sum("close_n").alias("transaction_count"), F.sum("close_amt").alias("total_amount")
     )
-    text = F.concat(
-        F.lit("Account had "),
-        F.col("transaction_count").cast("string"),
-        F.lit(" rapid successive transactions (< 30s apart)"),
-    )
-    return _alert(per_account, RAPID_SUCCESSION, text)
+    return _alert(per_account, RAPID_SUCCESSION, alert_text.rapid_succession(F.col("transaction_count"), rules))
 
 
 def _close_pairs(profile: DataFrame, rules: Rules):
@@ -157,20 +152,16 @@ def _close_pairs(profile: DataFrame, rules: Rules):
     return close_n, close_amt
 
 
-def detect_anomalies(processed: DataFrame, rules: Rules) -> DataFrame:
-    """All three rules in one pipeline, same rows as the union of the single-rule outputs.
+def account_days(profile: DataFrame, rules: Rules) -> DataFrame:
+    """Per (account, day): day totals and the day's part of the two time rules.
 
-    profile (per account-second) -> per (account, day): day totals and the
-    partial HIGH_FREQUENCY / RAPID_SUCCESSION sums -> per account: the rule
-    totals plus the list of days over the daily limit (at most one entry per
-    calendar day) -> one explode into alert rows.  No branch re-reads the rows,
-    so the de-duplication and histogram shuffles run once.
+    Sums and maxima over days give an account's alerts, so a day can be worked
+    out again on its own (its profile needs the look-back into the day before).
     """
-    profile = second_profile(processed, rules)
     over = F.col("trailing_n") > rules.burst_min_exclusive
     close_n, close_amt = _close_pairs(profile, rules)
     day = F.date_from_unix_date(F.floor(F.col("sec") / F.lit(DAY_SEC)).cast("int"))
-    per_day = profile.groupBy("account_id", day.alias("day")).agg(
+    return profile.groupBy("account_id", day.alias("day")).agg(
         F.sum("amt").alias("day_amt"),
         F.sum("n").alias("day_n"),
         F.max(F.when(over, F.col("trailing_n"))).alias("hf_max"),
@@ -178,6 +169,11 @@ def detect_anomalies(processed: DataFrame, rules: Rules) -> DataFrame:
         F.sum(close_n).alias("rs_n"),
         F.sum(close_amt).alias("rs_amt"),
     )
+
+
+def alerts_from_days(per_day: DataFrame, rules: Rules) -> DataFrame:
+    """Per account: the rule totals plus the list of days over the daily limit (at
+    most one entry per calendar day), then one explode into alert rows."""
     big_day = F.when(
         F.col("day_amt") > rules.daily_amount_limit,
         F.struct(F.col("day").alias("d"), F.col("day_amt").alias("a"), F.col("day_n").alias("n")),
@@ -201,24 +197,25 @@ def detect_anomalies(processed: DataFrame, rules: Rules) -> DataFrame:
 
     no_date = F.lit(None).cast("date")
     hf = F.when(F.col("hf_max").isNotNull(), alert(
-        HIGH_FREQUENCY, F.col("hf_max"), F.col("hf_amt"),
-        F.concat(F.lit("Account had "), F.col("hf_max").cast("string"), F.lit(" transactions in a 1-hour window")),
-        no_date))
+        HIGH_FREQUENCY, F.col("hf_max"), F.col("hf_amt"), alert_text.high_frequency(F.col("hf_max"), rules), no_date))
     rs = F.when(F.col("rs_n") > 0, alert(
-        RAPID_SUCCESSION, F.col("rs_n"), F.col("rs_amt"),
-        F.concat(F.lit("Account had "), F.col("rs_n").cast("string"),
-                 F.lit(" rapid successive transactions (< 30s apart)")),
-        no_date))
+        RAPID_SUCCESSION, F.col("rs_n"), F.col("rs_amt"), alert_text.rapid_succession(F.col("rs_n"), rules), no_date))
     days = F.transform("big_days", lambda x: alert(
-        HIGH_DAILY_AMOUNT, x["n"], x["a"],
-        F.concat(F.lit("Account exceeded $50,000 daily threshold with $"),
-                 F.round(x["a"], 2).cast(MONEY_SUM_TYPE).cast("string")),
-        x["d"]))
+        HIGH_DAILY_AMOUNT, x["n"], x["a"], alert_text.high_daily_amount(x["a"], rules), x["d"]))
     alerts = F.filter(F.concat(F.array(hf, rs), days), lambda x: x.isNotNull())
     return per_account.select("account_id", F.explode(alerts).alias("a")).select(
         "account_id", "a.*").select(*ALERT_COLUMNS)
 
 
+def detect_anomalies(processed: DataFrame, rules: Rules) -> DataFrame:
+    """All three rules in one pipeline, same rows as the union of the single-rule outputs.
+
+    profile (per account-second) -> per (account, day) -> per account.  No branch
+    re-reads the rows, so the de-duplication and histogram shuffles run once.
+    """
+    return alerts_from_days(account_days(second_profile(processed, rules), rules), rules)
+
+
 def trailing_hour_count(processed: DataFrame, rules: Rules) -> DataFrame:
     """Per transaction: number of the account's transactions in [sec - 3600, sec].
 

@@ -2,12 +2,12 @@
 
 Hand-applied rewrites (all exact):
 * top-k before join/rank: the top-10/top-20 rows are chosen first, then the
-  alert summary is joined to them (RPT-2, the k rows are the broadcast side) or
-  the ranks are computed (RPT-4) on at most k rows, so no global
-  single-partition window and only k-row broadcasts.
+  alerts are filtered by their accounts and summed (RPT-2) or the ranks are
+  computed (RPT-4) on at most k rows, so no global single-partition window and
+  only k-row broadcasts.
 * RPT-5's per-account LAG/LEAD runs inside (account, time-bucket) partitions;
-  the neighbours across bucket edges come from a small per-bucket table, so a
-  hot account is spread over many tasks.
+  what happens across bucket edges is settled by folding bucket summaries into
+  days and days into the account, so a hot account is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -85,17 +85,16 @@ def alert_summary(alerts: DataFrame) -> DataFrame:
 
 
 def top_accounts(processed: DataFrame, alerts: DataFrame, k: int = 10) -> DataFrame:
-    """Top-k accounts by volume, with their alert count/types (0 / 'NONE' if none)."""
+    """Top-k accounts by volume, with their alert count/types (0 / 'NONE' if none), in that order."""
     top = (
         account_activity(processed)
         .orderBy(F.col("total_volume").desc(), F.col("account_id"))
         .limit(k)
     )
-    # The top-k rows (at most k, by construction) are the broadcast build side of a
-    # right outer join, so the alert summary is streamed, not shuffled, and the
-    # top-k subplan appears once.
-    summary = alert_summary(alerts)
-    joined = summary.join(F.broadcast(top), "account_id", "right")
+    # Both joins build on at most k rows: the alerts are filtered by the k accounts
+    # before they are summed, so what grows with the alerts is only streamed.
+    own = alerts.select("account_id", "alert_type").join(F.broadcast(top.select("account_id")), "account_id", "left_semi")
+    joined = top.join(F.broadcast(alert_summary(own)), "account_id", "left")
     return joined.select(
         "account_id",
         "total_transactions",
@@ -105,7 +104,7 @@ def top_accounts(processed: DataFrame, alerts: DataFrame, k: int = 10) -> DataFr
         "suspicious_count",
         F.coalesce(F.col("alert_count"), F.lit(0)).cast("long").alias("alert_count"),
         F.coalesce(F.col("alert_types"), F.lit("NONE")).alias("alert_types"),
-    )
+    ).orderBy(F.col("total_volume").desc(), F.col("account_id"))
 
 
 # RPT-3 -----------------------------------------------------------------------
@@ -157,7 +156,7 @@ def merchant_risk(processed: DataFrame, k: int = 20, min_transactions: int = 5)
         "flagged_pct",
         F.rank().over(order).cast("long").alias("risk_rank"),
         F.dense_rank().over(order).cast("long").alias("risk_dense_rank"),
-    )
+    ).orderBy("risk_rank", "merchant_id")
 
 
 # RPT-5 -----------------------------------------------------------------------
@@ -195,43 +194,77 @@ def _pattern_buckets(processed: DataFrame, bucket_sec: int) -> DataFrame:
     )
 
 
-def account_patterns(processed: DataFrame, rules: Rules, k: int = 20) -> DataFrame:
-    """Per account: repeated types, escalating amounts, large deviations over the
-    account's transactions in (ts, transaction_id) order; accounts with any
-    pattern, top k by mean risk score."""
-    buckets = _pattern_buckets(processed, rules.pattern_bucket_sec)
-    across = Window.partitionBy("account_id").orderBy("bucket")
-    pb_amount = F.lag("last_amount", 1).over(across)
-    pb_type = F.lag("last_type", 1).over(across)
-    nb_amount = F.lead("first_amount", 1).over(across)
-    edges = buckets.select(
-        "*", pb_amount.alias("pb_amount"), pb_type.alias("pb_type"), nb_amount.alias("nb_amount")
+def _folded(buckets: DataFrame, group: list[str], order: str) -> DataFrame:
+    """One summary per group out of the summaries of its buckets, in order.
+
+    A summary has settled all rows but its first (whose row before is missing) and
+    its last (whose row after is missing).  Between neighbouring buckets these
+    rows meet, so folding settles them and leaves the group's own first and last;
+    the fold is associative and can be repeated over coarser groups.
+    """
+    w = Window.partitionBy(*group).orderBy(order)
+    seen = buckets.select(
+        "*",
+        F.lag("last_amount", 1).over(w).alias("pb_amount"),
+        F.lag("last_type", 1).over(w).alias("pb_type"),
+        F.lead("first_amount", 1).over(w).alias("nb_amount"),
+        (F.row_number().over(w) == 1).alias("is_first"),
+        F.lead(F.lit(1), 1).over(w).isNull().alias("is_last"),
     )
-    fa, pa = F.col("first_amount"), F.col("pb_amount")
-    first_next = F.when(F.col("cnt") > 1, F.col("first_next")).otherwise(F.col("nb_amount"))
-    la = F.col("last_amount")
+    is_first, is_last, many = F.col("is_first"), F.col("is_last"), F.col("cnt") > 1
+    fa, la, pa, na = F.col("first_amount"), F.col("last_amount"), F.col("pb_amount"), F.col("nb_amount")
+    first_next = F.when(many, F.col("first_next")).otherwise(na)
+    last_prev = F.when(many, F.col("last_prev")).otherwise(pa)
 
     def flag(c):
         return F.when(F.coalesce(c, F.lit(False)), F.lit(1)).otherwise(F.lit(0))
 
-    rep_f = flag(F.col("first_type") == F.col("pb_type"))
-    dev_f = flag((pa > 0) & (F.abs(fa - pa) > pa * 5))
-    esc_f = flag((fa > F.coalesce(pa, F.lit(0))) & (F.coalesce(first_next, F.lit(0)) > fa))
-    esc_l = flag(
-        (F.col("cnt") > 1)
-        & (la > F.coalesce(F.col("last_prev"), F.lit(0)))
-        & (F.coalesce(F.col("nb_amount"), F.lit(0)) > la)
+    # a missing neighbour is NULL, which no comparison satisfies
+    rep = flag(~is_first & (F.col("first_type") == F.col("pb_type")))
+    dev = flag(~is_first & (pa > 0) & (F.abs(fa - pa) > pa * 5))
+    esc = flag(~is_first & (fa > pa) & (first_next > fa)) + flag(many & (la > F.col("last_prev")) & (na > la))
+    return seen.groupBy(*group).agg(
+        F.sum("cnt").alias("cnt"),
+        F.sum("risk_sum").alias("risk_sum"),
+        F.max("risk_max").alias("risk_max"),
+        F.sum(F.col("rep") + rep).alias("rep"),
+        F.sum(F.col("dev") + dev).alias("dev"),
+        F.sum(F.col("esc") + esc).alias("esc"),
+        F.max(F.when(is_first, fa)).alias("first_amount"),
+        F.max(F.when(is_first, F.col("first_type"))).alias("first_type"),
+        F.max(F.when(is_first, first_next)).alias("first_next"),
+        F.max(F.when(is_last, la)).alias("last_amount"),
+        F.max(F.when(is_last, F.col("last_type"))).alias("last_type"),
+        F.max(F.when(is_last, last_prev)).alias("last_prev"),
     )
-    per_account = edges.groupBy("account_id").agg(
-        F.sum("cnt").alias("total_transactions"),
-        F.sum(F.col("rep") + rep_f).alias("repeated_type_count"),
-        F.sum(F.col("esc") + esc_f + esc_l).alias("escalating_count"),
-        F.sum(F.col("dev") + dev_f).alias("deviation_count"),
-        F.sum("risk_sum").alias("_risk_sum"),
-        F.max("risk_max").alias("_risk_max"),
+
+
+def account_patterns(processed: DataFrame, rules: Rules, k: int = 20) -> DataFrame:
+    """Per account: repeated types, escalating amounts, large deviations over the
+    account's transactions in (ts, transaction_id) order; accounts with any
+    pattern, top k by mean risk score.
+
+    Rows fold into short buckets, buckets into days, days into the account: a
+    window partition holds a bucket's rows, a day's buckets or an account's days.
+    """
+    buckets = _pattern_buckets(processed, rules.pattern_bucket_sec)
+    day = F.floor(F.col("bucket") * F.lit(rules.pattern_bucket_sec) / F.lit(86400))
+    days = _folded(buckets.withColumn("day", day), ["account_id", "day"], "bucket")
+    per_account = _folded(days, ["account_id"], "day")
+    # the account's first row has nothing before it, which counts as amount 0
+    opening = F.when((F.col("first_amount") > 0) & (F.coalesce("first_next", F.lit(0)) > F.col("first_amount")),
+                     F.lit(1)).otherwise(F.lit(0))
+    named = per_account.select(
+        "account_id",
+        F.col("cnt").alias("total_transactions"),
+        F.col("rep").alias("repeated_type_count"),
+        (F.col("esc") + opening).alias("escalating_count"),
+        F.col("dev").alias("deviation_count"),
+        F.col("risk_sum").alias("_risk_sum"),
+        F.col("risk_max").alias("_risk_max"),
     )
     return (
-        per_account.filter(
+        named.filter(
             (F.col("repeated_type_count") > 2) | (F.col("escalating_count") > 1) | (F.col("deviation_count") > 0)
         )
         .select(

@@ -15,16 +15,17 @@ from pyspark.sql import types as T
 
 from ..config import Rules
 from ..operators import anomalies, enrich, reports, settle, validate
+from ..schema import ALERT_COLUMNS, LANDING_FIELDS
 from ..sinks import tables
 from ..sources import landing
 from ..sources.fixture import FIXTURE_AS_OF, read_landing_fixture
-from ..streaming import fixture_streams as fs
 from ..streaming import account_state
+from ..streaming import fixture_streams as fs
 from ..streaming import stream as st
+from .pipeline import run_batch, run_reports, table_paths
 
 FIXTURE_RULES = Rules(as_of=FIXTURE_AS_OF)
-LANDING_COLS = ("transaction_id", "account_id", "transaction_type", "amount", "currency", "timestamp",
-                "merchant_id", "location", "status", "is_flagged")
+LANDING_COLS = (*LANDING_FIELDS, "is_flagged")
 
 
 def _landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,10 +146,19 @@ SECOND_LOAD_FROM = "2024-01-10"   # the later batch re-covers days from this dat
 
 
 def q_insert_if_absent(spark, sf_dir):
-    """Raw landing table after loading the batch twice (redelivery): one row per id."""
-    rows = tables.raw_landing_rows(_landing(spark, sf_dir))
-    once = tables.merged_insert_if_absent(None, rows, ["transaction_id"])
-    return tables.merged_insert_if_absent(once, rows, ["transaction_id"])
+    """Raw landing table after two overlapping batches through the writer.
+
+    The second batch redelivers ids of the first with another location and a later
+    date, besides ids of its own: the stored row wins.
+    """
+    path = f"{fs.run_dir(spark, 'insert')}/raw"
+    first = _landing(spark, sf_dir).where(F.col("timestamp") < FIRST_LOAD_UNTIL)
+    second = _landing(spark, sf_dir).where(F.col("timestamp") >= SECOND_LOAD_FROM).withColumns({
+        "location": F.lit("Redelivered"), "timestamp": F.concat(F.lit("2024-12-31"), F.substring("timestamp", 11, 99))})
+    for batch in (first, second):
+        rows = tables.raw_landing_rows(batch).select("*", F.substring("timestamp", 1, 10).alias("landing_day"))
+        tables.insert_if_absent(spark, rows, path, ["transaction_id"], ["landing_day"])
+    return spark.read.parquet(path).select(*LANDING_COLS)
 
 
 def q_upsert_settlements(spark, sf_dir):
@@ -159,32 +169,87 @@ def q_upsert_settlements(spark, sf_dir):
     return tables.merged_upsert(earlier, later, ["settlement_date", "transaction_type"])
 
 
-# Streaming twins (drained with availableNow, compared with the batch oracle) --
+# The whole pipeline into tables ------------------------------------------------
+_WAREHOUSES: dict[tuple[str, str], str] = {}
+
+
+def _warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """Tables of the landing records loaded as two batches (split by id); loaded once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WAREHOUSES:
+        root = fs.run_dir(spark, "two-batches")
+        half = F.crc32(F.coalesce("transaction_id", F.lit(""))) % 2
+        for k in (0, 1):
+            run_batch(spark, _landing(spark, sf_dir).where(half == k), root, FIXTURE_RULES, batch_id=f"half-{k}")
+        _WAREHOUSES[key] = root
+    return _WAREHOUSES[key]
+
+
+def q_pipeline_two_batches(spark, sf_dir):
+    """Settlements after two batches: those of one batch with all rows."""
+    return spark.read.parquet(table_paths(_warehouse(spark, sf_dir))["daily_settlements"])
+
+
+def q_pipeline_two_batches_alerts(spark, sf_dir):
+    return spark.read.parquet(table_paths(_warehouse(spark, sf_dir))["anomaly_alerts"]).select(*ALERT_COLUMNS)
+
+
+def _stored_report(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: run_reports(spark, _warehouse(spark, sf_dir), FIXTURE_RULES)[name]
+
+
+# Opt-in rules and forms ----------------------------------------------------------
+def q_burst_flag(spark, sf_dir):
+    return enrich.with_burst_flag(_processed(spark, sf_dir), FIXTURE_RULES).select("transaction_id", "is_suspicious")
+
+
+def q_validation_report_json(spark, sf_dir):
+    """The report with its error_breakdown map as JSON text, keys in order."""
+    report = validate.report(_landing(spark, sf_dir), FIXTURE_RULES)
+    entries = F.array_sort(F.map_entries("error_breakdown"))
+    parts = F.transform(entries, lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"].cast("string")))
+    return report.select("total", "valid", "invalid", F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}")).alias("breakdown"))
+
+
+# Streaming twins (drained with availableNow over several files, compared with the batch oracle) --
+def _enriched(dedupe: bool = True) -> Callable[[DataFrame], DataFrame]:
+    return lambda landing_rows: st.enriched_stream(landing_rows, FIXTURE_RULES, dedupe=dedupe)
+
+
 def q_stream_dedupe(spark, sf_dir):
-    rows = fs.stream_enriched(spark, sf_dir, FIXTURE_RULES, dedupe=True)
-    out = fs.drain_append(spark, rows.select(*LANDING_COLS, "ts"), "dedupe")
+    out = fs.drain_append(spark, sf_dir, "dedupe", lambda rows: _enriched()(rows).select(*LANDING_COLS, "ts"))
     return out.select(*LANDING_COLS, "ts")
 
 
+def q_stream_quarantine(spark, sf_dir):
+    q = fs.drain_append(spark, sf_dir, "quarantine", lambda rows: st.quarantine_stream(rows, FIXTURE_RULES))
+    return q.select("record.*", F.array_join("errors", "; ").alias("error_text"))
+
+
 def q_stream_settlements(spark, sf_dir):
-    windows = st.settlement_windows(fs.stream_enriched(spark, sf_dir, FIXTURE_RULES))
-    table = fs.drain_upsert(spark, windows, "settlements", ["settlement_date", "transaction_type"],
-                            ["settlement_date"])
+    table = fs.drain_upsert(spark, sf_dir, "settlements", lambda rows: st.settlement_windows(_enriched()(rows)),
+                            ["settlement_date", "transaction_type"], ["settlement_date"])
     return settle.with_running_columns(table.select(
         "settlement_date", "transaction_type", "total_amount", "avg_amount", "transaction_count", "flagged_count"))
 
 
 def q_stream_daily_amount(spark, sf_dir):
-    days = st.daily_amount_windows(fs.stream_enriched(spark, sf_dir, FIXTURE_RULES), FIXTURE_RULES)
-    table = fs.drain_upsert(spark, days, "daily_amount", ["account_id", "alert_date"], ["alert_date"])
+    table = fs.drain_upsert(spark, sf_dir, "daily_amount",
+                            lambda rows: st.daily_amount_windows(_enriched()(rows), FIXTURE_RULES),
+                            ["account_id", "alert_date"], ["alert_date"])
     return table.select("account_id", "alert_type", "alert_description", "transaction_count", "total_amount",
                         "alert_date")
 
 
 def q_stream_account_alerts(spark, sf_dir):
-    totals = account_state.account_alert_state(fs.stream_enriched(spark, sf_dir, FIXTURE_RULES), FIXTURE_RULES)
-    table = fs.drain_upsert(spark, totals, "account_alerts", ["account_id"], [])
-    return account_state.alerts_from_state(table)
+    table = fs.drain_upsert(spark, sf_dir, "account_seconds", lambda rows: account_state.account_seconds(_enriched()(rows)),
+                            account_state.SECOND_KEYS, account_state.SECOND_PARTITION)
+    return account_state.alerts_from_seconds(table, FIXTURE_RULES)
+
+
+def q_stream_pipeline(spark, sf_dir):
+    """Settlements after the landing records came as a stream of several files."""
+    return spark.read.parquet(table_paths(fs.drain_pipeline(spark, sf_dir, "pipeline", FIXTURE_RULES))["daily_settlements"])
 
 
 def reported(df: DataFrame) -> DataFrame:
@@ -229,10 +294,21 @@ _QUERY_FUNCTIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rpt_account_patterns": q_rpt_account_patterns,
     "insert_if_absent": q_insert_if_absent,
     "upsert_settlements": q_upsert_settlements,
+    "pipeline_two_batches": q_pipeline_two_batches,
+    "pipeline_two_batches_alerts": q_pipeline_two_batches_alerts,
+    "stored_settlement_summary": _stored_report("settlement_summary"),
+    "stored_top_accounts": _stored_report("top_accounts"),
+    "stored_hourly_risk": _stored_report("hourly_risk"),
+    "stored_merchant_risk": _stored_report("merchant_risk"),
+    "stored_account_patterns": _stored_report("account_patterns"),
+    "burst_flag": q_burst_flag,
+    "validation_report_json": q_validation_report_json,
     "stream_dedupe": q_stream_dedupe,
+    "stream_quarantine": q_stream_quarantine,
     "stream_settlements": q_stream_settlements,
     "stream_daily_amount": q_stream_daily_amount,
     "stream_account_alerts": q_stream_account_alerts,
+    "stream_pipeline": q_stream_pipeline,
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -25,12 +25,23 @@ _ORACLE_SQL: dict[str, str] = {
     "rpt_hourly_risk": o.rpt_hourly_risk_sql(),
     "rpt_merchant_risk": o.rpt_merchant_risk_sql(),
     "rpt_account_patterns": o.rpt_account_patterns_sql(),
-    "insert_if_absent": o.insert_if_absent_sql(),
+    "insert_if_absent": o.insert_if_absent_sql(FIRST_LOAD_UNTIL, SECOND_LOAD_FROM),
     "upsert_settlements": o.upsert_settlements_sql(FIRST_LOAD_UNTIL, SECOND_LOAD_FROM),
+    "pipeline_two_batches": o.daily_settlements_sql(),
+    "pipeline_two_batches_alerts": o.alerts_sql(),
+    "stored_settlement_summary": o.rpt_settlement_summary_sql(),
+    "stored_top_accounts": o.rpt_top_accounts_sql(),
+    "stored_hourly_risk": o.rpt_hourly_risk_sql(),
+    "stored_merchant_risk": o.rpt_merchant_risk_sql(),
+    "stored_account_patterns": o.rpt_account_patterns_sql(),
+    "burst_flag": o.burst_flag_sql(),
+    "validation_report_json": o.validation_report_json_sql(),
     "stream_dedupe": o.dedupe_first_sql(),
+    "stream_quarantine": o.quarantine_sql(),
+    "stream_pipeline": o.daily_settlements_sql(),
     "stream_settlements": o.daily_settlements_sql(),
     "stream_daily_amount": o.alerts_sql("HIGH_DAILY_AMOUNT"),
-    "stream_account_alerts": o.alerts_sql("HIGH_FREQUENCY", "RAPID_SUCCESSION"),
+    "stream_account_alerts": o.alerts_sql(),
 }
 
 # Exact DECIMAL result columns, handed out as DOUBLE like the Spark side (catalog.reported).
@@ -54,6 +65,14 @@ DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
     "stream_settlements": ("total_amount", "avg_amount", "running_total", "day_over_day_change"),
     "stream_daily_amount": ("total_amount",),
     "stream_account_alerts": ("total_amount",),
+    "stream_pipeline": ("total_amount", "avg_amount", "running_total", "day_over_day_change"),
+    "pipeline_two_batches": ("total_amount", "avg_amount", "running_total", "day_over_day_change"),
+    "pipeline_two_batches_alerts": ("total_amount",),
+    "stored_settlement_summary": ("total_amount", "avg_amount", "running_total", "dod_change", "dod_pct_change"),
+    "stored_top_accounts": ("total_volume", "avg_transaction_amount"),
+    "stored_hourly_risk": ("total_amount", "avg_amount", "anomaly_rate_pct"),
+    "stored_merchant_risk": ("total_volume", "flagged_pct"),
+    "stored_account_patterns": ("avg_risk_score", "max_risk_score"),
 }
 
 

@@ -3,17 +3,22 @@
 
 Job layout (each step is one Spark job; nothing but counters reaches the driver):
 
-1. quarantine write and raw landing table (insert-if-absent by (landing_date, transaction_id)).  The validation counters ride along as an ``observe``
-   on the same scan, so the report costs no extra pass.
+1. quarantine write and raw landing table (insert-if-absent by transaction_id).
+   The validation counters ride along as an ``observe`` on the same scan, so the
+   report costs no extra pass.
 2. enriched batch -> parquet under the session's shared checkpoint folder
-   (``spark.checkpoint.dir``).  This cuts the lineage once: steps 3-5 read the
-   written files, so a lost executor re-reads files instead of recomputing
+   (``spark.checkpoint.dir``).  This cuts the lineage once: the later steps read
+   the written files, so a lost executor re-reads files instead of recomputing
    validation and de-duplication.
-3. processed table: insert-if-absent on (transaction_date, transaction_id),
-   partitioned by transaction_date (only touched dates are read back).
-4. settlements: upsert on (settlement_date, transaction_type).
-5. alerts: append with a deterministic id (re-running a batch adds nothing).
+3. processed table: insert-if-absent on transaction_id (only that column of the
+   stored rows is read), partitioned by transaction_date.
+4. settlement totals of the touched dates, again from the processed table; the
+   running columns over the (dates x types) totals.
+5. account-day rows of the touched dates and the next; alerts summed from them.
 6. quality log row.
+
+With ``scope="batch"`` 4 is an upsert on (settlement_date, transaction_type) and 5 an
+append with a deterministic id, both from the batch alone.
 """
 
 from __future__ import annotations
@@ -21,13 +26,14 @@ from __future__ import annotations
 import time
 import uuid
 from dataclasses import dataclass, field
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_RULES, Rules
 from ..functions.parsing import parse_timestamp
-from ..operators import anomalies, enrich, settle, validate
+from ..operators import anomalies, enrich, reports, settle, validate
 from ..session import checkpoint_dir
 from ..sinks import tables
 
@@ -45,7 +51,7 @@ def table_paths(root: str) -> dict:
     return {
         name: f"{root}/{name}"
         for name in ("raw_transactions", "processed", "daily_settlements", "anomaly_alerts", "quarantine",
-                     "data_quality_log")
+                     "data_quality_log", "settlement_totals", "account_days")
     }
 
 
@@ -66,9 +72,13 @@ def stage_enriched(spark: SparkSession, landing: DataFrame, rules: Rules, batch_
 
 def run_batch(spark: SparkSession, landing: DataFrame, root: str, rules: Rules = DEFAULT_RULES,
               batch_id: str | None = None, persist_landing: bool = False,
-              stage_landing: bool = False) -> BatchResult:
+              stage_landing: bool = False, scope: str = "table") -> BatchResult:
     """Process one landing batch into the tables under ``root`` (any Hadoop-FS URI).
 
+    ``scope="table"``: settlements and alerts cover all stored transactions, so they
+    don't depend on how the input was cut into batches.  ``scope="batch"``: they cover
+    the batch alone, and replace or add to those of earlier ones.
+
     The landing frame is read by three jobs (quarantine, raw table, enriched
     batch).  Columnar sources are simply re-read.  For sources that are costly
     to re-read:
@@ -78,7 +88,10 @@ def run_batch(spark: SparkSession, landing: DataFrame, root: str, rules: Rules =
     * ``persist_landing`` caches it instead (bounded inputs such as streaming
       micro-batches).
     """
+    if scope not in ("table", "batch"):
+        raise ValueError(f"scope must be 'table' or 'batch', not {scope!r}")
     started = time.perf_counter()
+    rules = rules.frozen()  # one "now" for all the queries below
     batch_id = batch_id or str(uuid.uuid4())
     paths = table_paths(root)
     staged_landing = None
@@ -89,7 +102,7 @@ def run_batch(spark: SparkSession, landing: DataFrame, root: str, rules: Rules =
     if persist_landing:
         landing = landing.persist()
     try:
-        return _run(spark, landing, rules, batch_id, paths, root, started)
+        return _run(spark, landing, rules, batch_id, paths, root, started, scope)
     finally:
         if persist_landing:
             landing.unpersist()
@@ -98,7 +111,7 @@ def run_batch(spark: SparkSession, landing: DataFrame, root: str, rules: Rules =
 
 
 def _run(spark: SparkSession, landing: DataFrame, rules: Rules, batch_id: str, paths: dict, root: str,
-         started: float) -> BatchResult:
+         started: float, scope: str) -> BatchResult:
 
     # 1. quarantine + validation counters in one pass
     obs = Observation("validation")
@@ -106,37 +119,28 @@ def _run(spark: SparkSession, landing: DataFrame, rules: Rules, batch_id: str, p
     validate.quarantine(checked).write.mode("overwrite").parquet(f"{paths['quarantine']}/batch_id={batch_id}")
     report = validate.report_from_metrics(obs.get)
 
-    # 1b. raw landing table: every record with an id, insert-if-absent.  Partitioned by
-    # the record's own date (NULL when unparseable) so each batch only reads the key
-    # columns of the dates it carries; a redelivery repeats its timestamp, hence its date.
+    # 1b. raw landing table: every record with an id, insert-if-absent by the id alone
     raw = tables.raw_landing_rows(landing).select(
         "*",
         F.current_timestamp().alias("loaded_at"),
         F.to_date(parse_timestamp(F.col("timestamp"))).alias("landing_date"),
     )
-    tables.insert_if_absent(spark, raw, paths["raw_transactions"], keys=["landing_date", "transaction_id"],
-                            partition_by=["landing_date"])
+    tables.insert_if_absent(spark, raw, paths["raw_transactions"], keys=["transaction_id"], partition_by=["landing_date"])
 
     # 2. enriched batch, lineage cut
     batch = stage_enriched(spark, landing, rules, batch_id, root)
+    lo, hi, _ = tables.value_range(batch, "transaction_date")
 
     # 3. processed table; without batch de-duplication the key still has to be unique
     rows = batch if rules.dedupe else enrich.first_delivery(batch)
-    tables.insert_if_absent(
-        spark, rows, paths["processed"], keys=["transaction_date", "transaction_id"],
-        partition_by=["transaction_date"],
-    )
-
-    # 4. settlements upsert
-    settlements = settle.daily_settlements(batch)
-    tables.upsert(
-        spark, settlements, paths["daily_settlements"], keys=["settlement_date", "transaction_type"],
-        partition_by=["settlement_date"],
-    )
+    tables.insert_if_absent(spark, rows, paths["processed"], keys=["transaction_id"], partition_by=["transaction_date"])
 
-    # 5. alerts append (idempotent per batch)
-    alerts = anomalies.detect_anomalies(batch, rules)
-    tables.append_alerts(spark, alerts, paths["anomaly_alerts"], batch_id)
+    # 4, 5. settlements and alerts
+    counts = {"records_transformed": batch.count(), "settlement_rows": 0, "anomalies_detected": 0}
+    if scope == "batch":
+        counts |= _batch_scope(spark, batch, rules, batch_id, paths)
+    elif lo is not None:
+        counts |= _table_scope(spark, rules, batch_id, paths, lo, hi)
 
     # 6. quality log
     tables.log_quality(spark, paths["data_quality_log"], batch_id, report)
@@ -147,6 +151,62 @@ def _run(spark: SparkSession, landing: DataFrame, rules: Rules, batch_id: str, p
     metrics = {
         "records_read": report["total"],
         "records_valid": report["valid"],
+        **counts,
         "processing_time_sec": round(time.perf_counter() - started, 2),
     }
     return BatchResult(batch_id=batch_id, report=report, metrics=metrics, paths=paths)
+
+
+def _table_scope(spark: SparkSession, rules: Rules, batch_id: str, paths: dict, lo: date, hi: date) -> dict:
+    """Settlements and alerts of all that is stored, whatever batches it came in.
+
+    Only the dates the batch touches (``lo`` to ``hi``) are worked out again, from the
+    processed table: their settlement totals, and the account-day rows of those
+    dates and the next (whose first hour looks back).  What spans dates (running
+    totals, alerts by account) is summed from these two small tables.
+    """
+    processed = tables.read_table(spark, paths["processed"])
+    day = timedelta(days=1)
+    totals = settle.daily_totals(tables.within_range(processed, "transaction_date", (lo, hi, 0)))
+    tables.replace_rows(spark, totals, paths["settlement_totals"], ["settlement_date"])
+    settlements = settle.with_running_columns(
+        tables.read_table(spark, paths["settlement_totals"], totals.schema))
+    tables.replace_rows(spark, settlements, paths["daily_settlements"])
+
+    around = tables.within_range(processed, "transaction_date", (lo - day, hi + day, 0))
+    days = anomalies.account_days(anomalies.second_profile(around, rules), rules)
+    days = tables.within_range(days, "day", (lo, hi + day, 0))
+    tables.replace_rows(spark, days, paths["account_days"], ["day"])
+    alerts = anomalies.alerts_from_days(tables.read_table(spark, paths["account_days"], days.schema), rules)
+    tables.replace_alerts(spark, alerts, paths["anomaly_alerts"], batch_id)
+    stored = tables.read_table(spark, paths["daily_settlements"])
+    return {"settlement_rows": tables.within_range(stored, "settlement_date", (lo, hi, 0)).count(),
+            "anomalies_detected": tables.read_table(spark, paths["anomaly_alerts"]).count()}
+
+
+def _batch_scope(spark: SparkSession, batch: DataFrame, rules: Rules, batch_id: str, paths: dict) -> dict:
+    """Settlements and alerts of the batch alone: a later batch's totals replace the
+    stored ones of the same date and type, alerts are appended."""
+    counters = {name: Observation(name) for name in ("settlements", "alerts")}
+    n = F.count(F.lit(1)).alias("n")
+    settlements = settle.daily_settlements(batch).observe(counters["settlements"], n)
+    tables.upsert(spark, settlements, paths["daily_settlements"], keys=["settlement_date", "transaction_type"],
+                  partition_by=["settlement_date"])
+    alerts = anomalies.detect_anomalies(batch, rules).observe(counters["alerts"], n)
+    tables.append_alerts(spark, alerts, paths["anomaly_alerts"], batch_id)
+    return {"settlement_rows": counters["settlements"].get["n"], "anomalies_detected": counters["alerts"].get["n"]}
+
+
+def run_reports(spark: SparkSession, root: str, rules: Rules = DEFAULT_RULES) -> dict[str, DataFrame]:
+    """The five standing reports over the tables under ``root``."""
+    paths = table_paths(root)
+    processed = tables.read_table(spark, paths["processed"])
+    if processed is None:
+        raise FileNotFoundError(f"no processed table under {root}")
+    return {
+        "settlement_summary": reports.settlement_summary(spark.read.parquet(paths["daily_settlements"])),
+        "top_accounts": reports.top_accounts(processed, spark.read.parquet(paths["anomaly_alerts"])),
+        "hourly_risk": reports.hourly_risk(processed),
+        "merchant_risk": reports.merchant_risk(processed),
+        "account_patterns": reports.account_patterns(processed, rules),
+    }

@@ -1,18 +1,19 @@
 """Keyed writes to partitioned parquet tables (the warehouse, re-aimed at files).
 
 * insert-if-absent (``ON CONFLICT DO NOTHING``): first-delivery de-duplication of
-  the batch, then a left-anti join against the keys already stored, then append.
-  The anti join reads only the key columns of the target and, when the key
-  includes the partition column, only the partitions the batch touches
-  (static partition filter on the batch's few partition values).
+  the batch, then a left-anti join against the keys already stored (only the key
+  columns of the target are read), then append.
 * upsert (``ON CONFLICT DO UPDATE``): the touched partitions are rebuilt as
   (stored rows whose key is not in the batch) + batch rows, staged under the
   session's shared checkpoint folder, then swapped in with dynamic partition
   overwrite (partitions the batch does not touch are left alone).
 * append with a deterministic id, so re-running a batch inserts nothing new.
 
-Every write goes through Spark's file commit protocol, so a lost executor
-only retries its task; a failed job leaves the previous table state.
+Every write goes through Spark's file commit protocol, so a lost executor only
+retries its task.  Appends and partitioned overwrites leave the previous state
+when a job fails.  An unpartitioned table that is replaced whole is deleted
+before its new rows are written: if that last copy job fails, the rows are still
+in the staging folder, and running the batch again rebuilds the table.
 """
 
 from __future__ import annotations
@@ -20,9 +21,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..session import checkpoint_dir
 
@@ -42,15 +42,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The table at ``path``, or None if nothing is there.  A table that is there but
+    can't be read raises: taking it for absent would overwrite it."""
     if not _exists(spark, path):
         return None
-    try:
-        reader = spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(path)
-    except AnalysisException:
-        return None
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 # Pure DataFrame forms (also used by the registered queries) --------------------
@@ -92,42 +89,35 @@ def _partitioned(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     instead of one small file per task per value."""
     return df.hint("rebalance", *partition_by) if partition_by else df
 
-MAX_PRUNING_VALUES = 10_000  # touched partition values collected for static pruning
 
+def staging_path(spark: SparkSession, path: str) -> str:
+    base = checkpoint_dir(spark, fallback=f"{path.rstrip('/')}__staging")
+    return f"{base.rstrip('/')}/settleline-staging/{uuid.uuid4().hex}"
 
-def stored_in_touched_partitions(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Stored rows restricted to the partitions the batch touches.
 
-    One partition column: its distinct batch values (a date per day of data, so a
-    small bounded set) are collected behind a size check and applied as a literal
-    filter, which prunes partitions at planning time.  Beyond the check, or with
-    several partition columns, a null-safe semi join gives the same rows without
-    pruning.
-    """
-    touched = batch.select(*partition_by).distinct()
-    if len(partition_by) == 1:
-        col = partition_by[0]
-        values = [r[0] for r in touched.limit(MAX_PRUNING_VALUES + 1).collect()]
-        if len(values) <= MAX_PRUNING_VALUES:
-            present = [v for v in values if v is not None]
-            cond = F.col(col).isin(present) if present else F.lit(False)
-            if len(present) < len(values):
-                cond = cond | F.col(col).isNull()
-            return target.filter(cond)
-    return target.join(touched, _same_keys(target, touched, partition_by), "left_semi")
+def value_range(rows: DataFrame, col: str) -> tuple:
+    """(least, greatest, number of NULLs) of a column: one row, whatever the data's size."""
+    return tuple(rows.agg(F.min(col), F.max(col), F.count_if(F.col(col).isNull())).first())
+
+
+def within_range(rows: DataFrame, col: str, bounds: tuple) -> DataFrame:
+    """Rows whose ``col`` lies in the range, as a literal filter (prunes partitions when planned)."""
+    lo, hi, nulls = bounds
+    cond = F.col(col).between(lo, hi) if lo is not None else F.lit(False)
+    return rows.filter(cond | F.col(col).isNull() if nulls else cond)
 
 
 def insert_if_absent(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
-                     partition_by: Sequence[str] = ()) -> None:
+                     partition_by: Sequence[str] = (), among: Column | None = None) -> None:
     """Append the batch rows whose key is not stored yet (idempotent on re-run).
 
-    With ``partition_by`` (which must be part of ``keys``) the stored keys are first
-    narrowed to the partitions the batch touches; the anti join alone would read
-    every partition.
+    Of the stored rows only the key columns are read, and with ``among`` (a literal
+    condition that the batch's keys are known to meet) only those partitions.
+    The batch's plan runs once.
     """
     target = read_table(spark, path, batch.schema)
-    if target is not None and partition_by:
-        target = stored_in_touched_partitions(target, batch, partition_by)
+    if target is not None and among is not None:
+        target = target.filter(among)
     writer = _partitioned(rows_to_insert(target, batch, keys), partition_by).write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -135,30 +125,46 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, path: str, keys: Seq
 
 
 def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
-           partition_by: Sequence[str] = ()) -> None:
+           partition_by: Sequence[str] = (), staged: bool = False) -> None:
     """Replace rows by key; with ``partition_by`` only the touched partitions are rewritten,
-    without it the (small, key-level) table is rewritten whole."""
+    without it the (small, key-level) table is rewritten whole.
+
+    The batch is staged first, so its plan runs once (``staged``: it is read from files
+    already).  The stored side is read in the
+    range of the batch's partition values (least to greatest), at every size alike;
+    the exact keys are matched by the anti join.
+    """
     target = read_table(spark, path, batch.schema)
-    writer_of = (lambda df: df.write.mode("overwrite").partitionBy(*partition_by)) if partition_by else (
-        lambda df: df.write.mode("overwrite"))
     if target is None:
-        writer_of(_partitioned(batch, partition_by)).parquet(path)
+        _overwrite(_partitioned(batch, partition_by), path, partition_by)
         return
-    if partition_by:
-        target = stored_in_touched_partitions(target, batch, partition_by)
-    merged = merged_upsert(target, batch, keys)
-    # Stage to the shared checkpoint folder: the overwrite must not read its own output.
-    base = checkpoint_dir(spark, fallback=f"{path.rstrip('/')}__staging")
-    staging = f"{base.rstrip('/')}/settleline-staging/{uuid.uuid4().hex}"
-    merged.write.mode("overwrite").parquet(staging)
-    staged = spark.read.parquet(staging)
-    if partition_by:
-        writer_of(_partitioned(staged, partition_by)).option("partitionOverwriteMode", "dynamic").parquet(path)
-    else:
-        writer_of(staged).parquet(path)
+    staging = staging_path(spark, path)
+    rows = batch
+    if not staged:
+        batch.write.parquet(f"{staging}/batch")
+        rows = spark.read.schema(batch.schema).parquet(f"{staging}/batch")
+    for col in partition_by:
+        target = within_range(target, col, value_range(rows, col))
+    replace_rows(spark, merged_upsert(target, rows, keys), path, partition_by, staging)
+
+
+def replace_rows(spark: SparkSession, rows: DataFrame, path: str, partition_by: Sequence[str] = (),
+                 staging: str | None = None) -> None:
+    """Put ``rows`` in place of the partitions they have (of the whole table without
+    partitioning); they may be derived from the table itself, so they are staged first."""
+    staging = staging or staging_path(spark, path)
+    rows.write.parquet(f"{staging}/rows")
+    _overwrite(_partitioned(spark.read.schema(rows.schema).parquet(f"{staging}/rows"), partition_by), path, partition_by)
     delete_path(spark, staging)
 
 
+def _overwrite(rows: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    writer = rows.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
+
+
 def raw_landing_rows(landing: DataFrame) -> DataFrame:
     """Rows for the raw landing table: every record with a usable id (valid or not),
     first delivery per id by its timestamp text; id-less rows only live in quarantine."""
@@ -197,7 +203,25 @@ def append_alerts(spark: SparkSession, alerts: DataFrame, path: str, batch_id: s
     collide with alerts of the same batch: the table is partitioned by batch_id and
     the existence check reads that one partition, not the whole alert history."""
     insert_if_absent(spark, with_alert_ids(alerts, batch_id), path, ["batch_id", "alert_id"],
-                     partition_by=["batch_id"])
+                     partition_by=["batch_id"], among=F.col("batch_id") == batch_id)
+
+
+def replace_alerts(spark: SparkSession, alerts: DataFrame, path: str, batch_id: str) -> None:
+    """The table's alerts are now these.  An alert that stands unchanged keeps the batch and
+    time it was raised by; the id is that of (account, type, date)."""
+    ident = F.concat_ws("|", "account_id", "alert_type", F.coalesce(F.col("alert_date").cast("string"), F.lit("")))
+    rows = alerts.select(F.sha2(ident, 256).alias("alert_id"), *alerts.columns)
+    stored = read_table(spark, path)
+    if stored is None:
+        out = rows.select("*", F.lit(batch_id).alias("batch_id"), F.current_timestamp().alias("detection_time"))
+    else:
+        same = stored.select("alert_id", F.col("alert_description").alias("_text"), F.col("total_amount").alias("_total"),
+                             F.col("batch_id").alias("_batch"), F.col("detection_time").alias("_time"))
+        stands = (F.col("_text") == F.col("alert_description")) & (F.col("_total") == F.col("total_amount"))
+        out = rows.join(same, "alert_id", "left").select(
+            *rows.columns, F.when(stands, F.col("_batch")).otherwise(F.lit(batch_id)).alias("batch_id"),
+            F.when(stands, F.col("_time")).otherwise(F.current_timestamp()).alias("detection_time"))
+    replace_rows(spark, out, path)
 
 
 def quality_row(spark: SparkSession, batch_id: str, report: dict) -> DataFrame:

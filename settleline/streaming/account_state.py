@@ -1,190 +1,39 @@
-"""Exact streaming HIGH_FREQUENCY and RAPID_SUCCESSION with per-account state.
-
-``applyInPandasWithState`` keyed by account, update mode.  The state of an
-account is a per-second histogram (count, amount, first row of the second in
-(ts, transaction_id) order) covering the look-back hour plus the seconds not
-yet behind the watermark, and the alert totals of the seconds already final.
-Every trigger emits the account's exact totals over everything seen so far:
-final seconds come from the stored totals, the still-open seconds are
-re-evaluated from the histogram.  Seconds behind the watermark are folded
-into the totals and dropped from the histogram, so state per account is
-bounded by time span (at most look-back + lateness seconds), never by row
-count; rows that arrive for an already-final second are counted as late.
-
-Inside a group, rows arrive as Arrow batches and are reduced per second with
-vectorised pandas operations, so a busy account costs O(distinct seconds)
-memory in its task.
+"""Streaming HIGH_FREQUENCY, RAPID_SUCCESSION and HIGH_DAILY_AMOUNT from a per-second histogram.
+
+The state is one row per (account, second): a streaming aggregation that Spark
+pre-aggregates before the shuffle, so a busy account is spread over its seconds
+and no group of raw rows is ever gathered.  Seconds behind the watermark leave
+the state.  Each trigger's changed seconds are upserted into a table partitioned
+by day; the alerts are the batch rules over that table's profile, exact over
+everything that arrived on time.
 """
 
 from __future__ import annotations
 
-import json
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-from ..config import HIGH_FREQUENCY, RAPID_SUCCESSION, Rules
-from ..functions.parsing import epoch_seconds
-from ..schema import MONEY_SUM_TYPE
-
-OUTPUT_SCHEMA = (
-    "account_id string, hf_count long, hf_amount_cents long, rs_count long, rs_amount_cents long, late_rows long"
-)
-STATE_SCHEMA = "hist string, final_upto long, hf_max long, hf_amt long, rs_n long, rs_amt long, late long"
-
-
-HIST_COLUMNS = ("sec", "n", "amt", "f_ord", "f_tid", "f_amt")
-
-
-def _empty_hist() -> pd.DataFrame:
-    return pd.DataFrame({c: pd.Series(dtype="object" if c == "f_tid" else "int64") for c in HIST_COLUMNS})
-
-
-def _per_second(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Rows (or histogram entries) -> one entry per second: counts and amounts summed,
-    the first row's (ord, tid, amount) kept."""
-    pdf = pdf.sort_values(["sec", "f_ord", "f_tid"], kind="mergesort")
-    g = pdf.groupby("sec", sort=True)
-    first = g.head(1).set_index("sec")
-    return pd.DataFrame({
-        "sec": first.index.to_numpy(dtype="int64"),
-        "n": g["n"].sum().to_numpy(dtype="int64"),
-        "amt": g["amt"].sum().to_numpy(dtype="int64"),
-        "f_ord": first["f_ord"].to_numpy(dtype="int64"),
-        "f_tid": first["f_tid"].to_numpy(dtype="object"),
-        "f_amt": first["f_amt"].to_numpy(dtype="int64"),
-    })
-
-
-def _rows_as_entries(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({
-        "sec": pdf["sec"].astype("int64"), "n": 1, "amt": pdf["cents"].astype("int64"),
-        "f_ord": pdf["ord"].astype("int64"), "f_tid": pdf["tid"], "f_amt": pdf["cents"].astype("int64"),
-    })
 
+from ..config import Rules
+from ..operators import anomalies
 
-def _contributions(hist: pd.DataFrame, lo_sec: int, hi_sec: int, window: int, limit: int, gap: int):
-    """Alert contributions of the histogram seconds in (lo_sec, hi_sec], given the whole
-    (sorted) histogram as look-back.  Vectorised: prefix sums + searchsorted."""
-    keys = hist["sec"].to_numpy(dtype="int64")
-    if keys.size == 0:
-        return 0, 0, 0, 0
-    n = hist["n"].to_numpy(dtype="int64")
-    amt = hist["amt"].to_numpy(dtype="int64")
-    f_amt = hist["f_amt"].to_numpy(dtype="int64")
-    prefix = np.concatenate(([0], np.cumsum(n)))
-    sel = np.nonzero((keys > lo_sec) & (keys <= hi_sec))[0]
-    if sel.size == 0:
-        return 0, 0, 0, 0
-    lo = np.searchsorted(keys, keys[sel] - window, side="left")
-    trailing = prefix[sel + 1] - prefix[lo]
-    over = trailing > limit
-    prev_gap = np.where(sel > 0, keys[sel] - keys[np.maximum(sel - 1, 0)], gap)
-    close = (sel > 0) & (prev_gap < gap)
-    hf_max = int(trailing[over].max()) if over.any() else 0
-    hf_amt = int(amt[sel][over].sum())
-    rs_n = int((n[sel] - 1 + close).sum())
-    rs_amt = int((amt[sel] - f_amt[sel] + np.where(close, f_amt[sel], 0)).sum())
-    return hf_max, hf_amt, rs_n, rs_amt
+#: Key and partitioning of the histogram table.
+SECOND_KEYS = ["account_id", "sec"]
+SECOND_PARTITION = ["day"]
 
 
-def _load(hist_json: str) -> pd.DataFrame:
-    cols = json.loads(hist_json)
-    if not cols or not cols.get("sec"):
-        return _empty_hist()
-    return pd.DataFrame({c: cols[c] for c in HIST_COLUMNS}).astype(
-        {c: "int64" for c in HIST_COLUMNS if c != "f_tid"})
-
-
-def _dump(hist: pd.DataFrame) -> str:
-    return json.dumps({c: hist[c].tolist() for c in HIST_COLUMNS})
-
-
-def make_state_function(rules: Rules):
-    window, limit, gap = rules.burst_window_sec, rules.burst_min_exclusive, rules.rapid_gap_sec
-    keep = max(window, gap)
-
-    def update(key, batches, state):
-        (account,) = key
-        if state.exists:
-            hist_json, final_upto, hf_max, hf_amt, rs_n, rs_amt, late = state.get
-            hist = _load(hist_json)
-        else:
-            hist, final_upto, hf_max, hf_amt, rs_n, rs_amt, late = _empty_hist(), -(2**62), 0, 0, 0, 0, 0
-        parts = [hist]
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            on_time = pdf["sec"] > final_upto
-            late += int((~on_time).sum())
-            if on_time.any():
-                parts.append(_per_second(_rows_as_entries(pdf[on_time])))
-        if len(parts) > 1:
-            hist = _per_second(pd.concat(parts, ignore_index=True))
-        watermark_ms = state.getCurrentWatermarkMs()
-        boundary = watermark_ms // 1000 - 1 if watermark_ms and watermark_ms > 0 else final_upto
-        secs = hist["sec"].to_numpy(dtype="int64")
-        done = secs[(secs > final_upto) & (secs <= boundary)]
-        if done.size:
-            c = _contributions(hist, final_upto, int(done.max()), window, limit, gap)
-            hf_max, hf_amt, rs_n, rs_amt = max(hf_max, c[0]), hf_amt + c[1], rs_n + c[2], rs_amt + c[3]
-            final_upto = int(done.max())
-            # keep the look-back of the newest final second (and everything open)
-            hist = hist[hist["sec"] >= final_upto - keep].reset_index(drop=True)
-        p = _contributions(hist, final_upto, 2**62, window, limit, gap)
-        state.update((_dump(hist), final_upto, hf_max, hf_amt, rs_n, rs_amt, late))
-        yield pd.DataFrame({
-            "account_id": [account],
-            "hf_count": [max(hf_max, p[0])],
-            "hf_amount_cents": [hf_amt + p[1]],
-            "rs_count": [rs_n + p[2]],
-            "rs_amount_cents": [rs_amt + p[3]],
-            "late_rows": [late],
-        })
-
-    return update
-
-
-def account_alert_state(enriched: DataFrame, rules: Rules) -> DataFrame:
-    """Streaming per-account alert totals (update mode; upsert the output by account_id)."""
-    rows = enriched.select(
-        "account_id",
-        "event_time",  # keeps the watermark visible to the state function
-        epoch_seconds(F.col("ts")).alias("sec"),
-        ((F.date_part(F.lit("SECOND"), F.col("ts")) * F.lit(1_000_000)).cast("long") % F.lit(1_000_000)).alias("ord"),
-        F.col("transaction_id").alias("tid"),
-        (F.col("amount") * F.lit(100)).cast("long").alias("cents"),
-    )
-    return rows.groupBy("account_id").applyInPandasWithState(
-        make_state_function(rules), OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout
+def account_seconds(enriched: DataFrame) -> DataFrame:
+    """(account_id, sec): rows, amount, amount of the first row in (ts, id) order (update mode)."""
+    seconds = enriched.groupBy("account_id", F.window("event_time", "1 second").alias("w")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("amount").alias("amt"),
+        F.min(F.struct("ts", "transaction_id", "amount")).alias("first"),
     )
+    sec = F.unix_seconds("w.start")
+    return seconds.select("account_id", sec.alias("sec"), "n", "amt", F.col("first.amount").alias("first_amt"),
+                          F.date_from_unix_date(F.floor(sec / F.lit(86400)).cast("int")).alias("day"))
 
 
-def alerts_from_state(table: DataFrame) -> DataFrame:
-    """Batch side: alert rows from the upserted per-account totals."""
-
-    def money(c):
-        return (F.col(c).cast("decimal(38,0)") / F.lit(100)).cast(MONEY_SUM_TYPE)
-
-    hf = table.filter(F.col("hf_count") > 0).select(
-        "account_id",
-        F.lit(HIGH_FREQUENCY).alias("alert_type"),
-        F.concat(F.lit("Account had "), F.col("hf_count").cast("string"),
-                 F.lit(" transactions in a 1-hour window")).alias("alert_description"),
-        F.col("hf_count").alias("transaction_count"),
-        money("hf_amount_cents").alias("total_amount"),
-        F.lit(None).cast("date").alias("alert_date"),
-    )
-    rs = table.filter(F.col("rs_count") > 0).select(
-        "account_id",
-        F.lit(RAPID_SUCCESSION).alias("alert_type"),
-        F.concat(F.lit("Account had "), F.col("rs_count").cast("string"),
-                 F.lit(" rapid successive transactions (< 30s apart)")).alias("alert_description"),
-        F.col("rs_count").alias("transaction_count"),
-        money("rs_amount_cents").alias("total_amount"),
-        F.lit(None).cast("date").alias("alert_date"),
-    )
-    return hf.unionByName(rs)
+def alerts_from_seconds(table: DataFrame, rules: Rules) -> DataFrame:
+    """Alert rows from the upserted histogram table."""
+    profile = anomalies.profile_of(table.drop("day"), rules)
+    return anomalies.alerts_from_days(anomalies.account_days(profile, rules), rules)

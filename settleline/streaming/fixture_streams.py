@@ -6,66 +6,79 @@ the session's checkpoint folder, and the resulting table is returned."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import Rules
-from ..session import ensure_checkpoint_dir
+from ..session import checkpoint_dir, configured_checkpoint_dir, ensure_checkpoint_dir
+from ..sinks import tables
 from ..sources.fixture import LANDING_VIEW_SQL
 from . import stream as st
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-        .select("event_id", "ts", "user_id", "event_type", "value")
-    )
+#: Files, and so micro-batches, that the events are streamed as.
+PARTS = 3
 
 
-def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(LANDING_VIEW_SQL, events=events_stream(spark, sf_dir))
+def run_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the session's shared checkpoint folder (a local session gets one if it has none)."""
+    if configured_checkpoint_dir(spark) is None and spark.sparkContext.master.startswith("local["):
+        ensure_checkpoint_dir(spark)
+    return f"{checkpoint_dir(spark).rstrip('/')}/settleline-streams/{name}-{uuid.uuid4().hex}"
 
 
-def _run_dir(spark: SparkSession, name: str) -> str:
-    # Test harness: uses the session's folder, and only creates one when unset.
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/settleline-streams/{name}-{uuid.uuid4().hex}"
+def events_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    """All events as a stream of PARTS files in the order of time, a file per micro-batch."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    for k in range(PARTS):  # written one after the other: the file source goes by age
+        part = events
+        if lo is not None:
+            edge = lambda i: F.lit(lo) + F.lit((hi - lo) * i / PARTS)
+            first = F.col("ts").isNull() if k == 0 else F.lit(False)
+            until = (F.col("ts") < edge(k + 1)) if k < PARTS - 1 else F.lit(True)
+            part = events.where(first | ((F.col("ts") >= edge(k)) & until))
+        part.coalesce(1).write.parquet(f"{base}/in/part{k}")
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
 
 
-def drain_upsert(spark: SparkSession, stream: DataFrame, name: str, keys: list[str],
+def landing_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    return spark.sql(LANDING_VIEW_SQL, events=events_stream(spark, sf_dir, base))
+
+
+def read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The table that a stream left, or no rows if it never wrote one."""
+    table = tables.read_table(spark, path, like.schema)
+    return spark.createDataFrame([], like.schema) if table is None else table
+
+
+def drain_upsert(spark: SparkSession, sf_dir: str, name: str, of: Callable[[DataFrame], DataFrame], keys: list[str],
                  partition_by: list[str], output_mode: str = "update") -> DataFrame:
-    """Run ``stream`` to completion into a keyed parquet table and read it back."""
-    base = _run_dir(spark, name)
+    """Run ``of(landing stream)`` to completion into a keyed parquet table and read it back."""
+    base = run_dir(spark, name)
+    stream = of(landing_stream(spark, sf_dir, base))
     sink = st.upsert_sink(spark, f"{base}/table", keys, partition_by)
     st.run_available_now(stream, sink, f"{base}/checkpoint", output_mode)
-    if not _has_rows(spark, f"{base}/table"):
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.schema(stream.schema).parquet(f"{base}/table")
+    return read_or_empty(spark, f"{base}/table", stream)
 
 
-def drain_append(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
-    """Run ``stream`` to completion, one overwrite-per-epoch folder (replay-safe)."""
-    base = _run_dir(spark, name)
+def drain_append(spark: SparkSession, sf_dir: str, name: str, of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run ``of(landing stream)`` to completion, one overwrite-per-epoch folder (replay-safe)."""
+    base = run_dir(spark, name)
+    stream = of(landing_stream(spark, sf_dir, base))
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/table/epoch={epoch_id}")
 
     st.run_available_now(stream, write, f"{base}/checkpoint", "append")
-    if not _has_rows(spark, f"{base}/table"):
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.schema(stream.schema).parquet(f"{base}/table")
-
-
-def _has_rows(spark: SparkSession, path: str) -> bool:
-    from ..sinks.tables import read_table
-
-    try:
-        return read_table(spark, path) is not None
-    except Exception:  # an empty folder has no parquet footer to infer from
-        return False
+    return read_or_empty(spark, f"{base}/table", stream)
 
 
-def stream_enriched(spark: SparkSession, sf_dir: str, rules: Rules, dedupe: bool = True) -> DataFrame:
-    return st.enriched_stream(landing_stream(spark, sf_dir), rules, dedupe=dedupe)
+def drain_pipeline(spark: SparkSession, sf_dir: str, name: str, rules: Rules) -> str:
+    """Stream the landing records through the whole pipeline; the folder of its tables."""
+    base = run_dir(spark, name)
+    sink = st.pipeline_sink(spark, f"{base}/tables", rules, name)
+    st.run_available_now(landing_stream(spark, sf_dir, base), sink, f"{base}/checkpoint", "append")
+    return f"{base}/tables"

@@ -17,17 +17,18 @@ event-time watermarks so state stays bounded:
 * ``foreachBatch`` sinks apply the same keyed writes as ``run_batch``, with a
   deterministic batch id per (query id, epoch), so a replayed epoch is a no-op.
 
-Rows later than the watermark are dropped by Spark; ``late_rows`` reports how
-many from the query progress.
+Rows later than the watermark are dropped by Spark; the ``LateRows`` listener
+counts them over all triggers.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from ..config import HIGH_DAILY_AMOUNT, RAPID_SUCCESSION, Rules
+from ..config import DEFAULT_RULES, HIGH_DAILY_AMOUNT, RAPID_SUCCESSION, Rules
+from ..functions import alert_text
 from ..functions.derive import exact_mean
 from ..functions.parsing import epoch_seconds
 from ..operators import enrich, validate
@@ -68,9 +69,18 @@ def event_time(ts_ntz) -> "F.Column":
     return F.timestamp_seconds(epoch_seconds(ts_ntz))
 
 
+def quarantine_stream(landing: DataFrame, rules: Rules) -> DataFrame:
+    """The rows that ``enriched_stream`` leaves out, as {record, errors}: write them beside it."""
+    return validate.quarantine(validate.with_errors(landing, rules))
+
+
 def enriched_stream(landing: DataFrame, rules: Rules, dedupe: bool = False,
                     watermark: str = "1 day") -> DataFrame:
-    """Stateless validation + enrichment; optional watermark de-duplication."""
+    """Stateless validation + enrichment of valid rows; optional watermark de-duplication.
+
+    Invalid rows go to ``quarantine_stream``.  Without a fixed ``rules.as_of`` the
+    future-timestamp rule uses each micro-batch's own time.
+    """
     rows = enrich.typed(validate.valid_landing(landing, rules)).withColumn("event_time", event_time(F.col("ts")))
     rows = rows.withWatermark("event_time", watermark)
     if dedupe:
@@ -113,10 +123,7 @@ def daily_amount_windows(enriched: DataFrame, rules: Rules) -> DataFrame:
     return days.select(
         "account_id",
         F.lit(HIGH_DAILY_AMOUNT).alias("alert_type"),
-        F.concat(
-            F.lit("Account exceeded $50,000 daily threshold with $"),
-            F.col("total_amount").cast(MONEY_SUM_TYPE).cast("string"),
-        ).alias("alert_description"),
+        alert_text.high_daily_amount(F.col("total_amount"), rules).alias("alert_description"),
         F.col("transaction_count").cast("long").alias("transaction_count"),
         F.col("total_amount").cast(MONEY_SUM_TYPE).alias("total_amount"),
         utc_date(F.col("w.start")).alias("alert_date"),
@@ -145,7 +152,7 @@ def rapid_sessions(enriched: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
-def rapid_alerts_from_sessions(sessions: DataFrame) -> DataFrame:
+def rapid_alerts_from_sessions(sessions: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Batch side: per-account RAPID_SUCCESSION alerts from emitted session rows."""
     per_account = sessions.groupBy("account_id").agg(
         F.sum("close_n").alias("transaction_count"), F.sum("close_amt").alias("total_amount")
@@ -153,10 +160,7 @@ def rapid_alerts_from_sessions(sessions: DataFrame) -> DataFrame:
     return per_account.select(
         "account_id",
         F.lit(RAPID_SUCCESSION).alias("alert_type"),
-        F.concat(
-            F.lit("Account had "), F.col("transaction_count").cast("string"),
-            F.lit(" rapid successive transactions (< 30s apart)"),
-        ).alias("alert_description"),
+        alert_text.rapid_succession(F.col("transaction_count"), rules).alias("alert_description"),
         F.col("transaction_count").cast("long").alias("transaction_count"),
         F.col("total_amount").cast(MONEY_SUM_TYPE).alias("total_amount"),
         F.lit(None).cast("date").alias("alert_date"),
@@ -167,33 +171,66 @@ def upsert_sink(spark: SparkSession, path: str, keys: list[str], partition_by: l
     """foreachBatch function: keyed upsert of each micro-batch into a parquet table."""
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        # Every action on a micro-batch re-runs its (stateful) plan: cache it once for
-        # the emptiness check and the upsert's reads and write.
-        batch = batch.persist()
-        try:
-            if not batch.isEmpty():  # e.g. the no-data batch that only advances the watermark
-                tables.upsert(spark, batch, path, keys, partition_by)
-        finally:
-            batch.unpersist()
+        # Every action on a micro-batch re-runs its (stateful) plan: it is staged once in
+        # shared storage for the emptiness check and the upsert's reads and write.
+        staging = tables.staging_path(spark, path)
+        batch.write.parquet(staging)
+        rows = spark.read.schema(batch.schema).parquet(staging)
+        if not rows.isEmpty():  # e.g. the no-data batch that only advances the watermark
+            tables.upsert(spark, rows, path, keys, partition_by, staged=True)
+        tables.delete_path(spark, staging)
 
     return write
 
 
-def pipeline_sink(spark: SparkSession, root: str, rules: Rules, query_name: str):
-    """foreachBatch function running the full batch pipeline on each micro-batch."""
+def pipeline_sink(spark: SparkSession, root: str, rules: Rules, query_name: str, scope: str = "table"):
+    """foreachBatch function running the full batch pipeline on each micro-batch.
+
+    The micro-batch is staged in the shared checkpoint folder (several jobs read it).
+    With ``scope="table"`` the tables don't depend on how the stream was cut into
+    micro-batches, and a replayed epoch changes nothing.
+    """
     from ..plans.pipeline import run_batch
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()  # read by several jobs below
-        try:
-            if not batch.isEmpty():
-                run_batch(spark, batch, root, rules, batch_id=f"{query_name}-{epoch_id}")
-        finally:
-            batch.unpersist()
+        staging = tables.staging_path(spark, root)
+        batch.write.parquet(staging)
+        rows = spark.read.schema(batch.schema).parquet(staging)
+        if not rows.isEmpty():
+            run_batch(spark, rows, root, rules, batch_id=f"{query_name}-{epoch_id}", scope=scope)
+        tables.delete_path(spark, staging)
 
     return write
 
 
+class LateRows(StreamingQueryListener):
+    """Counts the rows that stateful operators dropped for arriving behind the watermark.
+
+    Add it to ``spark.streams`` before the queries start: it hears of every trigger
+    (a query itself remembers only its latest ones).
+    """
+
+    def __init__(self) -> None:
+        self.by_query: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.by_query.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        dropped = sum(int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators or [])
+        self.by_query[str(p.id)] = self.by_query.get(str(p.id), 0) + dropped
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.by_query.get(str(query.id), 0)
+
+
 def run_available_now(stream: DataFrame, sink, checkpoint: str, output_mode: str = "update",
                       name: str | None = None) -> StreamingQuery:
     """Process everything available now through a foreachBatch sink, then stop."""
@@ -203,12 +240,3 @@ def run_available_now(stream: DataFrame, sink, checkpoint: str, output_mode: str
     q = writer.foreachBatch(sink).trigger(availableNow=True).start()
     q.awaitTermination()
     return q
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped for arriving behind the watermark, over the recorded progress."""
-    total = 0
-    for p in query.recentProgress:
-        for op in p.stateOperators or []:
-            total += int(getattr(op, "numRowsDroppedByWatermark", 0) or 0)
-    return total

@@ -95,3 +95,16 @@ def test_settlement_summary_pct(spark, rules):
     rows = sorted(out.collect(), key=lambda r: r["settlement_date"])
     assert rows[0]["dod_pct_change"] is None
     assert rows[1]["dod_change"] == Decimal("-50.00") and rows[1]["dod_pct_change"] == Decimal("-25.00")
+
+
+def test_top_reports_come_in_order(spark, rules):
+    recs = [base_record(transaction_id=uid(i), account_id=f"ACC_{1 + i % 40:05d}", merchant_id=f"MER_{1 + i % 40:04d}",
+                        amount=10 + (i * 131) % 700, is_flagged=i % 3 == 0, timestamp=f"2024-06-01T12:{i % 60:02d}:00") for i in range(400)]
+    processed = processed_of(spark, rules, recs)
+    top = reports.top_accounts(processed, anomalies.detect_anomalies(processed, rules))
+    rows = [(-r["total_volume"], r["account_id"]) for r in top.collect()]
+    assert len(rows) == 10 and rows == sorted(rows)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "RightOuter" not in plan and "Sort [" in plan
+    rows = [(r["risk_rank"], r["merchant_id"]) for r in reports.merchant_risk(processed).collect()]
+    assert len(rows) == 20 and rows == sorted(rows)

@@ -63,7 +63,7 @@ def test_entry_contract(spark):
     out = contract.entry(spark)
     assert out.count() > 0
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(QUERIES) == set(contract.queries())
+    assert set(QUERIES) <= set(contract.queries())
 
 
 def test_select_source_precedence(spark, tmp_path):
@@ -112,7 +112,7 @@ def test_pattern_windows_share_one_exchange(spark, rules):
     processed = enrich.processed(validate.valid_landing(df, rules), rules)
     plan = reports.account_patterns(processed, rules)._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in plan.splitlines() if re.search(r"(^|[ +:-])Window\b", line)]
-    # LAG/LEAD/ROW_NUMBER inside (account, bucket) evaluate in one Window operator; the
-    # cross-bucket LAG/LEAD over the per-bucket table is the second one.
-    assert len(windows) == 2
-    assert sum("lag(" in w or "lead(" in w for w in windows) == 2
+    # LAG/LEAD/ROW_NUMBER inside (account, bucket) evaluate in one Window operator, and so
+    # do those of the two folds (buckets of a day, days of an account).
+    assert len(windows) == 3
+    assert sum("lag(" in w or "lead(" in w for w in windows) == 3
