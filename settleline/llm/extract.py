@@ -69,7 +69,7 @@ WORD_GROUPS = {
 GROUP_OF = {w: g for g, words in WORD_GROUPS.items() for w in words.split()}
 TAG_AT = {t: i for i, t in enumerate(TAGS)}
 GROUP_AT = {g: len(TAGS) + i for i, g in enumerate(WORD_GROUPS)}
-N_SHAPE = 10
+N_SHAPE = 11
 SHAPE_AT = len(TAGS) + len(WORD_GROUPS)
 N_FEATURES = SHAPE_AT + N_SHAPE
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol blockquote pre td th tr table dt dd dl figure figcaption details".split())
@@ -225,7 +225,7 @@ def featurize(nodes: list[Node]) -> Page:
         dense = linked[i] / below[i] if below[i] else 0.0
         shape = (1.0, min(1.0, math.log1p(own[i]) / 7), float(own[i] > 120), float(0 < own[i] <= 25),
                  min(1.0, n.links / own[i]) if own[i] else 0.0, dense, below[i] / whole, float(paragraphs[i] >= 1),
-                 float(paragraphs[i] >= 2), float(below[i] == 0))
+                 float(paragraphs[i] >= 2), float(below[i] == 0), float(len(nodes) == 1))
         f += [(SHAPE_AT + k, v) for k, v in enumerate(shape) if v]
         active.append(f)
     return Page(nodes, texts, active)
@@ -312,6 +312,9 @@ LAYOUTS = (
     '<body data-y=1><h1>S</h1>P<p>S</p>',
     '<body data-y=1>T<p>S</p>P',
     '<body data-y=1>T',
+    '<body data-y=1>S',
+    '<body data-y=1><p>S</p>',
+    '<body data-y=1><p>S</p><p>T</p>',
     '<body data-y=0><div class="topbar"><p>S</p></div><div class="page" data-y=1><div class="main"><h1>S</h1><table><tr><td>T</td><td>S</td></tr><tr><td>S</td><td>T</td></tr></table>P</div>'
     '<div class="widget" data-y=0><p>T</p><p>S</p></div></div><div class="legal"><p>T</p></div>',
     '<body data-y=0><header><p>S</p></header><form><p>S</p><p>S</p></form><article data-y=1><header><h1>S</h1></header>P<div class="ad" data-y=0><p>S</p></div>P'

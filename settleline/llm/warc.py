@@ -249,11 +249,12 @@ def merged_index(captures: DataFrame, per_range: int = CAPTURES_PER_RANGE) -> Da
     return dealt.select(*names).mapInArrow(run, CAPTURE_DDL + ", range_no int, row_no long")
 
 
-def archive_round_trip(pages: DataFrame, path: str | None = None, fetch_time: Column | None = None) -> DataFrame:
+def archive_round_trip(pages: DataFrame, path: str | None = None, fetch_time: Column | None = None,
+                       records_per_file: int = RECORDS_PER_FILE) -> DataFrame:
     """Write the archives, read them back and index them: a row per page, in the order of the index."""
     spark = pages.sparkSession
     path = path or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
-    write_warc(pages, path, fetch_time)
+    write_warc(pages, path, fetch_time, records_per_file=records_per_file)
     index = merged_index(read_records(spark, path))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
                         "url_key", "fetch_time", "archive", "record_offset", "range_no", "row_no")

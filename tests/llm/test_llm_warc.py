@@ -49,12 +49,11 @@ def test_global_order_over_many_runs(spark):
     rng = random.Random(3)
     rows = [(i, f"http://{'www.' if i % 2 else ''}h{rng.randint(0, 4)}.example.com/{rng.randint(0, 3)}", f"<p>{i}") for i in range(400)]
     rows += [(1000 + i, "http://hot.example.com/", "x" * 200) for i in range(300)]
-    df = pages(spark, *rows).repartition(9)
-    _, got = round_trip(df)
+    _, got = round_trip(pages(spark, *rows), records_per_file=80)
     got.sort(key=lambda r: (r.range_no, r.row_no))
     keys = [(r.url_key, r.fetch_time, r.page_id) for r in got]
     assert keys == sorted(keys) and len(keys) == 700
-    assert len({r.archive for r in got}) == 9
+    assert len({r.archive for r in got}) >= 9
     hot = [r for r in got if r.url_key == "com,example,hot)/"]
     assert [r.record_type for r in hot].count("response") == 1 and len(hot) == 300
     assert len({r.range_no for r in hot}) > 1  # one URL's captures may span ranges
