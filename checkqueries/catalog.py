@@ -13,16 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import Rules
-from ..operators import anomalies, enrich, reports, settle, validate
-from ..schema import ALERT_COLUMNS, LANDING_FIELDS
-from ..sinks import tables
-from ..sources import landing
-from ..sources.fixture import FIXTURE_AS_OF, read_landing_fixture
-from ..streaming import account_state
-from ..streaming import fixture_streams as fs
-from ..streaming import stream as st
-from .pipeline import run_batch, run_reports, table_paths
+from settleline.config import Rules
+from settleline.operators import anomalies, enrich, reports, settle, validate
+from settleline.plans.pipeline import run_batch, run_reports, table_paths
+from settleline.schema import ALERT_COLUMNS, LANDING_FIELDS
+from settleline.sinks import tables
+from settleline.sources import landing
+from settleline.streaming import account_state
+from settleline.streaming import stream as st
+
+from . import fixture_streams as fs
+from .fixture import FIXTURE_AS_OF, read_landing_fixture
 
 FIXTURE_RULES = Rules(as_of=FIXTURE_AS_OF)
 LANDING_COLS = (*LANDING_FIELDS, "is_flagged")

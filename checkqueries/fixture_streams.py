@@ -11,12 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Rules
-from ..session import checkpoint_dir, configured_checkpoint_dir, ensure_checkpoint_dir
-from ..sinks import tables
-from ..sources.fixture import LANDING_VIEW_SQL
-from . import stream as st
+from settleline.config import Rules
+from settleline.session import checkpoint_dir, configured_checkpoint_dir, ensure_checkpoint_dir
+from settleline.sinks import tables
+from settleline.streaming import stream as st
 
+from .fixture import LANDING_VIEW_SQL
 
 #: Files, and so micro-batches, that the events are streamed as.
 PARTS = 3

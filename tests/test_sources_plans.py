@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import base_record, uid
 from settleline.operators import anomalies, enrich, reports, validate
-from settleline.plans.catalog import QUERIES
+from checkqueries.catalog import QUERIES
 from settleline.sources import landing as src
 
 
