@@ -9,8 +9,8 @@ content is at least one half is the main text.
 
 Weights are learnt by conditional likelihood (the gradient is observed minus
 expected features, and the expectations come from the same sum-product) from
-labelled pages: layouts in ``LAYOUTS`` whose elements are marked, filled with
-text of random lengths.  Texts themselves are no features, so the model is
+labelled pages: layouts in ``LAYOUTS``, and ones put together from parts, whose
+elements are marked, filled with text of random lengths.  Texts themselves are no features, so the model is
 the same for every language and corpus.
 
 Blocks: inline elements and ``br`` belong to the block around them.  White space
@@ -329,9 +329,44 @@ LAYOUTS = (
     '<div class="consent"><div><p>T</p></div></div><footer><div><ul>M</ul></div><div>T</div></footer>',
 )
 
-
-def labelled_pages(seed: int = 11, copies: int = 5) -> list[Page]:
-    """Pages of every layout, with texts of random lengths."""
+# Parts that pages are put together from: what is not content, what is, and what is around the content.
+AROUND = (
+    '<nav><ul>M</ul></nav>', '<div class="menu">M</div>', '<ul class="breadcrumbs">M</ul>', '<header><div class="logo">S</div><p>S</p></header>',
+    '<div id="header">S</div>', '<div class="masthead"><p>S</p></div>', '<footer><p>T</p><p>S</p></footer>', '<div class="footer"><p>T</p></div>',
+    '<div class="copyright">S</div>', '<aside><h3>S</h3><p>T</p></aside>', '<div class="sidebar"><h4>S</h4><p>T</p><ul>M</ul></div>',
+    '<div class="related"><h3>S</h3><ul>M</ul></div>', '<div class="cookie-banner"><p>T</p></div>', '<div class="notice"><p>S</p></div>',
+    '<div class="alert">T</div>', '<div class="ad">S</div>', '<div class="advert"><p>T</p></div>', '<div class="sponsored">T</div>',
+    '<form><p>S</p></form>', '<form>S</form>', '<div class="newsletter"><p>S</p><form>S</form></div>',
+    '<div id="comments"><h3>S</h3><div class="comment"><p>T</p></div><div class="comment"><p>S</p></div></div>',
+    '<section class="comments"><h3>S</h3><article class="comment"><p>T</p></article></section>', '<ol class="comment-list"><li>T</li><li>S</li></ol>')
+INSIDE = ('P', 'P', 'P', '<p>S</p>', '<h2>S</h2>', '<h3>S</h3>', '<ul><li>T</li><li>S</li></ul>', '<ol><li>S</li><li>S</li></ol>',
+          '<blockquote><p>T</p></blockquote>', '<blockquote>S</blockquote>', '<table><tr><td>S</td><td>T</td></tr></table>', '<pre>T</pre>',
+          '<figure><figcaption>S</figcaption></figure>', '<div><p>T</p></div>', '<div>T</div>', '<section><h2>S</h2>P</section>')
+HOLDERS = ('<article data-y=1>{}</article>', '<main data-y=1>{}</main>', '<main data-y=1><article>{}</article></main>', '<div id="content" data-y=1>{}</div>',
+           '<div class="post" data-y=1><div class="entry-content">{}</div></div>', '<div data-y=1>{}</div>', '<section class="story" data-y=1>{}</section>',
+           '<div class="wrapper" data-y=1><article class="post">{}</article></div>', '<div role="main" data-y=1>{}</div>')
+
+
+def composed_layout(rng: random.Random) -> str:
+    """A body of random parts: some before the content, some after it, and at times some within."""
+    inside = ["<h1>S</h1>"] if rng.random() < 0.9 else ["P"]
+    within = rng.choice((0.0, 0.0, 0.2))
+    for _ in range(rng.randint(1, 8)):
+        inside.append(rng.choice(INSIDE))
+        if rng.random() < within:
+            inside.append(marked_out(rng.choice(AROUND)))
+    before = "".join(rng.choice(AROUND) for _ in range(rng.randint(0, 4)))
+    after = "".join(rng.choice(AROUND) for _ in range(rng.randint(0, 4)))
+    return f"<body data-y=0>{before}{rng.choice(HOLDERS).format(''.join(inside))}{after}"
+
+
+def marked_out(part: str) -> str:
+    """The part with the mark of what is not content on its outermost element."""
+    return re.sub(r"^<(\w+)", r"<\1 data-y=0", part)
+
+
+def labelled_pages(seed: int = 11, copies: int = 4, composed: int = 160) -> list[Page]:
+    """Pages of every layout and of random parts, with texts of random lengths."""
     rng = random.Random(seed)
 
     def words(lo: int, hi: int) -> str:
@@ -347,13 +382,12 @@ def labelled_pages(seed: int = 11, copies: int = 5) -> list[Page]:
         return "".join(made[p]() if p in made else p for p in parts)
 
     pages = []
-    for layout in LAYOUTS:
-        for _ in range(copies):
-            nodes = parse(fill(layout))
-            for n in nodes:
-                if n.label is None:
-                    n.label = nodes[n.parent].label
-            pages.append(featurize(nodes))
+    for layout in [x for x in LAYOUTS for _ in range(copies)] + [composed_layout(rng) for _ in range(composed)]:
+        nodes = parse(fill(layout))
+        for n in nodes:
+            if n.label is None:
+                n.label = nodes[n.parent].label
+        pages.append(featurize(nodes))
     return pages
 
 
