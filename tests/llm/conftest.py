@@ -1,5 +1,5 @@
 import pytest
-from llm_helpers import SF
+from .llm_helpers import SF
 from pyspark.sql import types as T
 
 DOCS = T.StructType([

@@ -1,7 +1,7 @@
 import random
 from collections import Counter
 
-from llm_helpers import clash
+from .llm_helpers import clash
 
 from settleline.llm import decontam as D
 

@@ -1,7 +1,7 @@
 import html
 import re
 
-from llm_helpers import SF
+from .llm_helpers import SF
 
 from settleline.llm import extract as X
 

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from llm_helpers import clash
+from .llm_helpers import clash
 
 from settleline.llm import langid as L
 

@@ -1,7 +1,7 @@
 import zlib
 
 import numpy as np
-from llm_helpers import clash
+from .llm_helpers import clash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -2,7 +2,7 @@ import sys
 from pathlib import Path
 
 import pytest
-from llm_helpers import SF
+from .llm_helpers import SF
 
 sys.path.insert(0, str(Path(__file__).parents[2]))
 

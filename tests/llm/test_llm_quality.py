@@ -1,7 +1,7 @@
 import re
 from collections import Counter
 
-from llm_helpers import SF, clash
+from .llm_helpers import SF, clash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

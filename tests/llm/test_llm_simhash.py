@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import xxhash
-from llm_helpers import clash
+from .llm_helpers import clash
 
 from settleline.llm import simhash as S
 

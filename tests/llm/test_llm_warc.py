@@ -3,7 +3,7 @@ import hashlib
 import heapq
 import random
 
-from llm_helpers import SF
+from .llm_helpers import SF
 
 from settleline.llm import warc as W
 
