@@ -1,4 +1,6 @@
 import json
+import os
+import time
 
 from conftest import base_record, uid
 from settleline.operators import anomalies, enrich, settle, validate
@@ -91,11 +93,10 @@ def test_late_rows_are_counted_over_all_triggers(spark, rules, tmp_path):
     src = tmp_path / "late_in"
     src.mkdir()
     stamps = [f"2024-06-{d:02d}T10:00:00" for d in range(1, 29)]
-    n = 120  # more triggers than a query keeps in its progress
+    n = 106  # more triggers than a query keeps in its progress
     for k in range(n):
         ts = "2024-06-28T10:00:00" if k == 0 else stamps[k % 5]  # all but the first are behind the watermark
         (src / f"p{k:03d}.json").write_text(json.dumps(base_record(transaction_id=uid(k), timestamp=ts)) + "\n")
-        import os
         os.utime(src / f"p{k:03d}.json", (1_700_000_000 + k, 1_700_000_000 + k))
     late = st.LateRows()
     spark.streams.addListener(late)
@@ -104,7 +105,6 @@ def test_late_rows_are_counted_over_all_triggers(spark, rules, tmp_path):
         totals = stream.groupBy("event_time").count()
         q = st.run_available_now(totals, lambda b, e: b.collect(), str(tmp_path / "late_ck"), "update")
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-        import time
         for _ in range(50):
             if late.of(q) == n - 2:
                 break
@@ -115,7 +115,6 @@ def test_late_rows_are_counted_over_all_triggers(spark, rules, tmp_path):
 
 
 def test_stream_with_default_rules_accepts_new_events(spark, tmp_path):
-    import time
     from datetime import datetime, timezone
 
     from settleline import Rules
