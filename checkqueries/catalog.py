@@ -248,6 +248,12 @@ def q_stream_account_alerts(spark, sf_dir):
     return account_state.alerts_from_seconds(table, FIXTURE_RULES)
 
 
+def q_stream_rapid_sessions(spark, sf_dir):
+    """RAPID_SUCCESSION alerts from session windows in append mode."""
+    sessions = fs.drain_append(spark, sf_dir, "sessions", lambda rows: st.rapid_sessions(_enriched()(rows), FIXTURE_RULES), flush=True)
+    return st.rapid_alerts_from_sessions(sessions, FIXTURE_RULES)
+
+
 def q_stream_pipeline(spark, sf_dir):
     """Settlements after the landing records came as a stream of several files."""
     return spark.read.parquet(table_paths(fs.drain_pipeline(spark, sf_dir, "pipeline", FIXTURE_RULES))["daily_settlements"])
@@ -309,6 +315,7 @@ _QUERY_FUNCTIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_settlements": q_stream_settlements,
     "stream_daily_amount": q_stream_daily_amount,
     "stream_account_alerts": q_stream_account_alerts,
+    "stream_rapid_sessions": q_stream_rapid_sessions,
     "stream_pipeline": q_stream_pipeline,
 }
 

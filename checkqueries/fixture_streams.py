@@ -29,8 +29,12 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/settleline-streams/{name}-{uuid.uuid4().hex}"
 
 
-def events_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
-    """All events as a stream of PARTS files in the order of time, a file per micro-batch."""
+def events_stream(spark: SparkSession, sf_dir: str, base: str, flush: bool = False) -> DataFrame:
+    """All events as a stream of PARTS files in the order of time, a file per micro-batch.
+
+    ``flush`` adds a last file with one event two days later: it moves the watermark
+    past all others, so append mode hands out their windows (but not its own).
+    """
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
     lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
     for k in range(PARTS):  # written one after the other: the file source goes by age
@@ -41,11 +45,15 @@ def events_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
             until = (F.col("ts") < edge(k + 1)) if k < PARTS - 1 else F.lit(True)
             part = events.where(first | ((F.col("ts") >= edge(k)) & until))
         part.coalesce(1).write.parquet(f"{base}/in/part{k}")
+    if flush and lo is not None:
+        last = events.where(F.col("ts") == F.lit(hi)).orderBy("event_id").limit(1)
+        last.select(F.lit(1_000_000_001).cast("long").alias("event_id"), (F.col("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts"),
+                    "user_id", "event_type", F.lit(1.0).alias("value")).write.parquet(f"{base}/in/part{PARTS}")
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
 
 
-def landing_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
-    return spark.sql(LANDING_VIEW_SQL, events=events_stream(spark, sf_dir, base))
+def landing_stream(spark: SparkSession, sf_dir: str, base: str, flush: bool = False) -> DataFrame:
+    return spark.sql(LANDING_VIEW_SQL, events=events_stream(spark, sf_dir, base, flush))
 
 
 def read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
@@ -64,10 +72,11 @@ def drain_upsert(spark: SparkSession, sf_dir: str, name: str, of: Callable[[Data
     return read_or_empty(spark, f"{base}/table", stream)
 
 
-def drain_append(spark: SparkSession, sf_dir: str, name: str, of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def drain_append(spark: SparkSession, sf_dir: str, name: str, of: Callable[[DataFrame], DataFrame],
+                 flush: bool = False) -> DataFrame:
     """Run ``of(landing stream)`` to completion, one overwrite-per-epoch folder (replay-safe)."""
     base = run_dir(spark, name)
-    stream = of(landing_stream(spark, sf_dir, base))
+    stream = of(landing_stream(spark, sf_dir, base, flush))
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/table/epoch={epoch_id}")

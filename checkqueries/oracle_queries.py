@@ -39,6 +39,7 @@ _ORACLE_SQL: dict[str, str] = {
     "stream_dedupe": o.dedupe_first_sql(),
     "stream_quarantine": o.quarantine_sql(),
     "stream_pipeline": o.daily_settlements_sql(),
+    "stream_rapid_sessions": o.alerts_sql("RAPID_SUCCESSION"),
     "stream_settlements": o.daily_settlements_sql(),
     "stream_daily_amount": o.alerts_sql("HIGH_DAILY_AMOUNT"),
     "stream_account_alerts": o.alerts_sql(),
@@ -65,6 +66,7 @@ DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
     "stream_settlements": ("total_amount", "avg_amount", "running_total", "day_over_day_change"),
     "stream_daily_amount": ("total_amount",),
     "stream_account_alerts": ("total_amount",),
+    "stream_rapid_sessions": ("total_amount",),
     "stream_pipeline": ("total_amount", "avg_amount", "running_total", "day_over_day_change"),
     "pipeline_two_batches": ("total_amount", "avg_amount", "running_total", "day_over_day_change"),
     "pipeline_two_batches_alerts": ("total_amount",),
