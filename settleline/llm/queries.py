@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, extract, langid, linededup, packing, quality, simhash, substring, urlfilter, warc
+from . import centroids, decontam, extract, langid, linededup, packing, quality, ranked, simhash, substring, urlfilter, warc
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,9 +92,17 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters_with_inertia(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_language_id, op2_substring_dedup, op3_best_fit_packing, op4_url_filter, op5_line_dedup, op6_decontamination,
-    op7_quality_rules, op8_simhash, op9_warc, op10_html_extraction)}
+    op7_quality_rules, op8_simhash, op9_warc, op10_html_extraction, op11_ranked_search, op12_centroids)}
 
 #: The same filter by comparing every capture with every interval.
 OP4_SQL = r"""
@@ -146,4 +154,62 @@ SELECT page_id, n::BIGINT AS payload_bytes, p.digest AS payload_digest,
 FROM p LEFT JOIN firsts USING (digest)
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_url_filter": OP4_SQL, "op9_warc": OP9_SQL}
+#: The scores from a row for each (item, document, shared term).
+OP11_SQL = r"""
+WITH doc_terms AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+item_terms AS (
+  SELECT i, item_id, unnest(list_distinct(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+  FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark)),
+lengths AS (SELECT r, doc_id, len(terms)::BIGINT AS n FROM doc_terms WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+tfs AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM doc_terms) GROUP BY r, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term) CROSS JOIN totals),
+parts AS (
+  SELECT i, item_id, l.doc_id, r, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))) AS part
+  FROM item_terms JOIN weights USING (term) JOIN tfs USING (term) JOIN lengths l USING (r) CROSS JOIN totals),
+scores AS (SELECT i, item_id, doc_id, r, sum(part)::BIGINT AS score FROM parts GROUP BY i, item_id, doc_id, r),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS n, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT item_id, n::INTEGER AS rank, doc_id, score FROM ranked WHERE n <= 10
+"""
+
+_OP12_ROUND = r"""
+near{k} AS (
+  SELECT v, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT p.v, q.c, sum((p.x - q.x) * (p.x - q.x))::BIGINT AS d FROM parts p JOIN centre{k} q USING (pos) GROUP BY p.v, q.c)
+  GROUP BY v)"""
+
+_OP12_MOVE = r"""
+moved{k} AS (
+  SELECT c, pos, ((s - ((s % n) + n) % n) // n)::BIGINT AS x
+  FROM (SELECT c, pos, sum(x) AS s, count(*) AS n FROM parts JOIN near{k} USING (v) GROUP BY c, pos)),
+centre{next} AS (SELECT c, pos, coalesce(m.x, o.x) AS x FROM centre{k} o LEFT JOIN moved{k} m USING (c, pos))"""
+
+#: All distances, in three rounds and once more.
+OP12_SQL = r"""
+WITH kept AS (
+  SELECT row_number() OVER () AS v, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS xs
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT v, unnest(xs) AS x, unnest(range(64)) AS pos FROM kept),
+seeds AS (
+  SELECT v, row_number() OVER (ORDER BY sha256('1:' || vec_id), xs) - 1 AS c
+  FROM kept WHERE vec_id IS NOT NULL QUALIFY c < 16),
+centre0 AS (SELECT c, pos, x FROM parts JOIN seeds USING (v)),""" + ",".join(
+    _OP12_ROUND.format(k=k) + ("," + _OP12_MOVE.format(k=k, next=k + 1) if k < 3 else "") for k in range(4)) + r""",
+inertias AS (SELECT c, sum(d)::BIGINT AS own, sum(sum(d)) OVER ()::BIGINT AS total FROM near3 GROUP BY c),
+hashes AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY pos)) AS h FROM centre3 GROUP BY c)
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, own AS cluster_inertia, total AS inertia, h AS centroid_sha256
+FROM near3 JOIN kept USING (v) JOIN inertias USING (c) JOIN hashes USING (c)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_url_filter": OP4_SQL, "op9_warc": OP9_SQL, "op11_ranked_search": OP11_SQL, "op12_centroids": OP12_SQL}
