@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, decontam, extract, langid, linededup, packing, quality, ranked, simhash, substring, urlfilter, warc
+from . import centroids, decontam, extract, langid, linededup, packing, pii, quality, ranked, simhash, substring, urlfilter, warc
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,9 +100,13 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters_with_inertia(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_spans(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_language_id, op2_substring_dedup, op3_best_fit_packing, op4_url_filter, op5_line_dedup, op6_decontamination,
-    op7_quality_rules, op8_simhash, op9_warc, op10_html_extraction, op11_ranked_search, op12_centroids)}
+    op7_quality_rules, op8_simhash, op9_warc, op10_html_extraction, op11_ranked_search, op12_centroids, op13_pii)}
 
 #: The same filter by comparing every capture with every interval.
 OP4_SQL = r"""
@@ -132,7 +136,7 @@ met AS (
   FROM caps c JOIN spans s ON s.event = 'add' AND s.f <= c.ft AND (s.t IS NULL OR c.ft < s.t) AND CASE kind
     WHEN 'host' THEN c.host = key
     WHEN 'domain' THEN c.host = key OR ends_with(c.host, '.' || key)
-    ELSE starts_with(c.host || c.path, key) END)
+    ELSE c.host || c.path = key OR (ends_with(key, '/') AND starts_with(c.host || c.path, key)) END)
 SELECT c.page_id, c.url, strftime(c.ft, '%Y-%m-%d %H:%M:%S') AS fetch_time, coalesce(m.action <> 'block', true) AS kept,
        m.list_name, m.kind, m.key, strftime(m.f, '%Y-%m-%d %H:%M:%S') AS valid_from, strftime(m.t, '%Y-%m-%d %H:%M:%S') AS valid_to
 FROM caps c LEFT JOIN met m ON m.n = 1 AND m.page_id = c.page_id AND m.url = c.url
