@@ -1,6 +1,9 @@
+import random
 import re
 from collections import Counter
 
+import pytest
+
 from .llm_helpers import SF, clash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -40,16 +43,69 @@ def test_whole_table_and_base_rules(spark):
 
 
 def test_measures():
-    path = Q.vocabulary_path()
-    sp, is_byte = Q.processor(path)
+    paths = Q.vocabulary_paths()
+    sp, is_byte, bpe = Q.processors(paths)
     text = "the cat and the dog and the bird"
     ids = sp.encode(text)
-    chars, share, entropy = Q.fertility(text, path)
-    assert chars == len(text) / len(ids) and share == 0 and 0 < entropy <= 1
-    assert Q.fertility("\U0001F9FF\U0001F9EC", path)[1] > 0.5
-    assert Q.fertility(None, path) == Q.fertility("", path) == (0.0, 0.0, 0.0)
+    chars, share, entropy, bpe_chars = Q.fertility(text, paths)
+    assert chars == len(text) / len(ids) and share == 0 and 0 < entropy <= 1 and bpe_chars == len(text) / len(bpe.encode_ordinary(text))
+    assert Q.fertility("\U0001F9FF\U0001F9EC", paths)[1] > 0.5
+    assert Q.fertility(None, paths) == Q.fertility("", paths) == (0.0, 0.0, 0.0, 0.0)
     long = " ".join(["the cat sat on the mat"] * 60_000)
-    assert abs(Q.fertility(long, path)[0] - len(long) / len(sp.encode(long))) < 0.01
+    assert abs(Q.fertility(long, paths)[0] - len(long) / len(sp.encode(long))) < 0.01
+
+
+def quartile(values, q):
+    """The least value that a share q of all values doesn't exceed."""
+    values = sorted(values)
+    return values[max(0, -(-int(q * 100) * len(values) // 100) - 1)]
+
+
+def verdicts(rows):
+    """``kept`` worked out from the measures alone: bands of languages drawn toward their main script."""
+    passing = [r for r in rows if not r["base_failed"]]
+
+    def quartiles(of):
+        return {m: [quartile([r[m] for r in of], q) for q in (0.25, 0.75)] for m in Q.MEASURES}
+
+    scripts = {s: quartiles([r for r in passing if r["script"] == s]) for s in {r["script"] for r in passing}}
+    limits = {(None, s): q for s, q in scripts.items()}
+    for lang in {r["lang"] for r in passing if r["lang"] is not None}:
+        own = [r for r in passing if r["lang"] == lang]
+        main = max(Counter(r["script"] for r in own).items(), key=lambda x: (x[1], x[0]))[0]
+        w, q = len(own) / (len(own) + Q.SUPPORT), quartiles(own)
+        limits[lang, None] = {m: [w * a + (1 - w) * b for a, b in zip(q[m], scripts[main][m])] for m in Q.MEASURES}
+    out = []
+    for r in rows:
+        q = limits.get((r["lang"], None) if r["lang"] is not None else (None, r["script"]))
+        kept = q is not None and not r["base_failed"]
+        for m in Q.MEASURES if kept else ():
+            room = max((q[m][1] - q[m][0]) * Q.WIDTH, Q.LEAST_WIDTH[m])
+            kept &= q[m][0] - room <= r[m] <= q[m][1] + room
+        out.append((r["doc_id"], kept))
+    return sorted(out, key=str)
+
+
+def test_kept_equals_bands_by_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [r.asDict() for r in Q.measured(docs).withColumn("base_failed", Q.base_failed()).collect()]
+    got = sorted(((r.doc_id, r.kept) for r in Q.quality_verdicts(docs).collect()), key=str)
+    assert got == verdicts(rows) and 0 < sum(k for _, k in got) < len(got)
+
+
+@pytest.mark.parametrize("labelled", [True, False])
+def test_a_small_language_beside_a_large_one(spark, make_docs, sf_docs, labelled):
+    """Clean texts of a script that the vocabulary lacks stay, however few they are."""
+    rng = random.Random(7)
+    words = [w for r in sf_docs.where("lang = 'en'").limit(40).collect() for w in (r.text or "").split()]
+    letters = [chr(c) for c in range(0x10D0, 0x10F1)]
+    georgian = ["".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(3000)]
+    latin = [(i, " ".join(rng.choices(words, k=rng.randint(80, 300))), "en") for i in range(300)]
+    small = [(5000 + i, " ".join(rng.choices(georgian, k=rng.randint(80, 300))), "ka" if labelled else None) for i in range(250)]
+    for n in (1, 5, 99, 100, 250):
+        got = {r.doc_id: r.kept for r in Q.quality_verdicts(make_docs(*latin, *small[:n])).collect()}
+        assert sum(not got[5000 + i] for i in range(n)) <= n // 50, n
+        assert sum(not got[i] for i in range(300)) <= 3
 
 
 def test_script():
@@ -58,7 +114,6 @@ def test_script():
 
 def test_outliers_go_and_the_rest_stays(spark, make_docs, sf_docs):
     import base64
-    import random
     rng = random.Random(2)
     words = [w for r in sf_docs.where("lang = 'en'").limit(40).collect() for w in (r.text or "").split()]
     rows = [(i, " ".join(rng.choices(words, k=rng.randint(80, 400))), "en") for i in range(300)]
