@@ -30,6 +30,7 @@ gives an empty result.  Only doc_id and text are read.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -72,16 +73,16 @@ def encoders(json_path: str, ranks_path: str):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     slow = Tokenizer.from_file(json_path)
-    slow.encode_special_tokens = True
-    return fast, slow
+    added = re.compile("|".join(re.escape(t.content) for t in slow.get_added_tokens_decoder().values()) or r"(?!)")
+    return fast, slow, added
 
 
 def token_ids(text: str | None, paths: tuple[str, str]) -> np.ndarray:
     """Ids of the text as unsigned 32-bit integers, the end id last."""
-    fast, slow = encoders(*paths)
+    fast, slow, added = encoders(*paths)
     text = text or ""
-    try:
-        ids = fast.encode_ordinary(text)
+    try:  # added tokens that stand in the text are for ``tokenizers`` alone to find
+        ids = slow.encode(text, add_special_tokens=False).ids if added.search(text) else fast.encode_ordinary(text)
     except BaseException as e:  # a Rust panic isn't an Exception
         if isinstance(e, (KeyboardInterrupt, SystemExit, GeneratorExit)):
             raise

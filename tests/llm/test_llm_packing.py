@@ -5,6 +5,8 @@ from .llm_helpers import clash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tokenizers import Tokenizer
+
 from settleline.llm import packing as P
 
 
@@ -39,13 +41,14 @@ def test_cuts(n):
     assert (len(parts) == 1) == (n <= 1024)
 
 
-ODD = ["", " ", "a", "\n\n\t  x", "<|endoftext|> inside", "don't you'll I'M", "naïve Ünïcödé 漢字 かな 한국어 🙂🙃", "x" * 5000, " " * 3000 + "y",
+ODD = ["a <|endoftext|> b", "<|endoftext|>" * 3 + "x" * 3000, "<|endoftext", "", " ", "a", "\n\n\t  x", "<|endoftext|> inside", "don't you'll I'M", "naïve Ünïcödé 漢字 かな 한국어 🙂🙃", "x" * 5000, " " * 3000 + "y",
        "1234567890 ½ ² Ⅻ", "​﻿ z", "a\x00b\x1f", "ﬀ ǅ ß", "\r\n\r\n", "🏳️‍🌈" * 50]
 
 
 def test_ids_are_those_of_tokenizers(spark, sf_docs):
     paths = P.vocabulary_paths()
-    _, slow = P.encoders(*paths)
+    slow = Tokenizer.from_file(paths[0])  # as it comes: added tokens in a text are found
+    assert len(P.token_ids("a <|endoftext|> b", paths)) == 5 and 50256 in P.token_ids("a <|endoftext|> b", paths)
     texts = [r.text or "" for r in sf_docs.select("text").collect()] + ODD
     for t in texts:
         assert P.token_ids(t, paths)[:-1].tolist() == slow.encode(t, add_special_tokens=False).ids
