@@ -7,9 +7,11 @@ fetched: an equi-join on the entry's key, then the interval condition.  The
 intervals of one entry don't overlap, so a capture meets each entry at most once.
 
 Entries are ``domain`` (a host and all hosts below it), ``host`` (that host
-alone) or ``prefix`` (host and start of the path).  A capture has a key for each
-domain above its host and each directory of its path, at most ``MAX_LABELS`` and
-``MAX_DIRS`` of them, so the join grows with the captures.  Of the entries that
+alone) or ``prefix`` (host and path: with a final slash a directory and all below
+it, without one that page alone).  A capture has a key for each domain above its
+host and each directory of its path, at the depths that the lists' entries have
+(the driver sees these few numbers), so the join grows with the captures and no
+entry is too deep.  Of the entries that
 meet a capture the most specific decides: prefix before host before domain, the
 longer key first, ``allow`` before ``block``, then list name.  Without one the
 capture is kept.
@@ -31,10 +33,6 @@ from pyspark.sql import functions as F
 
 from .common import require_columns
 
-#: Depths beyond these belong to no entry: DNS allows 127 labels, and lists name no deeper directory.
-MAX_LABELS = 127
-MAX_DIRS = 64
-
 RANK = {"prefix": 3, "host": 2, "domain": 1}
 
 
@@ -64,17 +62,31 @@ def validity_intervals(events: DataFrame) -> DataFrame:
         "event = 'add'").drop("event")
 
 
-def capture_keys(captures: DataFrame) -> DataFrame:
-    """A row for each key under which an entry could name a capture's URL."""
+def entry_depths(events: DataFrame) -> tuple[list[int], list[int]]:
+    """Numbers of labels of the domain entries, and of directories of the prefix entries with a final slash."""
+    depth = F.when(F.col("kind") == "domain", F.size(F.split("key", r"\."))).when(
+        (F.col("kind") == "prefix") & F.endswith("key", F.lit("/")), F.size(F.split("key", "/")) - 1)
+    rows = events.select("kind", depth.alias("depth")).where("depth IS NOT NULL").distinct().collect()  # as many as depths
+    return (sorted(r["depth"] for r in rows if r["kind"] == "domain"), sorted(r["depth"] for r in rows if r["kind"] == "prefix"))
+
+
+def _numbers(depths: list[int]) -> Column:
+    return F.array(*map(F.lit, depths)) if depths else F.array().cast("array<int>")
+
+
+def capture_keys(captures: DataFrame, label_depths: list[int], dir_depths: list[int]) -> DataFrame:
+    """A row for each key under which an entry of these depths could name a capture's URL."""
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     named = captures.select("url", "fetch_time", host.alias("host"), path.alias("path")).where("host <> ''").distinct()
     labels, dirs = F.split("host", r"\."), F.split("path", "/")
-    domains = F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(MAX_LABELS))), lambda n: F.struct(
+    domains = F.transform(F.filter(_numbers(label_depths), lambda n: n <= F.size(labels)), lambda n: F.struct(
         F.lit("domain").alias("kind"), F.array_join(F.slice(labels, F.size(labels) - n + 1, n), ".").alias("key")))
     hosts = F.array(F.struct(F.lit("host").alias("kind"), F.col("host").alias("key")))
-    prefixes = F.transform(F.sequence(F.lit(1), F.least(F.size(dirs), F.lit(MAX_DIRS))), lambda n: F.struct(
-        F.lit("prefix").alias("kind"), F.concat(F.col("host"), F.array_join(F.slice(dirs, 1, n), "/"),
-                                                F.when(n < F.size(dirs), "/").otherwise("")).alias("key")))
+    # the n-th directory of a path of k parts ends with a slash for n < k; the page itself is the whole path
+    within = F.transform(F.filter(_numbers(dir_depths), lambda n: n < F.size(dirs)), lambda n: F.struct(
+        F.lit("prefix").alias("kind"), F.concat(F.col("host"), F.array_join(F.slice(dirs, 1, n), "/"), F.lit("/")).alias("key")))
+    page = F.array(F.struct(F.lit("prefix").alias("kind"), F.concat("host", "path").alias("key")))
+    prefixes = F.array_distinct(F.concat(within, page))
     keys = F.concat(domains, hosts, F.when(F.col("path") == "", F.expr("filter(array(named_struct('kind', '', 'key', '')), x -> false)")).otherwise(prefixes))
     return named.select("url", "fetch_time", F.explode(keys).alias("k")).select("url", "fetch_time", "k.kind", "k.key")
 
@@ -85,7 +97,7 @@ def filter_captures(captures: DataFrame, events: DataFrame) -> DataFrame:
     require_columns(captures, ["page_id", "url", "fetch_time"])
     rows = captures.select("page_id", "url", "fetch_time")
     intervals = validity_intervals(events)
-    met = capture_keys(rows).join(intervals, ["kind", "key"]).where(
+    met = capture_keys(rows, *entry_depths(events)).join(intervals, ["kind", "key"]).where(
         (F.col("valid_from") <= F.col("fetch_time")) & (F.col("valid_to").isNull() | (F.col("fetch_time") < F.col("valid_to"))))
     rank = F.when(F.col("kind") == "prefix", RANK["prefix"]).when(F.col("kind") == "host", RANK["host"]).otherwise(RANK["domain"])
     # the least struct is the entry that decides

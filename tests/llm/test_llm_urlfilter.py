@@ -89,3 +89,15 @@ def test_odd_rows(spark):
 def test_native_plan(spark):
     plan = U.filter_captures(*frames(spark, [(1, "http://a.com", 1)], [("l", "block", "host", "a.com", "add", 1)]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_entries_of_any_depth(spark):
+    deep = "http://a.com/" + "d/" * 300
+    events = [("l", "block", "prefix", "a.com/" + "d/" * 70, "add", 1), ("l", "allow", "prefix", "a.com/" + "d/" * 299, "add", 5),
+              ("m", "block", "prefix", "b.com/page", "add", 1), ("m", "block", "domain", ".".join("x" * 140) + ".org", "add", 1)]
+    host = ".".join("x" * 141) + ".org"
+    captures = [(1, deep, 2), (2, deep, 6), (3, "http://a.com/" + "d/" * 69, 2), (4, "http://b.com/page", 2), (5, "http://b.com/pages", 2),
+                (6, "http://b.com/page/1", 2), (7, f"http://{host}/", 2)]
+    got = run(spark, captures, events)
+    assert got == brute(captures, events)
+    assert [r[1] for r in got] == [False, True, True, False, True, True, False]
