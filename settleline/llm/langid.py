@@ -11,8 +11,9 @@ For prediction the embedding is multiplied into the filters once: a filter's
 answer is then a sum of one table row per offset, looked up by byte.
 
 Training reads a bounded sample: about ``per_lang`` texts of each label that
-``usable`` admits, drawn by a hash of the id, and ``windows_per_text`` windows
-of each, spread over the whole text.  Labels, ids and sources are no inputs of
+``usable`` admits (fewer where the labels are so many that ``SAMPLE`` texts are
+reached, but one at least), drawn by a hash of the id, and ``windows_per_text``
+windows of each, spread over the whole text.  Every label is learnt.  Labels, ids and sources are no inputs of
 a prediction.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0;
@@ -41,7 +42,7 @@ EMBED = 8
 #: Bounds of the training sample.
 PER_LANG = 500
 WINDOWS_PER_TEXT = 6
-MAX_LANGS = 64
+SAMPLE = 32_000
 STEPS = 700
 BATCH = 64
 UNKNOWN = "und"
@@ -171,17 +172,17 @@ def held_out() -> Column:
 
 def training_sample(docs: DataFrame, usable: Column, per_lang: int = PER_LANG,
                     windows_per_text: int = WINDOWS_PER_TEXT) -> tuple[list[bytes], list[str]]:
-    """At most ``2 * per_lang * MAX_LANGS * windows_per_text`` labelled windows, about
-    ``per_lang`` texts of each label (of the MAX_LANGS most frequent)."""
+    """Labelled windows of about ``min(per_lang, SAMPLE / labels)`` texts of each label (at most twice
+    as many in all); a label's text with the least hash is always among them."""
     labelled = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string")).where(
         usable & F.col("lang").isNotNull() & (F.length("text") > 0))
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("count"), F.min(draw).alias("least")).collect()  # a row per label
     if not counts:
         return [], []
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    chosen = F.lit(False)
-    for r in counts:
-        chosen |= (F.col("lang") == r["lang"]) & (draw < int(min(1.0, per_lang / r["count"]) * (1 << 20)))
+    per_lang = max(1, min(per_lang, SAMPLE // len(counts)))
+    below = [(r["lang"], max(r["least"] + 1, int(min(1.0, per_lang / r["count"]) * (1 << 20)))) for r in counts]
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(below, "lang string, below long"))  # a row per label
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -195,7 +196,8 @@ def training_sample(docs: DataFrame, usable: Column, per_lang: int = PER_LANG,
                                                 [pa.string(), pa.int64(), pa.int64(), pa.binary()])],
                 names=["lang", "doc_id", "at", "bytes"])
 
-    rows = labelled.where(chosen).mapInArrow(cut, "lang string, doc_id long, at long, bytes binary").limit(
+    sample = labelled.join(chosen, "lang").where(draw < F.col("below")).select("doc_id", "text", "lang")
+    rows = sample.mapInArrow(cut, "lang string, doc_id long, at long, bytes binary").limit(
         2 * per_lang * len(counts) * windows_per_text).collect()
     rows.sort(key=lambda r: (r["lang"], r["doc_id"] is None, r["doc_id"] or 0, r["at"], bytes(r["bytes"])))
     return [bytes(r["bytes"]) for r in rows], [r["lang"] for r in rows]

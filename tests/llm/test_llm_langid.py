@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from .llm_helpers import clash
 
+from pyspark.sql import functions as F
+
 from settleline.llm import langid as L
 
 
@@ -87,3 +89,12 @@ def test_labels_are_no_input(spark, make_docs):
     model = L.learn(make_docs(*rows))
     one = L.identify(make_docs((1, "und der die", "en"), (2, "und der die", None)), model).collect()
     assert one[0].lang_pred == one[1].lang_pred and one[0].score == one[1].score
+
+
+def test_every_label_is_learnt(spark, make_docs, monkeypatch):
+    rows = [(i, f"text number {i} " * 5, f"l{i % 90:02d}") for i in range(900)]
+    _, langs = L.training_sample(make_docs(*rows), F.lit(True))
+    assert set(langs) == {f"l{k:02d}" for k in range(90)}
+    monkeypatch.setattr(L, "SAMPLE", 100)
+    texts, langs = L.training_sample(make_docs(*rows), F.lit(True), windows_per_text=2)
+    assert set(langs) == {f"l{k:02d}" for k in range(90)} and len(texts) <= 2 * 90 * 2
