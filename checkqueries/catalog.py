@@ -9,17 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from settleline.api import process_batch
 from settleline.config import Rules
 from settleline.operators import anomalies, enrich, reports, settle, validate
-from settleline.plans.pipeline import run_batch, run_reports, table_paths
+from settleline.plans.pipeline import read_alerts, read_settlements, run_batch, run_reports, table_paths
 from settleline.schema import ALERT_COLUMNS, LANDING_FIELDS
 from settleline.sinks import tables
 from settleline.sources import landing
-from settleline.streaming import account_state
+from settleline.streaming import account_state, keyed_alerts
 from settleline.streaming import stream as st
 
 from . import fixture_streams as fs
@@ -153,12 +154,24 @@ def q_insert_if_absent(spark, sf_dir):
     date, besides ids of its own: the stored row wins.
     """
     path = f"{fs.run_dir(spark, 'insert')}/raw"
+    for rows in _two_loads(spark, sf_dir):
+        tables.insert_if_absent(spark, rows, path, ["transaction_id"], ["landing_day"])
+    return spark.read.parquet(path).select(*LANDING_COLS)
+
+
+def _two_loads(spark, sf_dir):
+    """The two overlapping raw batches of ``insert_if_absent``."""
     first = _landing(spark, sf_dir).where(F.col("timestamp") < FIRST_LOAD_UNTIL)
     second = _landing(spark, sf_dir).where(F.col("timestamp") >= SECOND_LOAD_FROM).withColumns({
         "location": F.lit("Redelivered"), "timestamp": F.concat(F.lit("2024-12-31"), F.substring("timestamp", 11, 99))})
-    for batch in (first, second):
-        rows = tables.raw_landing_rows(batch).select("*", F.substring("timestamp", 1, 10).alias("landing_day"))
-        tables.insert_if_absent(spark, rows, path, ["transaction_id"], ["landing_day"])
+    return [tables.raw_landing_rows(b).select("*", F.substring("timestamp", 1, 10).alias("landing_day")) for b in (first, second)]
+
+
+def q_insert_if_absent_indexed(spark, sf_dir):
+    """The same two batches with the keys looked up in the bucketed index."""
+    path = f"{fs.run_dir(spark, 'insert-indexed')}/raw"
+    for rows in _two_loads(spark, sf_dir):
+        tables.insert_if_absent(spark, rows, path, ["transaction_id"], ["landing_day"], indexed=True)
     return spark.read.parquet(path).select(*LANDING_COLS)
 
 
@@ -188,11 +201,77 @@ def _warehouse(spark: SparkSession, sf_dir: str) -> str:
 
 def q_pipeline_two_batches(spark, sf_dir):
     """Settlements after two batches: those of one batch with all rows."""
-    return spark.read.parquet(table_paths(_warehouse(spark, sf_dir))["daily_settlements"])
+    return read_settlements(spark, _warehouse(spark, sf_dir))
 
 
 def q_pipeline_two_batches_alerts(spark, sf_dir):
-    return spark.read.parquet(table_paths(_warehouse(spark, sf_dir))["anomaly_alerts"]).select(*ALERT_COLUMNS)
+    return read_alerts(spark, _warehouse(spark, sf_dir)).select(*ALERT_COLUMNS)
+
+
+#: A look-back over several days, so the days around a batch's dates matter.
+LONG_RULES = FIXTURE_RULES.with_(burst_window_sec=3 * 86_400, burst_min_exclusive=4)
+
+
+def q_pipeline_long_window_alerts(spark, sf_dir):
+    """Alerts after two batches under a look-back of three days."""
+    root = fs.run_dir(spark, "long-window")
+    half = F.crc32(F.coalesce("transaction_id", F.lit(""))) % 2
+    for k in (0, 1):
+        run_batch(spark, _landing(spark, sf_dir).where(half == k), root, LONG_RULES, batch_id=f"half-{k}")
+    return read_alerts(spark, root).select(*ALERT_COLUMNS)
+
+
+def q_quality_log(spark, sf_dir):
+    """The data-quality rows of the two batches, added up."""
+    log = spark.read.parquet(table_paths(_warehouse(spark, sf_dir))["data_quality_log"])
+    return log.agg(*[F.sum(f"{c}_records").alias(c) for c in ("total", "valid", "invalid")])
+
+
+def q_snapshots(spark, sf_dir):
+    """The processed snapshot of ``process_batch`` over JSON lines on disk (source chosen by path)."""
+    base = fs.run_dir(spark, "snapshots")
+    landing.to_json_values(_landing(spark, sf_dir)).write.text(f"{base}/in")
+    process_batch(spark, rules=FIXTURE_RULES, output_path=f"{base}/out", path=f"{base}/in")
+    return spark.read.parquet(f"{base}/out/processed").select("transaction_id", "account_id", "amount", "ts", "transaction_date", "risk_score")
+
+
+def q_snapshot_settlements(spark, sf_dir):
+    """The settlement snapshot of ``process_batch``."""
+    base = fs.run_dir(spark, "snapshot-settlements")
+    process_batch(spark, _landing(spark, sf_dir), FIXTURE_RULES, f"{base}/out")
+    return spark.read.parquet(f"{base}/out/settlements")
+
+
+def q_quarantine_corrupt(spark, sf_dir):
+    """Quarantine of a topic in which every record whose id ends in 3 is cut off: its text is kept."""
+    values = landing.to_json_values(_landing(spark, sf_dir))
+    cut = F.col("value").rlike(r'^\{"transaction_id":"[^"]*3"')
+    broken = values.select(F.when(cut, F.expr("left(value, length(value) - 7)")).otherwise(F.col("value")).alias("value"))
+    q = validate.quarantine(validate.with_errors(landing.from_json_values(broken, keep_corrupt=True), FIXTURE_RULES))
+    return q.select("record.*", F.array_join("errors", "; ").alias("error_text"), "raw_text")
+
+
+def placed(df: DataFrame) -> DataFrame:
+    """A sorted frame with every row's place in it."""
+    return df.withColumn("_id", F.monotonically_increasing_id()).withColumn(
+        "place", F.row_number().over(Window.orderBy("_id"))).drop("_id")  # a report's rows: dates x types at most
+
+
+def q_ordered_settlements(spark, sf_dir):
+    return placed(settle.daily_settlements(_processed(spark, sf_dir), ordered=True)).select("settlement_date", "transaction_type", "place")
+
+
+def q_ordered_settlement_summary(spark, sf_dir):
+    return placed(reports.settlement_summary(_settlements(spark, sf_dir))).select("settlement_date", "transaction_type", "place")
+
+
+def q_ordered_hourly_risk(spark, sf_dir):
+    return placed(reports.hourly_risk(_processed(spark, sf_dir))).select("transaction_hour", "place")
+
+
+def q_ordered_top_accounts(spark, sf_dir):
+    processed = _processed(spark, sf_dir)
+    return placed(reports.top_accounts(processed, anomalies.detect_anomalies(processed, FIXTURE_RULES))).select("account_id", "place")
 
 
 def _stored_report(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -254,9 +333,51 @@ def q_stream_rapid_sessions(spark, sf_dir):
     return st.rapid_alerts_from_sessions(sessions, FIXTURE_RULES)
 
 
+def q_stream_keyed_alerts(spark, sf_dir):
+    """HIGH_FREQUENCY alerts from keyed state (a map of seconds per account and bucket)."""
+    with keyed_alerts.rocksdb_state(spark):
+        table = fs.drain_upsert(spark, sf_dir, "keyed", lambda rows: keyed_alerts.burst_buckets(_enriched()(rows), FIXTURE_RULES),
+                                keyed_alerts.BUCKET_KEYS, keyed_alerts.BUCKET_PARTITION)
+    return keyed_alerts.alerts_from_buckets(table, FIXTURE_RULES)
+
+
+def q_stream_hopping_frequency(spark, sf_dir):
+    """Accounts over the limit in windows of one hour that start every five minutes (coarser than HIGH_FREQUENCY)."""
+    out = fs.drain_append(spark, sf_dir, "hopping", lambda rows: keyed_alerts.hopping_frequency(_enriched()(rows), FIXTURE_RULES), flush=True)
+    return out.select("account_id", "window_start", "window_end", "transaction_count", "total_amount")
+
+
+def q_stream_burst_flag(spark, sf_dir):
+    out = fs.drain_append(spark, sf_dir, "burst", lambda rows: keyed_alerts.burst_flags(_enriched()(rows)), flush=True)
+    return out.select("transaction_id", "is_suspicious")
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """Every valid row of a stream with stragglers: on time (no lateness) or in the side output."""
+    on_time, behind = fs.drain_split(spark, sf_dir, "late", lambda rows: _enriched(False)(rows).select(
+        "transaction_id", "account_id", "event_time", "amount"))
+    return on_time.select("transaction_id", "amount", F.lit(None).cast("long").alias("late_by_sec")).unionByName(
+        behind.select("transaction_id", "amount", "late_by_sec"))
+
+
+def q_stream_quality_log(spark, sf_dir):
+    """Quality log of a stream, from metrics observed on the way (no counting job)."""
+    base, name = fs.run_dir(spark, "quality"), "validation"
+    heard = st.ObservedBatches(name)
+    spark.streams.addListener(heard)
+    try:
+        rows = fs.landing_stream(spark, sf_dir, base).observe(name, *validate.report_columns(FIXTURE_RULES))
+        q = st.run_available_now(st.quarantine_stream(rows, FIXTURE_RULES), fs.epochs_into(f"{base}/table"), f"{base}/checkpoint", "append")
+        st.log_stream_quality(spark, f"{base}/log", "quality", heard.of(spark, q))
+    finally:
+        spark.streams.removeListener(heard)
+    log = spark.read.parquet(f"{base}/log")
+    return log.agg(*[F.sum(f"{c}_records").alias(c) for c in ("total", "valid", "invalid")])
+
+
 def q_stream_pipeline(spark, sf_dir):
     """Settlements after the landing records came as a stream of several files."""
-    return spark.read.parquet(table_paths(fs.drain_pipeline(spark, sf_dir, "pipeline", FIXTURE_RULES))["daily_settlements"])
+    return read_settlements(spark, fs.drain_pipeline(spark, sf_dir, "pipeline", FIXTURE_RULES))
 
 
 def reported(df: DataFrame) -> DataFrame:
@@ -300,6 +421,7 @@ _QUERY_FUNCTIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rpt_merchant_risk": q_rpt_merchant_risk,
     "rpt_account_patterns": q_rpt_account_patterns,
     "insert_if_absent": q_insert_if_absent,
+    "insert_if_absent_indexed": q_insert_if_absent_indexed,
     "upsert_settlements": q_upsert_settlements,
     "pipeline_two_batches": q_pipeline_two_batches,
     "pipeline_two_batches_alerts": q_pipeline_two_batches_alerts,
@@ -308,6 +430,15 @@ _QUERY_FUNCTIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stored_hourly_risk": _stored_report("hourly_risk"),
     "stored_merchant_risk": _stored_report("merchant_risk"),
     "stored_account_patterns": _stored_report("account_patterns"),
+    "pipeline_long_window_alerts": q_pipeline_long_window_alerts,
+    "quality_log": q_quality_log,
+    "snapshots": q_snapshots,
+    "snapshot_settlements": q_snapshot_settlements,
+    "quarantine_corrupt": q_quarantine_corrupt,
+    "ordered_settlements": q_ordered_settlements,
+    "ordered_settlement_summary": q_ordered_settlement_summary,
+    "ordered_hourly_risk": q_ordered_hourly_risk,
+    "ordered_top_accounts": q_ordered_top_accounts,
     "burst_flag": q_burst_flag,
     "validation_report_json": q_validation_report_json,
     "stream_dedupe": q_stream_dedupe,
@@ -316,6 +447,11 @@ _QUERY_FUNCTIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_daily_amount": q_stream_daily_amount,
     "stream_account_alerts": q_stream_account_alerts,
     "stream_rapid_sessions": q_stream_rapid_sessions,
+    "stream_keyed_alerts": q_stream_keyed_alerts,
+    "stream_hopping_frequency": q_stream_hopping_frequency,
+    "stream_burst_flag": q_stream_burst_flag,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_quality_log": q_stream_quality_log,
     "stream_pipeline": q_stream_pipeline,
 }
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from . import oracle as o
-from .catalog import FIRST_LOAD_UNTIL, SECOND_LOAD_FROM
+from .catalog import FIRST_LOAD_UNTIL, LONG_RULES, SECOND_LOAD_FROM
+from .fixture_streams import LATE_EDGES, LATE_EVERY, LATE_REST
 
 _ORACLE_SQL: dict[str, str] = {
     "validate_rows": o.validate_rows_sql(),
@@ -26,6 +27,7 @@ _ORACLE_SQL: dict[str, str] = {
     "rpt_merchant_risk": o.rpt_merchant_risk_sql(),
     "rpt_account_patterns": o.rpt_account_patterns_sql(),
     "insert_if_absent": o.insert_if_absent_sql(FIRST_LOAD_UNTIL, SECOND_LOAD_FROM),
+    "insert_if_absent_indexed": o.insert_if_absent_sql(FIRST_LOAD_UNTIL, SECOND_LOAD_FROM),
     "upsert_settlements": o.upsert_settlements_sql(FIRST_LOAD_UNTIL, SECOND_LOAD_FROM),
     "pipeline_two_batches": o.daily_settlements_sql(),
     "pipeline_two_batches_alerts": o.alerts_sql(),
@@ -34,6 +36,15 @@ _ORACLE_SQL: dict[str, str] = {
     "stored_hourly_risk": o.rpt_hourly_risk_sql(),
     "stored_merchant_risk": o.rpt_merchant_risk_sql(),
     "stored_account_patterns": o.rpt_account_patterns_sql(),
+    "pipeline_long_window_alerts": o.long_window_alerts_sql(LONG_RULES.burst_window_sec, LONG_RULES.burst_min_exclusive),
+    "quality_log": o.quality_log_sql(),
+    "snapshots": o.snapshots_sql(),
+    "snapshot_settlements": o.daily_settlements_sql(),
+    "quarantine_corrupt": o.quarantine_corrupt_sql(),
+    "ordered_settlements": o.ordered_sql("settlement_date, transaction_type", "settlement_date, transaction_type", o.daily_settlements_sql()),
+    "ordered_settlement_summary": o.ordered_sql("settlement_date, transaction_type", "settlement_date DESC, transaction_type", o.rpt_settlement_summary_sql()),
+    "ordered_hourly_risk": o.ordered_sql("transaction_hour", "transaction_hour", o.rpt_hourly_risk_sql()),
+    "ordered_top_accounts": o.ordered_sql("account_id", "total_volume DESC, account_id", o.rpt_top_accounts_sql()),
     "burst_flag": o.burst_flag_sql(),
     "validation_report_json": o.validation_report_json_sql(),
     "stream_dedupe": o.dedupe_first_sql(),
@@ -43,6 +54,11 @@ _ORACLE_SQL: dict[str, str] = {
     "stream_settlements": o.daily_settlements_sql(),
     "stream_daily_amount": o.alerts_sql("HIGH_DAILY_AMOUNT"),
     "stream_account_alerts": o.alerts_sql(),
+    "stream_keyed_alerts": o.alerts_sql("HIGH_FREQUENCY"),
+    "stream_hopping_frequency": o.hopping_frequency_sql(),
+    "stream_burst_flag": o.burst_flag_sql(),
+    "stream_quality_log": o.quality_log_sql(),
+    "stream_late_rows": o.late_rows_sql(LATE_EDGES, LATE_EVERY, LATE_REST),
 }
 
 # Exact DECIMAL result columns, handed out as DOUBLE like the Spark side (catalog.reported).
@@ -67,6 +83,12 @@ DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
     "stream_daily_amount": ("total_amount",),
     "stream_account_alerts": ("total_amount",),
     "stream_rapid_sessions": ("total_amount",),
+    "stream_keyed_alerts": ("total_amount",),
+    "stream_hopping_frequency": ("total_amount",),
+    "stream_late_rows": ("amount",),
+    "pipeline_long_window_alerts": ("total_amount",),
+    "snapshots": ("amount", "risk_score"),
+    "snapshot_settlements": ("total_amount", "avg_amount", "running_total", "day_over_day_change"),
     "stream_pipeline": ("total_amount", "avg_amount", "running_total", "day_over_day_change"),
     "pipeline_two_batches": ("total_amount", "avg_amount", "running_total", "day_over_day_change"),
     "pipeline_two_batches_alerts": ("total_amount",),

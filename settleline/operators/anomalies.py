@@ -207,6 +207,27 @@ def alerts_from_days(per_day: DataFrame, rules: Rules) -> DataFrame:
         "account_id", "a.*").select(*ALERT_COLUMNS)
 
 
+def account_totals(per_day: DataFrame) -> DataFrame:
+    """Per account: what the two time rules need of all its days."""
+    return per_day.groupBy("account_id").agg(
+        F.max("hf_max").alias("hf_max"), F.sum("hf_amt").alias("hf_amt"), F.sum("rs_n").alias("rs_n"), F.sum("rs_amt").alias("rs_amt"))
+
+
+def alerts_of_totals(totals: DataFrame, rules: Rules) -> DataFrame:
+    """HIGH_FREQUENCY and RAPID_SUCCESSION alerts of ``account_totals`` rows."""
+    hf = totals.where("hf_max IS NOT NULL").select("account_id", F.col("hf_max").alias("transaction_count"), F.col("hf_amt").alias("total_amount"))
+    rs = totals.where("rs_n > 0").select("account_id", F.col("rs_n").alias("transaction_count"), F.col("rs_amt").alias("total_amount"))
+    return _alert(hf, HIGH_FREQUENCY, alert_text.high_frequency(F.col("transaction_count"), rules)).unionByName(
+        _alert(rs, RAPID_SUCCESSION, alert_text.rapid_succession(F.col("transaction_count"), rules)))
+
+
+def alerts_of_days(per_day: DataFrame, rules: Rules) -> DataFrame:
+    """HIGH_DAILY_AMOUNT alerts of (account, day) rows."""
+    big = per_day.where(F.col("day_amt") > rules.daily_amount_limit).select(
+        "account_id", F.col("day_n").alias("transaction_count"), F.col("day_amt").alias("total_amount"), "day")
+    return _alert(big, HIGH_DAILY_AMOUNT, alert_text.high_daily_amount(F.col("total_amount"), rules), F.col("day"))
+
+
 def detect_anomalies(processed: DataFrame, rules: Rules) -> DataFrame:
     """All three rules in one pipeline, same rows as the union of the single-rule outputs.
 

@@ -12,7 +12,7 @@ Hand-applied rewrites (all exact):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Rules
@@ -52,20 +52,53 @@ def settlement_summary(settlements: DataFrame) -> DataFrame:
     ).orderBy(F.col("settlement_date").desc_nulls_first(), F.col("transaction_type"))
 
 
+# Per-day partials -------------------------------------------------------------
+#: What a row of ``partials`` is about.
+ACCOUNT, HOUR, MERCHANT = "account", "hour", "merchant"
+
+
+def _sums() -> list[Column]:
+    return [F.count("transaction_id").alias("ids"), F.count(F.lit(1)).alias("rows"), F.sum("amount").alias("amt"), _suspicious_count().alias("susp")]
+
+
+def partials(processed: DataFrame) -> DataFrame:
+    """``(transaction_date, kind, account_id, transaction_hour, merchant_id, ids, rows, amt, susp)``: the
+    sums of each date per account, per hour and per merchant, in one pass.
+
+    They add up: RPT-2, RPT-3 and RPT-4 come from them alone, and a date can be worked out again
+    on its own.  Distinct dates are counted as rows, since an account has one row a date.
+    """
+    by = ["account_id", "transaction_hour", "merchant_id"]
+    kind = F.when(F.grouping("account_id") == 0, ACCOUNT).when(F.grouping("transaction_hour") == 0, HOUR).otherwise(MERCHANT)
+    return processed.groupingSets([["transaction_date", c] for c in by], "transaction_date", *by).agg(
+        kind.alias("kind"), *_sums()).select("transaction_date", "kind", *by, "ids", "rows", "amt", "susp")
+
+
+def account_part(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("kind") == ACCOUNT).select("transaction_date", "account_id", "ids", "rows", "amt", "susp")
+
+
+def hour_part(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("kind") == HOUR).select("transaction_hour", "rows", "amt", "susp")
+
+
+def merchant_part(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("kind") == MERCHANT).select("merchant_id", "rows", "amt", "susp")
+
+
 # RPT-2 -----------------------------------------------------------------------
-def account_activity(processed: DataFrame) -> DataFrame:
+def account_days(processed: DataFrame) -> DataFrame:
+    """Per (account, date): the sums that ``account_activity`` adds up."""
+    return processed.groupBy("account_id", "transaction_date").agg(*_sums())
+
+
+def account_activity(per_day: DataFrame) -> DataFrame:
     """Per account: counts, volume, active days, suspicious count.
 
     Two-level aggregation (account-day, then account) instead of COUNT(DISTINCT
     date): the same numbers without the row-doubling Expand of a distinct
     aggregate, and the account-day level pre-aggregates map-side.
     """
-    per_day = processed.groupBy("account_id", "transaction_date").agg(
-        F.count("transaction_id").alias("ids"),
-        F.count(F.lit(1)).alias("rows"),
-        F.sum("amount").alias("amt"),
-        _suspicious_count().alias("susp"),
-    )
     return per_day.groupBy("account_id").agg(
         F.sum("ids").alias("total_transactions"),
         F.sum("amt").cast(MONEY_SUM_TYPE).alias("total_volume"),
@@ -86,8 +119,13 @@ def alert_summary(alerts: DataFrame) -> DataFrame:
 
 def top_accounts(processed: DataFrame, alerts: DataFrame, k: int = 10) -> DataFrame:
     """Top-k accounts by volume, with their alert count/types (0 / 'NONE' if none), in that order."""
+    return top_accounts_of(account_days(processed), alerts, k)
+
+
+def top_accounts_of(per_day: DataFrame, alerts: DataFrame, k: int = 10) -> DataFrame:
+    """The same from (account, date) sums."""
     top = (
-        account_activity(processed)
+        account_activity(per_day)
         .orderBy(F.col("total_volume").desc(), F.col("account_id"))
         .limit(k)
     )
@@ -110,10 +148,15 @@ def top_accounts(processed: DataFrame, alerts: DataFrame, k: int = 10) -> DataFr
 # RPT-3 -----------------------------------------------------------------------
 def hourly_risk(processed: DataFrame) -> DataFrame:
     """Per hour of day: counts, amounts, suspicious rate and a risk band."""
-    stats = processed.groupBy("transaction_hour").agg(
-        F.count(F.lit(1)).alias("total_transactions"),
-        F.sum("amount").alias("_sum"),
-        _suspicious_count().alias("suspicious_count"),
+    return hourly_risk_of(processed.groupBy("transaction_hour").agg(*_sums()))
+
+
+def hourly_risk_of(sums: DataFrame) -> DataFrame:
+    """The same from sums per hour (of each date, or of all)."""
+    stats = sums.groupBy("transaction_hour").agg(
+        F.sum("rows").alias("total_transactions"),
+        F.sum("amt").alias("_sum"),
+        F.sum("susp").alias("suspicious_count"),
     )
     rate = exact_percent(F.col("suspicious_count"), F.col("total_transactions"))
     return stats.select(
@@ -134,12 +177,17 @@ def hourly_risk(processed: DataFrame) -> DataFrame:
 # RPT-4 -----------------------------------------------------------------------
 def merchant_risk(processed: DataFrame, k: int = 20, min_transactions: int = 5) -> DataFrame:
     """Merchants with >= 5 transactions ranked by suspicious share; top k by rank."""
+    return merchant_risk_of(processed.groupBy("merchant_id").agg(*_sums()), k, min_transactions)
+
+
+def merchant_risk_of(sums: DataFrame, k: int = 20, min_transactions: int = 5) -> DataFrame:
+    """The same from sums per merchant (of each date, or of all)."""
     stats = (
-        processed.groupBy("merchant_id")
+        sums.groupBy("merchant_id")
         .agg(
-            F.count(F.lit(1)).alias("total_transactions"),
-            F.sum("amount").cast(MONEY_SUM_TYPE).alias("total_volume"),
-            _suspicious_count().alias("flagged_transactions"),
+            F.sum("rows").alias("total_transactions"),
+            F.sum("amt").cast(MONEY_SUM_TYPE).alias("total_volume"),
+            F.sum("susp").alias("flagged_transactions"),
         )
         .filter(F.col("total_transactions") >= min_transactions)
         .withColumn("flagged_pct", exact_percent(F.col("flagged_transactions"), F.col("total_transactions")))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..config import VALIDATED_FIELDS, Rules
 from ..functions.rules import error_list, field_validity, row_is_valid
 from ..schema import LANDING_FIELDS
+from ..sources.landing import CORRUPT
 
 
 def with_errors(landing: DataFrame, rules: Rules) -> DataFrame:
@@ -40,9 +41,11 @@ def valid_landing(landing: DataFrame, rules: Rules) -> DataFrame:
 
 
 def quarantine(checked: DataFrame) -> DataFrame:
-    """Invalid rows as {record: <landing struct>, errors: [...]}."""
+    """Invalid rows as {record: <landing struct>, errors: [...]}; with ``raw_text``, the text of
+    records that were no JSON, where the landing rows came with it (``landing.CORRUPT``)."""
     record = F.struct(*[F.col(c) for c in (*LANDING_FIELDS, "is_flagged")])
-    return checked.filter(~F.col("is_valid")).select(record.alias("record"), "errors")
+    raw = [F.col(CORRUPT).alias("raw_text")] if CORRUPT in checked.columns else []
+    return checked.filter(~F.col("is_valid")).select(record.alias("record"), "errors", *raw)
 
 
 def report_columns(rules: Rules) -> list[Column]:

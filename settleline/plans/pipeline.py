@@ -10,11 +10,12 @@ Job layout (each step is one Spark job; nothing but counters reaches the driver)
    (``spark.checkpoint.dir``).  This cuts the lineage once: the later steps read
    the written files, so a lost executor re-reads files instead of recomputing
    validation and de-duplication.
-3. processed table: insert-if-absent on transaction_id (only that column of the
-   stored rows is read), partitioned by transaction_date.
-4. settlement totals of the touched dates, again from the processed table; the
-   running columns over the (dates x types) totals.
-5. account-day rows of the touched dates and the next; alerts summed from them.
+3. processed table: insert-if-absent on transaction_id (looked up in the table's
+   bucketed key index), partitioned by transaction_date.
+4. settlement totals and report partials of exactly the touched dates, again from the
+   processed table; the running columns over the (dates x types) totals replace the
+   settlements in one step.
+5. alerts by what the batch changes (``account_state``).
 6. quality log row.
 
 With ``scope="batch"`` 4 is an upsert on (settlement_date, transaction_type) and 5 an
@@ -26,7 +27,6 @@ from __future__ import annotations
 import time
 import uuid
 from dataclasses import dataclass, field
-from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +36,8 @@ from ..functions.parsing import parse_timestamp
 from ..operators import anomalies, enrich, reports, settle, validate
 from ..session import checkpoint_dir
 from ..sinks import tables
+from ..sinks.commits import CommitLog
+from . import account_state
 
 
 @dataclass
@@ -51,7 +53,7 @@ def table_paths(root: str) -> dict:
     return {
         name: f"{root}/{name}"
         for name in ("raw_transactions", "processed", "daily_settlements", "anomaly_alerts", "quarantine",
-                     "data_quality_log", "settlement_totals", "account_days")
+                     "data_quality_log", "settlement_totals", "report_partials")
     }
 
 
@@ -61,13 +63,14 @@ def staged_batch_path(spark: SparkSession, root: str, batch_id: str, part: str =
 
 
 def stage_enriched(spark: SparkSession, landing: DataFrame, rules: Rules, batch_id: str,
-                   root: str) -> DataFrame:
+                   root: str) -> tuple[DataFrame, int]:
     """Write the batch's enriched rows once to the shared checkpoint folder (or, when the
-    session names none, a staging folder beside the tables) and read them back."""
+    session names none, a staging folder beside the tables); read back, and their number."""
     path = staged_batch_path(spark, root, batch_id)
     enriched = enrich.processed(validate.valid_landing(landing, rules), rules)
-    enriched.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    counter = Observation("enriched")
+    enriched.observe(counter, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return spark.read.schema(enriched.schema).parquet(path), counter.get["n"]
 
 
 def run_batch(spark: SparkSession, landing: DataFrame, root: str, rules: Rules = DEFAULT_RULES,
@@ -125,22 +128,21 @@ def _run(spark: SparkSession, landing: DataFrame, rules: Rules, batch_id: str, p
         F.current_timestamp().alias("loaded_at"),
         F.to_date(parse_timestamp(F.col("timestamp"))).alias("landing_date"),
     )
-    tables.insert_if_absent(spark, raw, paths["raw_transactions"], keys=["transaction_id"], partition_by=["landing_date"])
+    tables.insert_if_absent(spark, raw, paths["raw_transactions"], keys=["transaction_id"], partition_by=["landing_date"], indexed=True)
 
     # 2. enriched batch, lineage cut
-    batch = stage_enriched(spark, landing, rules, batch_id, root)
-    lo, hi, _ = tables.value_range(batch, "transaction_date")
+    batch, transformed = stage_enriched(spark, landing, rules, batch_id, root)
 
     # 3. processed table; without batch de-duplication the key still has to be unique
     rows = batch if rules.dedupe else enrich.first_delivery(batch)
-    tables.insert_if_absent(spark, rows, paths["processed"], keys=["transaction_id"], partition_by=["transaction_date"])
+    tables.insert_if_absent(spark, rows, paths["processed"], keys=["transaction_id"], partition_by=["transaction_date"], indexed=True)
 
     # 4, 5. settlements and alerts
-    counts = {"records_transformed": batch.count(), "settlement_rows": 0, "anomalies_detected": 0}
+    counts = {"records_transformed": transformed, "settlement_rows": 0, "anomalies_detected": 0}
     if scope == "batch":
         counts |= _batch_scope(spark, batch, rules, batch_id, paths)
-    elif lo is not None:
-        counts |= _table_scope(spark, rules, batch_id, paths, lo, hi)
+    elif transformed:
+        counts |= _table_scope(spark, batch, rules, batch_id, paths, root)
 
     # 6. quality log
     tables.log_quality(spark, paths["data_quality_log"], batch_id, report)
@@ -157,31 +159,30 @@ def _run(spark: SparkSession, landing: DataFrame, rules: Rules, batch_id: str, p
     return BatchResult(batch_id=batch_id, report=report, metrics=metrics, paths=paths)
 
 
-def _table_scope(spark: SparkSession, rules: Rules, batch_id: str, paths: dict, lo: date, hi: date) -> dict:
+def _table_scope(spark: SparkSession, batch: DataFrame, rules: Rules, batch_id: str, paths: dict, root: str) -> dict:
     """Settlements and alerts of all that is stored, whatever batches it came in.
 
-    Only the dates the batch touches (``lo`` to ``hi``) are worked out again, from the
-    processed table: their settlement totals, and the account-day rows of those
-    dates and the next (whose first hour looks back).  What spans dates (running
-    totals, alerts by account) is summed from these two small tables.
+    The settlement totals and report partials of the dates that the batch has rows on
+    (those dates alone) are worked out again from the processed table; alerts follow
+    from the accounts and days that the batch can have changed.
     """
-    processed = tables.read_table(spark, paths["processed"])
-    day = timedelta(days=1)
-    totals = settle.daily_totals(tables.within_range(processed, "transaction_date", (lo, hi, 0)))
-    tables.replace_rows(spark, totals, paths["settlement_totals"], ["settlement_date"])
-    settlements = settle.with_running_columns(
-        tables.read_table(spark, paths["settlement_totals"], totals.schema))
-    tables.replace_rows(spark, settlements, paths["daily_settlements"])
-
-    around = tables.within_range(processed, "transaction_date", (lo - day, hi + day, 0))
-    days = anomalies.account_days(anomalies.second_profile(around, rules), rules)
-    days = tables.within_range(days, "day", (lo, hi + day, 0))
-    tables.replace_rows(spark, days, paths["account_days"], ["day"])
-    alerts = anomalies.alerts_from_days(tables.read_table(spark, paths["account_days"], days.schema), rules)
-    tables.replace_alerts(spark, alerts, paths["anomaly_alerts"], batch_id)
-    stored = tables.read_table(spark, paths["daily_settlements"])
-    return {"settlement_rows": tables.within_range(stored, "settlement_date", (lo, hi, 0)).count(),
-            "anomalies_detected": tables.read_table(spark, paths["anomaly_alerts"]).count()}
+    part = staged_batch_path(spark, root, batch_id, part="touched")
+    batch.select(F.col("transaction_date").alias("d")).distinct().write.mode("overwrite").parquet(f"{part}/dates")
+    batch.select("account_id").distinct().write.mode("overwrite").parquet(f"{part}/accounts")
+    dates, accounts = spark.read.parquet(f"{part}/dates"), spark.read.parquet(f"{part}/accounts")
+    processed = tables.read_table(spark, paths["processed"], batch.schema)
+    touched = tables.within_dates(processed, "transaction_date", dates)
+
+    counter = Observation("settlements")
+    totals = settle.daily_totals(touched)
+    tables.replace_rows(spark, totals.observe(counter, F.count(F.lit(1)).alias("n")), paths["settlement_totals"], ["settlement_date"])
+    CommitLog(spark, paths["daily_settlements"]).replace(settle.with_running_columns(
+        tables.read_table(spark, paths["settlement_totals"], totals.schema)))
+    tables.replace_rows(spark, reports.partials(touched), paths["report_partials"], ["transaction_date"])
+
+    raised = account_state.update(spark, paths["anomaly_alerts"], processed, accounts, dates, rules, batch_id)
+    tables.delete_path(spark, part)
+    return {"settlement_rows": counter.get["n"], "anomalies_detected": raised}
 
 
 def _batch_scope(spark: SparkSession, batch: DataFrame, rules: Rules, batch_id: str, paths: dict) -> dict:
@@ -197,16 +198,36 @@ def _batch_scope(spark: SparkSession, batch: DataFrame, rules: Rules, batch_id:
     return {"settlement_rows": counters["settlements"].get["n"], "anomalies_detected": counters["alerts"].get["n"]}
 
 
+def read_settlements(spark: SparkSession, root: str) -> DataFrame:
+    """The settlement table under ``root``, of either scope."""
+    path = table_paths(root)["daily_settlements"]
+    rows = CommitLog(spark, path).read()
+    return spark.read.parquet(path) if rows is None else rows
+
+
+def read_alerts(spark: SparkSession, root: str) -> DataFrame:
+    """The alerts that stand under ``root``, of either scope."""
+    path = table_paths(root)["anomaly_alerts"]
+    return account_state.alerts(spark, path) if CommitLog(spark, path).current() else spark.read.parquet(path)
+
+
 def run_reports(spark: SparkSession, root: str, rules: Rules = DEFAULT_RULES) -> dict[str, DataFrame]:
-    """The five standing reports over the tables under ``root``."""
+    """The five standing reports over the tables under ``root``.
+
+    Where the per-day partials are there (table scope), accounts, hours and merchants are
+    summed from them and the transactions are read for the account patterns alone.
+    """
     paths = table_paths(root)
     processed = tables.read_table(spark, paths["processed"])
     if processed is None:
         raise FileNotFoundError(f"no processed table under {root}")
+    partials = tables.read_table(spark, paths["report_partials"])
+    if partials is None:
+        partials = reports.partials(processed)
     return {
-        "settlement_summary": reports.settlement_summary(spark.read.parquet(paths["daily_settlements"])),
-        "top_accounts": reports.top_accounts(processed, spark.read.parquet(paths["anomaly_alerts"])),
-        "hourly_risk": reports.hourly_risk(processed),
-        "merchant_risk": reports.merchant_risk(processed),
+        "settlement_summary": reports.settlement_summary(read_settlements(spark, root)),
+        "top_accounts": reports.top_accounts_of(reports.account_part(partials), read_alerts(spark, root)),
+        "hourly_risk": reports.hourly_risk_of(reports.hour_part(partials)),
+        "merchant_risk": reports.merchant_risk_of(reports.merchant_part(partials)),
         "account_patterns": reports.account_patterns(processed, rules),
     }

@@ -2,7 +2,8 @@
 
 * insert-if-absent (``ON CONFLICT DO NOTHING``): first-delivery de-duplication of
   the batch, then a left-anti join against the keys already stored (only the key
-  columns of the target are read), then append.
+  columns of the target are read, or with ``indexed`` its hash-bucketed key index,
+  which isn't shuffled), then append.
 * upsert (``ON CONFLICT DO UPDATE``): the touched partitions are rebuilt as
   (stored rows whose key is not in the batch) + batch rows, staged under the
   session's shared checkpoint folder, then swapped in with dynamic partition
@@ -11,9 +12,8 @@
 
 Every write goes through Spark's file commit protocol, so a lost executor only
 retries its task.  Appends and partitioned overwrites leave the previous state
-when a job fails.  An unpartitioned table that is replaced whole is deleted
-before its new rows are written: if that last copy job fails, the rows are still
-in the staging folder, and running the batch again rebuilds the table.
+when a job fails; tables that are replaced whole, or in several parts at once, are
+``commits.CommitLog`` tables.
 """
 
 from __future__ import annotations
@@ -23,8 +23,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from ..session import checkpoint_dir
+from .key_index import KeyIndex
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -107,14 +109,34 @@ def within_range(rows: DataFrame, col: str, bounds: tuple) -> DataFrame:
     return rows.filter(cond | F.col(col).isNull() if nulls else cond)
 
 
+def within_dates(rows: DataFrame, col: str, dates: DataFrame) -> DataFrame:
+    """Rows whose ``col`` is one of ``dates`` (a column ``d``, staged; as many as calendar days).
+
+    A semi join with the dates broadcast: where ``rows`` is partitioned by ``col``, dynamic
+    pruning reads these partitions alone, not those in between.
+    """
+    known = dates.where(F.col("d") >= F.lit("0001-01-01").cast("date"))
+    return rows.join(F.broadcast(known), F.col(col) == F.col("d"), "left_semi")
+
+
 def insert_if_absent(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
-                     partition_by: Sequence[str] = (), among: Column | None = None) -> None:
+                     partition_by: Sequence[str] = (), among: Column | None = None, indexed: bool = False) -> None:
     """Append the batch rows whose key is not stored yet (idempotent on re-run).
 
     Of the stored rows only the key columns are read, and with ``among`` (a literal
-    condition that the batch's keys are known to meet) only those partitions.
+    condition that the batch's keys are known to meet) only those partitions.  With
+    ``indexed`` (one key column, a string that is never null) the keys are looked up in
+    the table's bucketed index, which is brought up to date before and after.
     The batch's plan runs once.
     """
+    if indexed:
+        (key,) = keys
+        index = KeyIndex(spark, path, key)
+        index.catch_up()
+        writer = _partitioned(index.absent(batch), partition_by).write.mode("append")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        index.catch_up()
+        return
     target = read_table(spark, path, batch.schema)
     if target is not None and among is not None:
         target = target.filter(among)
@@ -130,9 +152,9 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
     without it the (small, key-level) table is rewritten whole.
 
     The batch is staged first, so its plan runs once (``staged``: it is read from files
-    already).  The stored side is read in the
-    range of the batch's partition values (least to greatest), at every size alike;
-    the exact keys are matched by the anti join.
+    already).  Of the stored side exactly the batch's partition values are read if they
+    are dates, else their range (least to greatest); the exact keys are matched by the
+    anti join.
     """
     target = read_table(spark, path, batch.schema)
     if target is None:
@@ -144,7 +166,11 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
         batch.write.parquet(f"{staging}/batch")
         rows = spark.read.schema(batch.schema).parquet(f"{staging}/batch")
     for col in partition_by:
-        target = within_range(target, col, value_range(rows, col))
+        values = value_range(rows, col)
+        if rows.schema[col].dataType == DateType() and not values[2]:
+            target = within_dates(target, col, rows.select(F.col(col).alias("d")).distinct())
+        else:
+            target = within_range(target, col, values)
     replace_rows(spark, merged_upsert(target, rows, keys), path, partition_by, staging)
 
 
@@ -169,8 +195,9 @@ def raw_landing_rows(landing: DataFrame) -> DataFrame:
     """Rows for the raw landing table: every record with a usable id (valid or not),
     first delivery per id by its timestamp text; id-less rows only live in quarantine."""
     from ..operators.enrich import first_delivery
+    from ..sources.landing import CORRUPT
 
-    keyed = landing.filter(F.col("transaction_id").isNotNull() & (F.col("transaction_id") != ""))
+    keyed = landing.drop(CORRUPT).filter(F.col("transaction_id").isNotNull() & (F.col("transaction_id") != ""))
     return first_delivery(keyed, key="transaction_id", order_by="timestamp")
 
 
@@ -206,24 +233,6 @@ def append_alerts(spark: SparkSession, alerts: DataFrame, path: str, batch_id: s
                      partition_by=["batch_id"], among=F.col("batch_id") == batch_id)
 
 
-def replace_alerts(spark: SparkSession, alerts: DataFrame, path: str, batch_id: str) -> None:
-    """The table's alerts are now these.  An alert that stands unchanged keeps the batch and
-    time it was raised by; the id is that of (account, type, date)."""
-    ident = F.concat_ws("|", "account_id", "alert_type", F.coalesce(F.col("alert_date").cast("string"), F.lit("")))
-    rows = alerts.select(F.sha2(ident, 256).alias("alert_id"), *alerts.columns)
-    stored = read_table(spark, path)
-    if stored is None:
-        out = rows.select("*", F.lit(batch_id).alias("batch_id"), F.current_timestamp().alias("detection_time"))
-    else:
-        same = stored.select("alert_id", F.col("alert_description").alias("_text"), F.col("total_amount").alias("_total"),
-                             F.col("batch_id").alias("_batch"), F.col("detection_time").alias("_time"))
-        stands = (F.col("_text") == F.col("alert_description")) & (F.col("_total") == F.col("total_amount"))
-        out = rows.join(same, "alert_id", "left").select(
-            *rows.columns, F.when(stands, F.col("_batch")).otherwise(F.lit(batch_id)).alias("batch_id"),
-            F.when(stands, F.col("_time")).otherwise(F.current_timestamp()).alias("detection_time"))
-    replace_rows(spark, out, path)
-
-
 def quality_row(spark: SparkSession, batch_id: str, report: dict) -> DataFrame:
     """One data-quality log row from the (already computed) report dict."""
     schema = (

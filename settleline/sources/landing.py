@@ -11,12 +11,17 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schema import LANDING_FIELDS, LANDING_SCHEMA
 
 # Values are parsed as text so a quoted or malformed number is reported, not nulled.
 _JSON_SCHEMA = LANDING_SCHEMA
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "primitivesAsString": "true"}
+#: Column with the text of a record that is no JSON (null for the others).
+CORRUPT = "_corrupt_record"
+_CORRUPT_SCHEMA = StructType([*LANDING_SCHEMA.fields, StructField(CORRUPT, StringType())])
+_CORRUPT_OPTIONS = {**_JSON_OPTIONS, "columnNameOfCorruptRecord": CORRUPT}
 
 
 def to_landing(df: DataFrame) -> DataFrame:
@@ -34,9 +39,17 @@ def parse_json_payload(value: Column) -> Column:
     return F.from_json(value.cast("string"), _JSON_SCHEMA, _JSON_OPTIONS)
 
 
-def from_json_values(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Message values (e.g. a topic's ``value`` column) -> landing rows."""
-    return df.select(parse_json_payload(F.col(value_col)).alias("data")).select("data.*")
+def from_json_values(df: DataFrame, value_col: str = "value", keep_corrupt: bool = False) -> DataFrame:
+    """Message values (e.g. a topic's ``value`` column) -> landing rows.
+
+    ``keep_corrupt`` adds the column ``CORRUPT`` with the text of values that are no JSON;
+    such rows have null fields, fail validation, and take their text into the quarantine.
+    """
+    if keep_corrupt:
+        data = F.from_json(F.col(value_col).cast("string"), _CORRUPT_SCHEMA, _CORRUPT_OPTIONS)
+    else:
+        data = parse_json_payload(F.col(value_col))
+    return df.select(data.alias("data")).select("data.*")
 
 
 def to_json_values(df: DataFrame) -> DataFrame:
@@ -44,8 +57,10 @@ def to_json_values(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
 
 
-def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-lines files with the declared landing schema (no inference)."""
+def read_json_lines(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
+    """JSON-lines files with the declared landing schema (no inference); ``keep_corrupt`` as above."""
+    if keep_corrupt:
+        return spark.read.schema(_CORRUPT_SCHEMA).options(**_CORRUPT_OPTIONS).json(path)
     return spark.read.schema(_JSON_SCHEMA).options(**_JSON_OPTIONS).json(path)
 
 
@@ -104,8 +119,7 @@ def select_source(spark: SparkSession, records: Iterable[Mapping] | None = None,
     if records is not None:
         return from_records(spark, records)
     if kafka:
-        return read_kafka(spark, kafka.get("bootstrap_servers", "localhost:9092"),
-                          kafka.get("topic", "financial_transactions"))
+        return read_kafka(spark, kafka["bootstrap_servers"], kafka["topic"])
     if path:
         return read_json_lines(spark, path)
     raise ValueError("Must provide records, a kafka config or an input path")

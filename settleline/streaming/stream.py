@@ -231,6 +231,44 @@ class LateRows(StreamingQueryListener):
         return self.by_query.get(str(query.id), 0)
 
 
+class ObservedBatches(StreamingQueryListener):
+    """The metrics that ``DataFrame.observe(name, ...)`` takes of every trigger with rows, by
+    (query id, batch id): counters of a stream without counting jobs.
+
+    Add it to ``spark.streams`` before the query starts.
+    """
+
+    def __init__(self, name: str) -> None:
+        self.name = name
+        self.batches: dict[tuple[str, int], dict] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        row = (p.observedMetrics or {}).get(self.name)
+        if row is not None and p.numInputRows:
+            self.batches[str(p.id), p.batchId] = row.asDict()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, spark: SparkSession, query: StreamingQuery) -> dict[int, dict]:
+        """Metrics by batch id.  Waits until the listeners have heard of all that has ended."""
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        return {batch: m for (q, batch), m in sorted(self.batches.items()) if q == str(query.id)}
+
+
+def log_stream_quality(spark: SparkSession, path: str, name: str, batches: dict[int, dict]) -> None:
+    """A data-quality row for each micro-batch, from what was observed of it (see ``ObservedBatches``)."""
+    for batch, metrics in batches.items():
+        tables.log_quality(spark, path, f"{name}-{batch}", validate.report_from_metrics(metrics))
+
+
 def run_available_now(stream: DataFrame, sink, checkpoint: str, output_mode: str = "update",
                       name: str | None = None) -> StreamingQuery:
     """Process everything available now through a foreachBatch sink, then stop."""

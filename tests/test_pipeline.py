@@ -1,5 +1,5 @@
 from conftest import base_record, uid
-from settleline.plans.pipeline import run_batch
+from settleline.plans.pipeline import read_alerts, read_settlements, run_batch
 from settleline.sources.landing import from_records
 
 
@@ -14,8 +14,10 @@ def _batch(spark):
 
 def _snapshot(spark, paths):
     out = {}
-    for name in ("raw_transactions", "processed", "daily_settlements", "anomaly_alerts", "data_quality_log"):
-        df = spark.read.parquet(paths[name])
+    root = paths["processed"].removesuffix("/processed")
+    frames = {name: spark.read.parquet(paths[name]) for name in ("raw_transactions", "processed", "data_quality_log", "report_partials")}
+    frames |= {"daily_settlements": read_settlements(spark, root), "anomaly_alerts": read_alerts(spark, root)}
+    for name, df in frames.items():
         cols = [c for c in df.columns if c not in ("detection_time", "processed_at", "loaded_at")]
         out[name] = sorted(tuple(str(v) for v in r) for r in df.select(*sorted(cols)).collect())
     return out
@@ -47,7 +49,7 @@ def test_upsert_replaces_by_key(spark, rules, tmp_path):
     recs2 = [base_record(transaction_id=uid(2), amount=30, timestamp="2024-06-01T11:00:00"),
              base_record(transaction_id=uid(3), amount=5, timestamp="2024-06-02T11:00:00")]
     res = run_batch(spark, from_records(spark, recs2), root, rules, batch_id="b", scope="batch")
-    s = {str(r["settlement_date"]): r for r in spark.read.parquet(res.paths["daily_settlements"]).collect()}
+    s = {str(r["settlement_date"]): r for r in read_settlements(spark, root).collect()}
     # batch scope: the later batch's measures replace the stored row
     assert float(s["2024-06-01"]["total_amount"]) == 30.0
     assert float(s["2024-06-02"]["total_amount"]) == 5.0
@@ -105,8 +107,8 @@ def _cut(spark, rules, root, records, n):
     """Settlements and alerts after the records came as n batches."""
     for k in range(n):
         res = run_batch(spark, from_records(spark, records[k::n]), str(root), rules, batch_id=f"b{k}")
-    rows = spark.read.parquet(res.paths["daily_settlements"]).collect()
-    alerts = spark.read.parquet(res.paths["anomaly_alerts"]).drop("batch_id", "detection_time").collect()
+    rows = read_settlements(spark, str(root)).collect()
+    alerts = read_alerts(spark, str(root)).drop("batch_id", "detection_time").collect()
     return sorted(map(str, rows)), sorted(map(str, alerts)), res
 
 
@@ -126,7 +128,7 @@ def test_tables_do_not_depend_on_the_cut(spark, rules, tmp_path):
     recs = _many_records()
     one = _cut(spark, rules, tmp_path / "one", recs, 1)
     assert {"HIGH_FREQUENCY", "RAPID_SUCCESSION", "HIGH_DAILY_AMOUNT"} == {
-        a.alert_type for a in spark.read.parquet(one[2].paths["anomaly_alerts"]).collect()}
+        a.alert_type for a in read_alerts(spark, str(tmp_path / "one")).collect()}
     for n in (2, 5):
         many = _cut(spark, rules, tmp_path / f"cut{n}", recs, n)
         assert many[:2] == one[:2]
@@ -143,7 +145,7 @@ def test_stored_row_wins_across_dates(spark, rules, tmp_path):
     for name in ("processed", "raw_transactions"):
         rows = spark.read.parquet(res.paths[name]).collect()
         assert [float(r["amount"]) for r in rows] == [10.0]
-    assert [float(r["total_amount"]) for r in spark.read.parquet(res.paths["daily_settlements"]).collect()] == [10.0]
+    assert [float(r["total_amount"]) for r in read_settlements(spark, root).collect()] == [10.0]
 
 
 def test_one_now_per_batch(spark, tmp_path):
@@ -165,11 +167,19 @@ def test_one_now_per_batch(spark, tmp_path):
 
 
 def test_reports_over_stored_tables(spark, rules, tmp_path):
+    from settleline.operators import reports
     from settleline.plans.pipeline import run_reports
 
     root = tmp_path / "rep"
     _cut(spark, rules, root, _many_records(), 2)
     out = run_reports(spark, str(root), rules)
+    # accounts, hours and merchants come from the per-day partials, not from the transactions
+    for name in ("top_accounts", "hourly_risk", "merchant_risk"):
+        files = out[name].inputFiles()
+        assert any("/report_partials/" in f for f in files) and not any("/processed/" in f for f in files)
+        whole = {"top_accounts": lambda p: reports.top_accounts(p, read_alerts(spark, str(root))), "hourly_risk": reports.hourly_risk,
+                 "merchant_risk": reports.merchant_risk}[name](spark.read.parquet(f"{root}/processed"))
+        assert out[name].collect() == whole.collect()
     assert list(out) == ["settlement_summary", "top_accounts", "hourly_risk", "merchant_risk", "account_patterns"]
     top = out["top_accounts"].collect()
     assert [r["account_id"] for r in top] == sorted((r["account_id"] for r in top), key=lambda a: (

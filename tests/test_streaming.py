@@ -154,10 +154,10 @@ def test_pipeline_sink_runs_batches_into_tables(spark, rules, tmp_path):
     assert sorted(r["batch_id"] for r in log.collect()) == ["pipe-0", "pipe-1"]
     assert sum(r["total_records"] for r in log.collect()) == 41
     # the tables are those of one batch with all rows
-    from settleline.plans.pipeline import run_batch
-    one = run_batch(spark, from_records(spark, recs), str(tmp_path / "one"), rules, batch_id="all")
-    for name in ("daily_settlements", "anomaly_alerts"):
-        a, b = (spark.read.parquet(p).drop("batch_id", "detection_time") for p in (f"{root}/{name}", one.paths[name]))
+    from settleline.plans.pipeline import read_alerts, read_settlements, run_batch
+    run_batch(spark, from_records(spark, recs), str(tmp_path / "one"), rules, batch_id="all")
+    for read in (read_settlements, read_alerts):
+        a, b = (read(spark, r).drop("batch_id", "detection_time") for r in (root, str(tmp_path / "one")))
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
 

@@ -1,0 +1,129 @@
+"""Keyed state, hopping windows, interval join, late rows and observed metrics on streams."""
+
+import json
+import os
+from datetime import datetime, timedelta
+
+from conftest import base_record, uid
+from pyspark.sql import functions as F
+from settleline.operators import anomalies, enrich, validate
+from settleline.sources.landing import from_records
+from settleline.streaming import keyed_alerts as ka
+from settleline.streaming import late
+from settleline.streaming import stream as st
+
+T0 = datetime(2024, 6, 1, 10)
+
+
+def stream_of(spark, tmp_path, name, chunks):
+    """A stream with one file, and so one micro-batch, per chunk."""
+    src = tmp_path / name
+    src.mkdir()
+    for k, chunk in enumerate(chunks):
+        (src / f"p{k}.json").write_text("\n".join(json.dumps(r) for r in chunk) + "\n")
+        os.utime(src / f"p{k}.json", (1_700_000_000 + k, 1_700_000_000 + k))
+    return st.read_landing_stream(spark, str(src), maxFilesPerTrigger=1)
+
+
+def rec(i, second, account="ACC_00001", amount=10):
+    return base_record(transaction_id=uid(i), account_id=account, amount=amount, timestamp=(T0 + timedelta(seconds=second)).isoformat())
+
+
+def processed(spark, recs, rules):
+    return enrich.processed(validate.valid_landing(from_records(spark, recs), rules), rules)
+
+
+def test_keyed_alerts_leave_in_the_trigger_that_causes_them(spark, rules, tmp_path):
+    first = [rec(i, i * 300) for i in range(10)]  # ten in an hour: not over the limit
+    second = [rec(10, 3000), rec(11, 40 * 3600)]  # the eleventh, and a much later row that moves the watermark
+    third = [rec(12 + i, 40 * 3600 + i, amount=7) for i in range(12)] + [rec(50, 41 * 3600, "ACC_00002")]
+    # across a bucket's edge: six before and six after
+    edge = (ka.default_bucket(rules) * (int(T0.timestamp()) // ka.default_bucket(rules) + 12)) - int(T0.timestamp())
+    fourth = [rec(100 + i, edge - 30 + 5 * i, "ACC_00003") for i in range(12)]
+    recs = first + second + third + fourth
+    seen = []
+
+    def sink(batch, epoch):
+        seen.append([r.asDict() for r in batch.collect()])
+
+    with ka.rocksdb_state(spark):
+        stream = st.enriched_stream(stream_of(spark, tmp_path, "in", [first, second, third, fourth]), rules, watermark="1 hour")
+        q = st.run_available_now(ka.burst_buckets(stream, rules), sink, str(tmp_path / "ck"), "update")
+    with_rows = [p for p in q.recentProgress if p.numInputRows]
+    assert len(with_rows) == 4
+    assert seen[0] == [] and [(r["account_id"], r["transaction_count"]) for r in seen[1]] == [("ACC_00001", 11)]
+    assert [(r["account_id"], r["transaction_count"]) for r in seen[2]] == [("ACC_00001", 13)]
+    # the state holds at most the seconds that rows fell on, with their copies, and expires with the watermark
+    rows = [op.numRowsTotal for p in q.recentProgress for op in p.stateOperators]
+    assert max(rows) <= 2 * len(recs) + 12 and rows[-1] < max(rows)
+    table = {}
+    for batch in seen:
+        table.update({(r["account_id"], r["bucket"]): r for r in batch})
+    got = ka.alerts_from_buckets(spark.createDataFrame(list(table.values())), rules)
+    want = anomalies.high_frequency(processed(spark, recs, rules), rules)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+    assert {r["account_id"] for r in got.collect()} == {"ACC_00001", "ACC_00003"}
+
+
+def test_state_setting_comes_back(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    with ka.rocksdb_state(spark):
+        assert "RocksDB" in spark.conf.get(key)
+    assert spark.conf.get(key, None) == before
+
+
+def drained(spark, stream, tmp_path, name):
+    out = str(tmp_path / name)
+    st.run_available_now(stream, lambda b, e: b.write.mode("overwrite").parquet(f"{out}/epoch={e}"), f"{out}_ck", "append")
+    return spark.read.parquet(out)
+
+
+def test_hopping_windows_and_burst_flags(spark, rules, tmp_path):
+    recs = [rec(i, (i * 37) % 4000, f"ACC_0000{1 + i % 2}") for i in range(60)] + [rec(100 + i, 239 + i // 3, "ACC_00003", 3) for i in range(9)]
+    flush = rec(999, 10 * 86400, "ACC_00009")
+    half = len(recs) // 2
+    chunks = [recs[:half], recs[half:], [flush]]
+    stream = st.enriched_stream(stream_of(spark, tmp_path, "hop", chunks), rules, watermark="1 day")
+    got = drained(spark, ka.hopping_frequency(stream, rules), tmp_path, "hop_out")
+    counts = {}
+    for r in recs:
+        sec = int((datetime.fromisoformat(r["timestamp"]) - datetime(1970, 1, 1)).total_seconds())
+        for k in range(12):
+            key = (r["account_id"], sec // 300 * 300 - 300 * k)
+            counts[key] = counts.get(key, 0) + 1
+    want = {k: n for k, n in counts.items() if n > 10}
+    assert {(r["account_id"], r["window_start"]): r["transaction_count"] for r in got.collect()} == want and want
+    stream = st.enriched_stream(stream_of(spark, tmp_path, "burst", chunks), rules, watermark="1 day")
+    flags = drained(spark, ka.burst_flags(stream), tmp_path, "burst_out")
+    batch = enrich.with_burst_flag(processed(spark, recs, rules), rules).select("transaction_id", "is_suspicious")
+    assert sorted(map(tuple, flags.select("transaction_id", "is_suspicious").collect())) == sorted(map(tuple, batch.collect()))
+    assert 0 < flags.where("is_suspicious").count() < len(recs)
+
+
+def test_late_rows_are_kept(spark, rules, tmp_path):
+    chunks = [[rec(0, 10 * 86400), rec(1, 0)], [rec(2, 10 * 86400 - 3600), rec(3, 5), rec(4, 10 * 86400 - 7201)], [rec(5, 10 * 86400 + 5), rec(6, 9)]]
+    stream = st.enriched_stream(stream_of(spark, tmp_path, "late", chunks), rules, watermark="1 hour").select("transaction_id", "event_time", "is_flagged", "amount")
+    on_time = []
+    st.run_available_now(late.with_lateness(stream), late.split_sink(lambda b, e: on_time.extend(b.collect()), str(tmp_path / "side")),
+                         str(tmp_path / "late_ck"), "append")
+    behind = {r["transaction_id"]: r["late_by_sec"] for r in spark.read.parquet(str(tmp_path / "side")).collect()}
+    assert behind == {uid(3): 10 * 86400 - 3600 - 5, uid(4): 3601, uid(6): 10 * 86400 - 3600 - 9}
+    assert sorted(r["transaction_id"] for r in on_time) == [uid(i) for i in (0, 1, 2, 5)]
+
+
+def test_observed_metrics_are_the_quality_log(spark, rules, tmp_path):
+    chunks = [[rec(0, 1), rec(1, 2, amount=-1)], [rec(2, 3, account="bad"), rec(3, 4), rec(4, 5)]]
+    heard = st.ObservedBatches("validation")
+    spark.streams.addListener(heard)
+    try:
+        rows = stream_of(spark, tmp_path, "obs", chunks).observe("validation", *validate.report_columns(rules))
+        q = st.run_available_now(st.quarantine_stream(rows, rules), lambda b, e: b.write.mode("append").parquet(str(tmp_path / "q")), str(tmp_path / "obs_ck"), "append")
+        got = heard.of(spark, q)
+    finally:
+        spark.streams.removeListener(heard)
+    assert [(m["total"], m["valid"], m["invalid"]) for m in got.values()] == [(2, 1, 1), (3, 2, 1)]
+    st.log_stream_quality(spark, str(tmp_path / "log"), "s", got)
+    st.log_stream_quality(spark, str(tmp_path / "log"), "s", got)  # heard twice: logged once
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert log.count() == 2 and log.agg(F.sum("total_records")).first()[0] == 5

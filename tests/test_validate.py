@@ -140,3 +140,23 @@ def test_boolean_validity_agrees_with_messages(spark, rules, field, value):
     df = validate.with_errors(from_records(spark, [base_record(**{field: value})]), rules)
     row = df.select("is_valid", "errors").first()
     assert row["is_valid"] == (len(row["errors"]) == 0)
+
+
+def test_corrupt_records_keep_their_text(spark, rules, tmp_path):
+    import json
+
+    from settleline.operators import validate
+    from settleline.plans.pipeline import run_batch
+    from settleline.sources import landing
+
+    good, bad = base_record(transaction_id=uid(1)), '{"transaction_id": "x", "acc'
+    (tmp_path / "in.json").write_text(json.dumps(good) + "\n" + bad + "\n" + json.dumps(base_record(transaction_id=None)) + "\n")
+    rows = landing.read_json_lines(spark, str(tmp_path / "in.json"), keep_corrupt=True)
+    q = validate.quarantine(validate.with_errors(rows, rules)).collect()
+    assert sorted(r["raw_text"] or "" for r in q) == ["", bad]
+    assert all(r["errors"] for r in q)
+    res = run_batch(spark, rows, str(tmp_path / "wh"), rules, batch_id="c")
+    stored = spark.read.parquet(res.paths["quarantine"])
+    assert bad in [r["raw_text"] for r in stored.collect()] and "_corrupt_record" not in spark.read.parquet(res.paths["raw_transactions"]).columns
+    values = spark.createDataFrame([(bad,), (json.dumps(good),)], "value string")
+    assert [r["_corrupt_record"] for r in landing.from_json_values(values, keep_corrupt=True).collect()] == [bad, None]
