@@ -15,7 +15,10 @@ the same for every language and corpus.
 
 Blocks: inline elements and ``br`` belong to the block around them.  White space
 inside a block becomes one space, empty blocks go, blocks are joined by two
-newlines.  Scripts, styles, form controls and embedded objects are never text.
+newlines.  Scripts, styles, form controls and embedded objects are never text; an
+unclosed control or head ends with its parent or where the next paragraph, heading,
+list, table or section starts.  Formulas are inline text, ``noscript`` is a block
+like others that leans to being a notice.
 
 Defined results: null or empty html gives the empty string; text outside of any
 element belongs to the body; equal rows get equal results; rows with a null
@@ -42,14 +45,19 @@ from .common import require_columns
 
 # Element names of HTML and words that sites use in class, id and role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style head template noscript svg math canvas object audio video iframe button select textarea "
-                   "datalist option optgroup label legend title map".split())
+SILENT = frozenset("script style head template svg canvas object audio video iframe button select textarea "
+                   "datalist option optgroup label legend title map annotation annotation-xml".split())
+#: Silent elements without end tag that the start of a paragraph, heading, list, table or section ends.
+UNCLOSED = frozenset("head svg button select datalist option optgroup label legend map".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark nobr output q rp rt ruby s "
-                   "samp small span strike strong sub sup time tt u var wbr".split())
+                   "samp small span strike strong sub sup time tt u var wbr "
+                   "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup "
+                   "msubsup munder mover munderover mmultiscripts mtable mtr mtd semantics".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
                      "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
 CLOSED_BY_SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                      "th": {"td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
+BREAKS = CLOSES_P - frozenset("div details dialog dir center".split()) | {"body", "noscript"}
 SCOPES = frozenset("table ul ol dl body html".split())
 TAGS = ("article main section div p h1 h2 h3 h4 h5 h6 ul ol li nav header footer aside table tr td th blockquote pre figure "
         "figcaption dl dt dd form body address details").split()
@@ -94,6 +102,7 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes = [Node("body", -1)]
         self.open: list[tuple[str, int]] = [("html", 0)]  # element, the block it is in
+        self.where: dict[str, list[int]] = {}  # by name, places in ``open`` (the first left out)
         self.silent = 0
         self.link = 0
         self.clock = 0
@@ -101,6 +110,19 @@ class TreeBuilder(HTMLParser):
     def at(self) -> int:
         return self.open[-1][1]
 
+    def push(self, tag: str, block: int) -> None:
+        self.where.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, block))
+
+    def cut(self, place: int) -> None:
+        """Close all open elements from a place on."""
+        for gone, _ in reversed(self.open[place:]):
+            self.where[gone].pop()
+            self.link -= gone == "a"
+            self.silent -= gone in SILENT and self.silent > 0
+            self.clock += gone not in INLINE and gone not in SILENT
+        del self.open[place:]
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
             if tag == "br" or tag == "hr":
@@ -108,13 +130,17 @@ class TreeBuilder(HTMLParser):
             if tag == "hr":
                 self.clock += 1
             return
+        if self.silent and tag in BREAKS:
+            silent = [(places[0], name) for name, places in self.where.items() if places and name in SILENT]
+            if all(name in UNCLOSED for _, name in silent):
+                self.cut(min(silent)[0])
         if self.silent:
             if tag in SILENT:
-                self.open.append((tag, self.at()))
+                self.push(tag, self.at())
                 self.silent += 1
             return
         if tag in SILENT:
-            self.open.append((tag, self.at()))
+            self.push(tag, self.at())
             self.silent = 1
             return
         if tag in ("html", "body"):
@@ -126,14 +152,16 @@ class TreeBuilder(HTMLParser):
         for sibling in CLOSED_BY_SIBLING.get(tag, ()):
             self.close(sibling, SCOPES)
         if tag in INLINE:
-            self.open.append((tag, self.at()))
+            self.push(tag, self.at())
             self.link += tag == "a"
             return
         self.clock += 1
         node = Node(tag, self.at())
         self.describe(node, attrs)
+        if tag == "noscript":  # shown to readers without scripts: a notice as a rule, if not always
+            node.hints = tuple(sorted({*node.hints, "notice"}))
         self.nodes.append(node)
-        self.open.append((tag, len(self.nodes) - 1))
+        self.push(tag, len(self.nodes) - 1)
 
     @staticmethod
     def describe(node: Node, attrs: list[tuple[str, str | None]]) -> None:
@@ -148,17 +176,9 @@ class TreeBuilder(HTMLParser):
 
     def close(self, tag: str, stop: frozenset[str]) -> None:
         """Close the innermost open ``tag``, unless an element of ``stop`` is in between."""
-        for k in range(len(self.open) - 1, 0, -1):
-            name = self.open[k][0]
-            if name == tag:
-                for gone, _ in self.open[k:]:
-                    self.link -= gone == "a"
-                    self.silent -= gone in SILENT and self.silent > 0
-                    self.clock += gone not in INLINE
-                del self.open[k:]
-                return
-            if name in stop:
-                return
+        places = self.where.get(tag)
+        if places and not any(self.where.get(s) and self.where[s][-1] > places[-1] for s in stop if s != tag):
+            self.cut(places[-1])
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -166,8 +186,6 @@ class TreeBuilder(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
             self.add(" ")
-        if tag == "head" and not any(n == "head" for n, _ in self.open):
-            return
         if tag not in VOID and tag not in ("html", "body"):
             self.close(tag, frozenset() if tag not in INLINE else frozenset(TAGS))
 

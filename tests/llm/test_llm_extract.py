@@ -92,3 +92,41 @@ def test_odd_pages(spark):
 def test_training_is_repeatable():
     again = X.train(X.labelled_pages())
     assert (again.node == MODEL.node).all() and (again.edge == MODEL.edge).all()
+
+
+def test_unclosed_controls_and_heads_end():
+    for tag in ("button", "label", "select", "svg"):
+        got = text(f"<article><p>{LONG}</p><p>First {LONG}<{tag}>Share</p><p>After {LONG}</p><h2>A heading of the rest</h2><p>Last {LONG}</p></article>")
+        assert "After" in got and "Last" in got and "A heading of the rest" in got and "Share" not in got, tag
+        got = text(f"<article><p>{LONG}</p><{tag}>Share<p>After {LONG}</p><p>Last {LONG}</p></article>")
+        assert "After" in got and "Last" in got and "Share" not in got, tag
+    got = text(f"<html><head><title>T</title><meta charset=utf-8><body><article><p>{LONG}</p><p>Last {LONG}</p></article></body></html>")
+    assert got == f"{LONG.strip()}\n\nLast {LONG.strip()}"
+    got = text(f"<article><p>{LONG}</p><button><div>Click</div><span>me</span></button><p>Last {LONG}</p></article>")
+    assert "Click" not in got and "me" not in got.split() and "Last" in got
+    assert "no" not in text(f"<article><p>{LONG}</p><script>'<p>no</p>'</script></article>").split()
+
+
+def test_formulas_and_noscript():
+    got = text(f"<article><p>{LONG}</p><p>So <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation>\\a=2</annotation></math> holds. {LONG}</p></article>")
+    assert "So a=2 holds." in got
+    got = text(f"<article><p>{LONG}</p><noscript><p>Kept {LONG}</p></noscript><p>Last {LONG}</p></article><noscript>Please enable scripts.</noscript>")
+    assert "Last" in got and "Please enable" not in got
+
+
+def test_parsing_takes_linear_time():
+    import time
+
+    def seconds(n):
+        page = "<article>" + "<p><i>" * n + "</b>" * n + "<p>" * n + "</i>" * n
+        t = time.process_time()
+        X.parse(page)
+        return time.process_time() - t
+
+    seconds(1000)
+    assert seconds(16_000) < 10 * max(0.02, seconds(4_000))
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "u", f"<article><p>{LONG}</p></article>", "x", 3, 4)], "page_id long, url string, html string, text string, n_chars int, nodes int")
+    assert X.extract(df).collect() == X.extract(df.select("page_id", "url", "html")).collect()
