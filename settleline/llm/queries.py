@@ -85,7 +85,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(read_table(spark, sf_dir, "pages")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "fetch_time")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "fetch_time", "place")
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +154,8 @@ SELECT page_id, n::BIGINT AS payload_bytes, p.digest AS payload_digest,
        CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to,
        array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || CASE WHEN rest = '' THEN '/' ELSE rest END AS url_key,
-       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') AS fetch_time
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') AS fetch_time,
+       row_number() OVER (ORDER BY url_key, fetch_time, page_id) - 1 AS place
 FROM p LEFT JOIN firsts USING (digest)
 """
 

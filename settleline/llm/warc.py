@@ -35,13 +35,15 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import require_columns, shared_dir, staged
 
 MIN_REVISIT = 100
 RECORDS_PER_FILE = 20_000
+#: Payload bytes of an archive at most (or one record); an archive is read as one value.
+BYTES_PER_FILE = 1 << 29
 #: Captures that one task of the merge holds.
 CAPTURES_PER_RANGE = 400_000
 FIRST_FETCH = "2024-01-01 00:00:00"
@@ -97,8 +99,18 @@ def write_warc(pages: DataFrame, path: str, fetch_time: Column | None = None, mi
     count as fetched a second apart in the order of their ids.
     """
     when = F.timestamp_seconds(F.unix_timestamp(F.lit(FIRST_FETCH)) + F.coalesce(F.col("page_id"), F.lit(0))) if fetch_time is None else fetch_time
-    with_record_types(pages, min_revisit).select(record_text(when).alias("value")).write.option("lineSep", SEPARATOR).option(
-        "compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
+    rows = with_record_types(pages, min_revisit)
+    most = pages.agg(F.max(F.octet_length(F.col("html").cast("string")))).first()[0] or 0
+    # archives of records up to a size, doubling it until the largest fits; mostly there is one such class
+    low, high = -1, BYTES_PER_FILE // records_per_file
+    while True:
+        last = high >= most
+        some = rows if low < 0 and last else rows.where((F.col("bytes") > low) & (F.col("bytes") <= (most if last else high)))
+        some.select(record_text(when).alias("value")).write.mode("append" if low >= 0 else "error").option("lineSep", SEPARATOR).option("compression", "gzip").option(
+            "maxRecordsPerFile", max(1, BYTES_PER_FILE // max(high, 1)) if low >= 0 else records_per_file).text(path)
+        if last:
+            return
+        low, high = high, high * 16
 
 
 def url_key(url: str | None) -> str:
@@ -249,12 +261,22 @@ def merged_index(captures: DataFrame, per_range: int = CAPTURES_PER_RANGE) -> Da
     return dealt.select(*names).mapInArrow(run, CAPTURE_DDL + ", range_no int, row_no long")
 
 
+def with_place(index: DataFrame) -> DataFrame:
+    """The index with every capture's ``place`` in the global order (from 0): the rows of the
+    ranges before its own, and its row."""
+    index = staged(index, "index")
+    sizes = index.groupBy("range_no").agg(F.count("*").alias("n"))  # a row per range
+    before = sizes.select("range_no", F.coalesce(F.sum("n").over(
+        Window.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return index.join(F.broadcast(before), "range_no").select(*index.columns, (F.col("before") + F.col("row_no")).alias("place"))
+
+
 def archive_round_trip(pages: DataFrame, path: str | None = None, fetch_time: Column | None = None,
                        records_per_file: int = RECORDS_PER_FILE) -> DataFrame:
     """Write the archives, read them back and index them: a row per page, in the order of the index."""
     spark = pages.sparkSession
     path = path or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_warc(pages, path, fetch_time, records_per_file=records_per_file)
-    index = merged_index(read_records(spark, path))
+    index = with_place(merged_index(read_records(spark, path)))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
-                        "url_key", "fetch_time", "archive", "record_offset", "range_no", "row_no")
+                        "url_key", "fetch_time", "place", "archive", "record_offset", "range_no", "row_no")

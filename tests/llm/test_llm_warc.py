@@ -52,7 +52,7 @@ def test_global_order_over_many_runs(spark):
     _, got = round_trip(pages(spark, *rows), records_per_file=80)
     got.sort(key=lambda r: (r.range_no, r.row_no))
     keys = [(r.url_key, r.fetch_time, r.page_id) for r in got]
-    assert keys == sorted(keys) and len(keys) == 700
+    assert keys == sorted(keys) and len(keys) == 700 and [r.place for r in got] == list(range(700))
     assert len({r.archive for r in got}) >= 9
     hot = [r for r in got if r.url_key == "com,example,hot)/"]
     assert [r.record_type for r in hot].count("response") == 1 and len(hot) == 300
@@ -91,3 +91,14 @@ def test_archives_are_plain_warc(spark, tmp_path):
 def test_url_key():
     assert W.url_key("https://www.A.Example.com:443/b?c=1#d") == "com,example,a)/b?c=1"
     assert W.url_key("http://h:8080") == "h:8080)/" and W.url_key(None) == "" and W.url_key("not a url") == "not a url"
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "BYTES_PER_FILE", 4000)
+    rows = [(i, f"http://a/{i}", chr(97 + i % 26) * (10 if i % 3 else 300 + i)) for i in range(60)] + [(100, "http://a/x", "q" * 50_000), (101, "http://b/", None)]
+    got, all_rows = round_trip(pages(spark, *rows).coalesce(1), path=f"file://{tmp_path}/arc", records_per_file=100)
+    assert got == want(rows) and sorted(r.place for r in all_rows) == list(range(62))
+    by = {}
+    for r in all_rows:
+        by.setdefault(r.archive, []).append(r.payload_bytes if r.record_type == "response" else 0)
+    assert len(by) > 5 and all(sum(b) <= 4000 or len(b) == 1 for b in by.values())
