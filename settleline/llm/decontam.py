@@ -234,7 +234,7 @@ def matches(text: str | None, index: Index, threshold: float = THRESHOLD, least:
     return [(i, -b[1], b[0], b[2], b[3]) for i, b in sorted(best.items())]
 
 
-def index_shards(benchmark: DataFrame, shard_bytes: int = SHARD_BYTES) -> list[Index]:
+def index_shards(benchmark: DataFrame, shard_bytes: int = SHARD_BYTES) -> Iterator[Index]:
     """One index per ``shard_bytes`` of item text; the driver holds a shard at a time while it builds."""
     require_columns(benchmark, ["item_id", "text"])
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where(F.col("text").rlike(r"[\p{L}\p{N}_]"))
@@ -242,9 +242,8 @@ def index_shards(benchmark: DataFrame, shard_bytes: int = SHARD_BYTES) -> list[I
     size, count = items.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     mean = words.agg(F.avg(F.size("w"))).first()[0]
     if not count:
-        return []
+        return
     shards = -(-size // shard_bytes)
-    out = []
     for k in range(shards):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).collect()
         rows = sorted(((r["item_id"], r["text"]) for r in rows if words_of(r["text"])), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
@@ -257,8 +256,7 @@ def index_shards(benchmark: DataFrame, shard_bytes: int = SHARD_BYTES) -> list[I
             listed = benchmark.sparkSession.createDataFrame([(w,) for w in own], "term string")
             counted = words.select(F.explode(F.array_distinct("w")).alias("term")).groupBy("term").count()
             df.update({r["term"]: r["count"] for r in counted.join(listed, "term").collect()})
-        out.append(build_index(rows, count, mean, df))
-    return out
+        yield build_index(rows, count, mean, df)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, least: float = OVERLAP,
