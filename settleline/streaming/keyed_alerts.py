@@ -73,7 +73,7 @@ class TrailingCounts(StatefulProcessor):
                 own = added.setdefault(int(sec), [0, 0])
                 own[0] += int(n)
                 own[1] += int(cents)
-        held = {k[0]: (v[0], v[1]) for k, v in self.seconds.iterator()} if self.seconds.exists() else {}
+        held = {k[0]: (v[0], v[1]) for k, v in self.seconds.iterator()}
         if not held:  # the bucket's first rows
             self.handle.registerTimer(((bucket + 1) * self.bucket_sec + self.window_sec) * 1000)
         for sec, (n, cents) in added.items():
@@ -87,7 +87,7 @@ class TrailingCounts(StatefulProcessor):
         over = (sec >= bucket * self.bucket_sec) & (trailing > self.min_exclusive)
         if over.any():
             now = (int(trailing[over].max()), int(cents[over].sum()))
-            if not self.last.exists() or tuple(self.last.get()) != now:
+            if tuple(self.last.get() or ()) != now:
                 self.last.update(now)
                 yield pd.DataFrame({"account_id": [account], "bucket": [bucket], "trailing": [now[0]], "cents": [now[1]]})
 
