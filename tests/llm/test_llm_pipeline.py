@@ -60,14 +60,14 @@ def test_registered():
     import __spark_entry__ as entry
     names = set(entry.queries())
     assert {*queries.QUERIES, "pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_against_sql(spark, name):
     import duckdb
     con = duckdb.connect()
-    for t in ("pages", "documents", "benchmark"):
+    for t in ("pages", "documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.01/{t}.parquet')")
     want = con.execute(queries.ORACLE_SQL[name])
     columns = [d[0] for d in want.description]
