@@ -14,7 +14,8 @@ instead:
    of a bucket are also copied into the next bucket.  A trailing window of
    ``halo`` seconds evaluated inside (account, bucket) is then exact for the
    bucket's own rows, and each window partition holds at most
-   86,400 + halo rows, independent of data volume.
+   2 x (86,400 + halo) rows, independent of data volume: every second enters
+   the running count and leaves it once (see ``profile_of``).
 
 Semantics equal a per-row window over (ts, transaction_id) order:
 
@@ -81,17 +82,32 @@ def second_profile(processed: DataFrame, rules: Rules) -> DataFrame:
 
 
 def profile_of(histogram: DataFrame, rules: Rules) -> DataFrame:
-    """The profile of an (account, second) histogram, from wherever that was kept."""
+    """The profile of an (account, second) histogram, from wherever that was kept.
+
+    A trailing count is a running sum: a second's rows enter at the second and leave
+    (with the sign turned) one second after the look-back ends.  Frames that only grow
+    cost the same for every row, where a frame that slides adds up its whole look-back
+    anew for each, which is quadratic in a busy account's seconds.
+    """
     halo = max(rules.burst_window_sec, rules.rapid_gap_sec)
     bucket_sec = max(rules.histogram_bucket_sec, halo)
     rows = _halo_bucketed(histogram, halo, bucket_sec)
-    ordered = Window.partitionBy("account_id", "bucket").orderBy("sec")
-    trailing = ordered.rangeBetween(-rules.burst_window_sec, 0)
+    leaves = F.col("sec") + F.lit(rules.burst_window_sec + 1)
+    enter = F.struct(F.col("sec").alias("at"), F.col("n").alias("delta"), F.lit(True).alias("is_row"))
+    leave = F.when(leaves < (F.col("bucket") + 1) * F.lit(bucket_sec),
+                   F.struct(leaves.alias("at"), (-F.col("n")).alias("delta"), F.lit(False).alias("is_row")))
+    steps = rows.select("*", F.explode(F.filter(F.array(enter, leave), lambda x: x.isNotNull())).alias("_s")).select(
+        "account_id", "bucket", "_s.at", "_s.delta", "_s.is_row", (F.col("is_home") & F.col("_s.is_row")).alias("is_home"),
+        *[F.when(F.col("_s.is_row"), F.col(c)).alias(c) for c in ("n", "amt", "first_amt")])
+    # a second's leaving sorts before the second that it leaves at
+    ordered = Window.partitionBy("account_id", "bucket").orderBy("at", "is_row")
+    upto = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = ordered.rowsBetween(Window.unboundedPreceding, -1)
     return (
-        rows.select(
-            "account_id", "sec", "n", "amt", "first_amt", "is_home",
-            F.sum("n").over(trailing).alias("trailing_n"),
-            F.lag("sec", 1).over(ordered).alias("prev_sec"),
+        steps.select(
+            "account_id", F.col("at").alias("sec"), "n", "amt", "first_amt", "is_home",
+            F.sum("delta").over(upto).alias("trailing_n"),
+            F.max(F.when(F.col("is_row"), F.col("at"))).over(ahead).alias("prev_sec"),
         )
         .filter(F.col("is_home"))
         .drop("is_home")

@@ -141,3 +141,27 @@ def test_detect_anomalies_equals_union_of_rules(spark, rules):
     combined = anomalies.detect_anomalies(processed, rules)
     assert {r["alert_type"] for r in combined.collect()} == {"HIGH_FREQUENCY", "HIGH_DAILY_AMOUNT", "RAPID_SUCCESSION"}
     assert sorted(map(tuple, combined.collect())) == sorted(map(tuple, union.select(*combined.columns).collect()))
+
+
+def test_trailing_counts_add_up_by_running_sums(spark, rules):
+    """A look-back of days costs the same for every second: no frame slides over the
+    account's seconds (which would be quadratic in them), and counts equal brute force."""
+    import random
+
+    r = random.Random(7)
+    recs = [rec(i, r.randrange(9 * 86_400) if i % 2 else 300_000 + r.randrange(90), account=f"ACC_0000{1 + i % 3 // 2}", base=datetime(2024, 6, 1))
+            for i in range(240)]
+    seen: dict[str, list[int]] = {}
+    for x in recs:
+        seen.setdefault(x["account_id"], []).append(int((datetime.fromisoformat(x["timestamp"]) - datetime(1970, 1, 1)).total_seconds()))
+    rows = processed_of(spark, rules, recs)
+    for window in (60, 3_600, 86_399, 3 * 86_400):
+        profile = anomalies.second_profile(rows, rules.with_(burst_window_sec=window))
+        assert "specifiedwindowframe(RangeFrame, -" not in profile._jdf.queryExecution().toString()
+        got = sorted((p["account_id"], p["sec"], p["n"], p["trailing_n"], p["prev_sec"]) for p in profile.collect())
+        want = sorted((a, s, secs.count(s), sum(s - window <= o <= s for o in secs), max((o for o in secs if o < s), default=None))
+                      for a, secs in seen.items() for s in set(secs))
+        assert [g[:4] for g in got] == [w[:4] for w in want]
+        # the second before is known as far as the rapid rule reaches; farther ones may lie in an earlier bucket
+        close = lambda rows: [p if p and s - p < rules.rapid_gap_sec else None for _, s, _, _, p in rows]
+        assert close(got) == close(want)
