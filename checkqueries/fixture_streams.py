@@ -19,9 +19,11 @@ from settleline.streaming import stream as st
 
 from .fixture import LANDING_VIEW_SQL
 
-#: Parts, and so micro-batches, that the events are streamed as, and files of a part.
+#: Parts, and so micro-batches, that the events are streamed as, and files of a part:
+#: at least FILES, more where a file would have over FILE_ROWS rows (each is read by a task of its own).
 PARTS = 3
 FILES = 4
+FILE_ROWS = 100_000
 #: Edges of the parts of ``late_events``; every 97th earlier event comes with the last part.
 LATE_EDGES = ("2024-01-11", "2024-01-21")
 LATE_EVERY, LATE_REST = 97, 5
@@ -41,7 +43,8 @@ def events_stream(spark: SparkSession, sf_dir: str, base: str, flush: bool = Fal
     past all others, so append mode hands out their windows (but not its own).
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
-    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    lo, hi, rows = events.agg(F.min("ts"), F.max("ts"), F.count(F.lit(1))).first()
+    files = files_of_part(rows, PARTS)
     for k in range(PARTS):  # written one after the other: the file source goes by age
         part = events
         if lo is not None:
@@ -49,16 +52,20 @@ def events_stream(spark: SparkSession, sf_dir: str, base: str, flush: bool = Fal
             first = F.col("ts").isNull() if k == 0 else F.lit(False)
             until = (F.col("ts") < edge(k + 1)) if k < PARTS - 1 else F.lit(True)
             part = events.where(first | ((F.col("ts") >= edge(k)) & until))
-        part.repartition(FILES).write.parquet(f"{base}/in/part{k}")
+        part.repartition(files).write.parquet(f"{base}/in/part{k}")
     if flush and lo is not None:
         last = events.where(F.col("ts") == F.lit(hi)).orderBy("event_id").limit(1)
         last.select(F.lit(1_000_000_001).cast("long").alias("event_id"), (F.col("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts"),
                     "user_id", "event_type", F.lit(1.0).alias("value")).write.parquet(f"{base}/in/part{PARTS}")
-    return _parts(spark, events, base)
+    return _parts(spark, events, base, files)
 
 
-def _parts(spark: SparkSession, events: DataFrame, base: str) -> DataFrame:
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES).parquet(f"{base}/in/*")
+def files_of_part(rows: int, parts: int) -> int:
+    return max(FILES, -(-rows // (parts * FILE_ROWS)))
+
+
+def _parts(spark: SparkSession, events: DataFrame, base: str, files: int) -> DataFrame:
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/in/*")
 
 
 def late_events(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
@@ -67,9 +74,10 @@ def late_events(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     day = F.date_format("ts", "yyyy-MM-dd")
     straggler = (F.col("event_id") % LATE_EVERY == LATE_REST) & F.coalesce(day < LATE_EDGES[-1], F.lit(False))
     part = F.when(straggler, len(LATE_EDGES)).otherwise(sum((F.coalesce(day >= e, F.lit(False)).cast("int") for e in LATE_EDGES), F.lit(0)))
+    files = files_of_part(events.count(), len(LATE_EDGES) + 1)
     for k in range(len(LATE_EDGES) + 1):
-        events.where(part == k).repartition(FILES).write.parquet(f"{base}/in/part{k}")
-    return _parts(spark, events, base)
+        events.where(part == k).repartition(files).write.parquet(f"{base}/in/part{k}")
+    return _parts(spark, events, base, files)
 
 
 def landing_stream(spark: SparkSession, sf_dir: str, base: str, flush: bool = False) -> DataFrame:
