@@ -329,7 +329,8 @@ def q_stream_account_alerts(spark, sf_dir):
 
 def q_stream_rapid_sessions(spark, sf_dir):
     """RAPID_SUCCESSION alerts from session windows in append mode."""
-    sessions = fs.drain_append(spark, sf_dir, "sessions", lambda rows: st.rapid_sessions(_enriched()(rows), FIXTURE_RULES), flush=True)
+    with st.sessions_merged_locally(spark):
+        sessions = fs.drain_append(spark, sf_dir, "sessions", lambda rows: st.rapid_sessions(_enriched()(rows), FIXTURE_RULES), flush=True)
     return st.rapid_alerts_from_sessions(sessions, FIXTURE_RULES)
 
 
