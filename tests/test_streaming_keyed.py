@@ -127,3 +127,55 @@ def test_observed_metrics_are_the_quality_log(spark, rules, tmp_path):
     st.log_stream_quality(spark, str(tmp_path / "log"), "s", got)  # heard twice: logged once
     log = spark.read.parquet(str(tmp_path / "log"))
     assert log.count() == 2 and log.agg(F.sum("total_records")).first()[0] == 5
+
+
+def test_quiet_accounts_share_state_calls(spark, rules, tmp_path):
+    """State grows with shards and buckets, not with accounts, and results stay each account's own."""
+    recs = [rec(i, (i * 37) % 3000, f"ACC_{i % 150 + 1:05d}") for i in range(300)]
+    recs += [rec(1000 + i, 400 + 90 * i, f"ACC_{7 * (i % 2) + 3:05d}", amount=1 + i) for i in range(40)]
+    table = {}
+
+    def sink(batch, epoch):
+        table.update({(r["account_id"], r["bucket"]): r for r in batch.collect()})
+
+    with ka.rocksdb_state(spark):
+        stream = st.enriched_stream(stream_of(spark, tmp_path, "in", [recs[::2], recs[1::2]]), rules)
+        q = st.run_available_now(ka.burst_buckets(stream, rules, shards=4), sink, str(tmp_path / "ck"), "update")
+    assert max(op.numRowsTotal for p in q.recentProgress for op in p.stateOperators) <= 2 * 4 * 3  # values and timers
+    got = ka.alerts_from_buckets(spark.createDataFrame(list(table.values())), rules)
+    want = anomalies.high_frequency(processed(spark, recs, rules), rules)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect())) and len(table) >= 2
+
+
+def test_sessions_are_merged_before_they_are_dealt_by_account(spark, rules, tmp_path):
+    recs = [rec(i, 5 * i) for i in range(40)] + [rec(100 + i, 700 + 31 * i, "ACC_00002") for i in range(4)] + [rec(200, 3 * 86_400, "ACC_00003")]
+    key = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    before = spark.conf.get(key, None)
+    plans = []
+    out = str(tmp_path / "out")
+
+    def sink(batch, epoch):
+        plans.append(batch.sparkSession.conf.get(key))
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    with st.sessions_merged_locally(spark):
+        stream = st.enriched_stream(stream_of(spark, tmp_path, "in", [recs[::2], recs[1::2]]), rules, dedupe=True)
+        q = st.run_available_now(st.rapid_sessions(stream, rules), sink, str(tmp_path / "ck"), "append")
+    assert plans and set(plans) == {"true"} and spark.conf.get(key, None) == before
+    assert "MergingSessions" in q._jsq.explainInternal(False).split("Exchange")[-2]  # ahead of the exchange by account
+    got = st.rapid_alerts_from_sessions(spark.read.parquet(out), rules)
+    want = anomalies.rapid_succession(processed(spark, recs, rules), rules)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+
+
+def test_files_of_a_streams_part_grow_with_its_rows(spark, tmp_path, monkeypatch):
+    from checkqueries import fixture_streams as fs
+
+    monkeypatch.setattr(fs, "FILE_ROWS", 20, raising=False)
+    day = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 997).cast("timestamp_ntz")
+    spark.range(600).select(F.col("id").alias("event_id"), day.alias("ts"), (F.col("id") % 9).alias("user_id"), F.lit("click").alias("event_type"),
+                            F.lit(5.0).alias("value")).write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    stream = fs.events_stream(spark, str(tmp_path / "sf"), str(tmp_path / "base"))
+    seen = []
+    st.run_available_now(stream, lambda b, e: seen.append((b.count(), b.rdd.getNumPartitions())), str(tmp_path / "ck"), "append")
+    assert [n for n, _ in seen] == [200, 200, 200] and len(list((tmp_path / "base" / "in" / "part0").glob("*.parquet"))) == 10
