@@ -80,3 +80,20 @@ def test_against_sql(spark, name):
 def test_packing_matches_the_registered_query(spark):
     a = queries.op3_best_fit_packing(spark, SF)
     assert a.count() == packing.pack(spark.read.parquet(f"{SF}/documents.parquet")).count()
+
+
+def test_scratch_tables_go(spark):
+    """What a block made goes at its end but for what it kept, which goes with the next one."""
+    from settleline.llm.common import cut, scratch, staged
+    with scratch(spark) as made:
+        one = made.keep(staged(spark.range(5), "one"))
+        two = staged(one.where("id > 1"), "two")
+        three = cut(two.groupBy().count())
+        assert three.first()[0] == 3
+        folders = [Path(path.removeprefix("file:")) for _, path in made.made]
+        assert len(folders) == 2 and all(f.is_dir() for f in folders)
+    assert not any(f.exists() for f in folders) and one.count() == 5
+    (kept,) = [Path(path.removeprefix("file:")) for _, path in made.kept]
+    with scratch(spark, made.kept):
+        assert kept.is_dir() and one.count() == 5
+    assert not kept.exists()
