@@ -179,3 +179,18 @@ def test_files_of_a_streams_part_grow_with_its_rows(spark, tmp_path, monkeypatch
     seen = []
     st.run_available_now(stream, lambda b, e: seen.append((b.count(), b.rdd.getNumPartitions())), str(tmp_path / "ck"), "append")
     assert [n for n, _ in seen] == [200, 200, 200] and len(list((tmp_path / "base" / "in" / "part0").glob("*.parquet"))) == 10
+
+
+def test_burst_flags_of_a_busy_account(spark, rules, tmp_path):
+    """Many rows a second over several buckets: counted by brute force, without a join of rows with seconds."""
+    secs = sorted([(i * i * 7) % 900 for i in range(150)] + [239, 240, 240, 241, 300, 300, 301, 479, 480, 540, 541] * 2)
+    recs = [rec(i, s, "ACC_00001", amount=1) for i, s in enumerate(secs)] + [rec(1000 + i, 90 * i, "ACC_00002", amount=1) for i in range(9)]
+    flush = rec(9999, 10 * 86400, "ACC_00009")
+    stream = st.enriched_stream(stream_of(spark, tmp_path, "busy", [recs[::2], recs[1::2], [flush]]), rules, watermark="1 day")
+    flags = ka.burst_flags(stream, 60, 12)
+    assert "Join" not in flags._jdf.queryExecution().analyzed().toString()
+    got = {r["transaction_id"]: r["is_suspicious"] for r in drained(spark, flags, tmp_path, "busy_out").collect()}
+    plain = {r["transaction_id"]: r["is_suspicious"] for r in processed(spark, recs, rules).collect()}
+    want = {uid(i): plain[uid(i)] or sum(s - 60 <= t <= s for t in secs) > 12 for i, s in enumerate(secs)}
+    want |= {uid(1000 + i): plain[uid(1000 + i)] for i in range(9)}
+    assert got == want and 0 < sum(want.values()) - sum(plain.values()) < len(secs)
